@@ -300,7 +300,7 @@ def stream_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOAD_SPEC = TableSpec(
     name="app_events",
-    raw_path="",
+    raw_paths=(),
     curated_path="App/Events/schema=v1/partition=YYYYMMDD",
     scheme="YYYYMMDD",
     role="History",

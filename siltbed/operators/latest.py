@@ -22,12 +22,18 @@ _UNORDERED = (T.MapType, T.VariantType)
 
 
 def key_columns(
-    df: DataFrame, keys: Iterable[str] | None, extra_keys: Iterable[str] = (), skip: Iterable[str] = ()
+    df: DataFrame,
+    keys: Iterable[str] | None,
+    extra_keys: Iterable[str] = (),
+    skip: Iterable[str] = (),
 ) -> list[str]:
     """Window key: ``keys``, or every data column when there are none, then extras."""
     ignored = {*METADATA_COLUMNS, *skip}
     base = list(keys or ()) or [c for c in df.columns if c not in ignored]
-    return list(dict.fromkeys([*base, *extra_keys]))
+    chosen = list(dict.fromkeys([*base, *extra_keys]))
+    if not chosen:
+        raise ValueError("no key columns: all rows would compete in one group")
+    return chosen
 
 
 def latest_rows(

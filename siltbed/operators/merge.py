@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from siltbed.operators.columns import quoted
 from siltbed.session import broadcast_if_small
@@ -17,29 +17,41 @@ log = logging.getLogger(__name__)
 PRUNE_LIMIT = 2000
 
 
+def delta_partitions(
+    current: DataFrame, delta: DataFrame, partition_cols: Iterable[str]
+) -> DataFrame:
+    """Distinct partition values of ``delta``, in the types of ``current``."""
+    types = {f.name: f.dataType for f in current.schema}
+    return delta.select(*[quoted(c).cast(types[c]).alias(c) for c in partition_cols]).distinct()
+
+
 def touched_partitions(
-    current: DataFrame, delta: DataFrame, partition_cols: Iterable[str], prune_limit: int = PRUNE_LIMIT
+    current: DataFrame,
+    delta: DataFrame,
+    partition_cols: Iterable[str],
+    found: list[Row] | None = None,
 ) -> DataFrame:
     """Rows of ``current`` in partitions that ``delta`` has rows for.
 
-    Up to ``prune_limit`` partitions become a literal predicate, which prunes
+    Up to ``PRUNE_LIMIT`` partitions become a literal predicate, which prunes
     directories before anything is read. Beyond that it is a left semi join
     whose small side is measured before it is broadcast. Nulls match nulls, as
-    they share a directory.
+    they share a directory. Pass ``found`` if the delta's partitions are known.
     """
     cols = list(partition_cols)
     types = {f.name: f.dataType for f in current.schema}
-    wanted = delta.select(*[quoted(c).cast(types[c]).alias(c) for c in cols]).distinct()
-    found = wanted.limit(prune_limit + 1).collect()
-    if len(found) <= prune_limit:
+    wanted = delta_partitions(current, delta, cols)
+    if found is None:
+        found = wanted.limit(PRUNE_LIMIT + 1).collect()
+    if len(found) <= PRUNE_LIMIT:
         return current.filter(_is_one_of(cols, types, found))
     keys = broadcast_if_small(wanted.toDF(*[f"__touched_{c}" for c in cols]))
     same = [quoted(c).eqNullSafe(quoted(f"__touched_{c}")) for c in cols]
     return current.join(keys, reduce(and_, same), "left_semi")
 
 
-def _is_one_of(cols, types, rows):
-    def typed(value, name):
+def _is_one_of(cols: list[str], types: dict[str, T.DataType], rows: list[Row]) -> Column:
+    def typed(value: object, name: str) -> Column:
         return F.lit(value).cast(types[name]).alias(name)
 
     full = [r for r in rows if all(r[c] is not None for c in cols)]

@@ -17,7 +17,9 @@ _PARTS = {"Year": F.year, "Month": F.month, "Day": F.dayofmonth}
 _LEVELS = dict(zip(DATE_LEVELS, (F.year, F.month, F.weekofyear, F.dayofyear)))
 
 
-def calendar_columns(df: DataFrame, key_col: str = PARTITION_KEY, scheme: str = "YYYYMMDD") -> DataFrame:
+def calendar_columns(
+    df: DataFrame, key_col: str = PARTITION_KEY, scheme: str = "YYYYMMDD"
+) -> DataFrame:
     """Parse the partition key by ``scheme`` and add its date and calendar columns.
 
     Calendar columns are unpadded strings; a key that does not parse gives nulls.
@@ -29,13 +31,17 @@ def calendar_columns(df: DataFrame, key_col: str = PARTITION_KEY, scheme: str =
     return df.withColumns({PARTITION_DATE: date, **parts})
 
 
-def date_hierarchy(df: DataFrame, level: str = "Month", column: str = INGESTION) -> DataFrame:
-    """Add the calendar columns of ``column`` from the year down to ``level``."""
+def level_columns(level: str) -> tuple[str, ...]:
+    """Calendar columns from the year down to ``level``."""
     if level not in _LEVELS:
         raise KeyError(f"level must be one of {', '.join(DATE_LEVELS)}, not {level!r}")
-    names = DATE_LEVELS[: DATE_LEVELS.index(level) + 1]
+    return DATE_LEVELS[: DATE_LEVELS.index(level) + 1]
+
+
+def date_hierarchy(df: DataFrame, level: str = "Month", column: str = INGESTION) -> DataFrame:
+    """Add the calendar columns of ``column`` from the year down to ``level``."""
     date = F.col(column).cast("date")
-    return df.withColumns({name: _LEVELS[name](date) for name in names})
+    return df.withColumns({name: _LEVELS[name](date) for name in level_columns(level)})
 
 
 def coarsen_key(df: DataFrame, key_col: str = PARTITION_KEY, length: int = 6) -> DataFrame:

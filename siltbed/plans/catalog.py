@@ -124,13 +124,17 @@ def load_specs(
 ) -> list[TableSpec]:
     """The specs of a dataset's tables; one configuration row each reaches the driver.
 
-    Rows with an empty setting that loads are grouped by are left out.
+    Raw paths that share all other settings feed one load. Rows with an empty
+    setting are left out.
     """
     fmt = F.regexp_extract(F.lower("ReadRawFileMethod"), "(csv|json|parquet)", 1)
-    chosen = config_rows(tables, dataset, table).dropna(subset=list(GROUP_COLUMNS))
     configured = config_rows(columns, dataset, table)
     rows = (
-        chosen.withColumns(
+        config_rows(tables, dataset, table)
+        .dropna(subset=[*GROUP_COLUMNS, "DataLakePathRaw"])
+        .groupBy(*GROUP_COLUMNS)
+        .agg(F.array_sort(F.collect_set("DataLakePathRaw")).alias("raw_paths"))
+        .withColumns(
             {
                 "fmt": F.when(fmt != "", fmt).otherwise(F.col("ReadRawFileMethod")),
                 "keys": parse_key_list("EnrichedBusinessKeyColumnList", "DataLakePartition"),
@@ -138,13 +142,13 @@ def load_specs(
         )
         .join(ordered_columns(configured), "CuratedTableName", "left")
         .join(column_defaults(configured), "CuratedTableName", "left")
-        .orderBy("CuratedTableName", "DataLakePathRaw")
+        .orderBy("CuratedTableName", "raw_paths")
         .collect()
     )
     return [
         TableSpec(
             name=r["CuratedTableName"],
-            raw_path=r["DataLakePathRaw"],
+            raw_paths=tuple(r["raw_paths"]),
             curated_path=r["DataLakePath"],
             fmt=r["fmt"],
             scheme=r["DataLakePartition"],

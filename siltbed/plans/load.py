@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltbed.fixed_values import EXPORT_DESTINATION, INGESTION
@@ -17,12 +17,17 @@ from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
 from siltbed.operators.latest import latest_rows, run_summary
 from siltbed.operators.partitions import coarsen_key
-from siltbed.plans.catalog import dataset_header, files_to_tables, load_groups, load_specs
+from siltbed.plans.catalog import (
+    config_rows,
+    dataset_header,
+    files_to_tables,
+    load_groups,
+    load_specs,
+)
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import write_jdbc
-from siltbed.sinks.lake import append_standardised, write_json_latest
-from siltbed.sources import storage
+from siltbed.sinks.lake import append_standardised, json_table_path, write_json_latest
 from siltbed.sources.files import file_inventory, floor_time, naive_time, raw_subtrees, read_raw
 
 log = logging.getLogger(__name__)
@@ -37,9 +42,15 @@ class LoadOptions:
     escape: str | None = '"'
     multi_line: bool = True
     level: str = "Month"
+    check_headers: bool = False
+    storage: StorageLevel | None = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
     export_url: str | None = None
     export_properties: Mapping[str, str] = field(default_factory=dict)
 
+    def text(self) -> dict[str, object]:
+        names = ("encoding", "sep", "escape", "multi_line", "check_headers")
+        return {name: getattr(self, name) for name in names}
+
 
 def zone_path(root: str, zone: str, path: str) -> str:
     """``path`` inside a zone of the lake, unless it is a full path already."""
@@ -48,13 +59,17 @@ def zone_path(root: str, zone: str, path: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{path}"
 
 
-def shaped(
-    raw: DataFrame, spec: TableSpec, after: dt.datetime | None = None
-) -> DataFrame:
+def raw_roots(spec: TableSpec, root: str) -> list[str]:
+    return [zone_path(root, "raw", path) for path in spec.raw_paths]
+
+
+def newer(dated: DataFrame, after: dt.datetime | None) -> DataFrame:
+    return dated if after is None else dated.filter(F.col(INGESTION) > naive_time(after))
+
+
+def shaped(raw: DataFrame, spec: TableSpec, after: dt.datetime | None = None) -> DataFrame:
     """Raw rows newer than the mark, with times from their path and the configured columns."""
-    dated = dates_from_path(rename_columns(raw, dict(spec.renames)))
-    if after is not None:
-        dated = dated.filter(F.col(INGESTION) > naive_time(after))
+    dated = newer(dates_from_path(rename_columns(raw, dict(spec.renames))), after)
     if spec.coarse_key:
         dated = coarsen_key(dated, spec.key_column)
     if spec.sanitised:
@@ -83,36 +98,33 @@ def load_table(
     export share one persisted frame, which Spark rebuilds from the raw files
     if an executor is lost.
     """
+    exported = spec.destination == EXPORT_DESTINATION
+    if exported and not options.export_url:
+        raise ValueError(f"{spec.name} is exported to a database, but no export_url is given")
+    zones = {zone: f"{root.rstrip('/')}/{zone}" for zone in ("curated", "standardised")}
+    is_json = spec.fmt == "json"
+    curated = zone_path(root, "curated", spec.curated_path)
+    if is_json:
+        curated = json_table_path(zones["curated"], spec.name)
     if paths is None:
-        paths = raw_subtrees(spark, zone_path(root, "raw", spec.raw_path), after)
+        paths = [p for r in raw_roots(spec, root) for p in raw_subtrees(spark, r, after)]
     paths = list(paths)
-    curated = zone_path(root, "curated", spec.curated_path)
     if not paths:
         log.info("%s has no new files", spec.name)
         return curated
-    raw = read_raw(
-        spark,
-        paths,
-        spec.fmt,
-        spec.schema,
-        encoding=options.encoding if spec.fmt == "csv" else None,
-        sep=options.sep,
-        escape=options.escape,
-        multi_line=options.multi_line,
-    )
-    standardised = zone_path(root, "standardised", spec.name)
-    if spec.fmt == "json":
-        newer = raw
-        if after is not None:
-            newer = dates_from_path(raw).filter(F.col(INGESTION) > naive_time(after))
-        write_json_latest(newer, spec.name, f"{root.rstrip('/')}/curated", f"{root.rstrip('/')}/standardised")
-        return f"{root.rstrip('/')}/curated/json/{spec.name}/schema=v1/partition=Latest"
-    table = shaped(raw, spec, after).persist(StorageLevel.MEMORY_AND_DISK)
+    text = options.text() if spec.fmt == "csv" else {}
+    raw = read_raw(spark, paths, spec.fmt, spec.schema, **text)
+    if is_json:
+        write_json_latest(newer(dates_from_path(raw), after), spec.name, **zones)
+        return curated
+    table = shaped(raw, spec, after)
+    if options.storage is not None:
+        table = table.persist(options.storage)
     try:
-        append_standardised(table, standardised, options.level)
+        append_standardised(table, f"{zones['standardised']}/{spec.name}", options.level)
         final = cleaned(table, spec)
         write_curated(final, spec, curated)
-        if spec.destination == EXPORT_DESTINATION and options.export_url:
+        if exported:
             write_jdbc(
                 latest_rows(final, spec.keys),
                 options.export_url,
@@ -120,7 +132,8 @@ def load_table(
                 properties=options.export_properties,
             )
     finally:
-        table.unpersist()
+        if options.storage is not None:
+            table.unpersist()
     return curated
 
 
@@ -146,30 +159,30 @@ def load_dataset(
     after = floor_time(since or header["MaxIngestionDate"], "hour")
     until = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=1)
     specs = load_specs(tables, columns, dataset, table)
-    roots = {s.raw_path: zone_path(root, "raw", s.raw_path) for s in specs}
-    given = {full: raw_path for raw_path, full in roots.items()}
-    files = file_inventory(
-        spark, roots.values(), after=after, until=until, min_size=0
-    )
-    if given:
-        mapping = F.create_map(*[F.lit(part) for pair in given.items() for part in pair])
-        files = files.withColumn("DataLakePathRaw", mapping[F.col("DataLakePathRaw")])
+    configured = {zone_path(root, "raw", p): p for s in specs for p in s.raw_paths}
+    files = file_inventory(spark, configured, after=after, until=until, min_size=0)
+    if configured:
+        pairs = [F.lit(part) for pair in configured.items() for part in pair]
+        owner = F.element_at(F.create_map(*pairs), F.col("DataLakePathRaw"))
+        files = files.withColumn("DataLakePathRaw", owner)
     files = files.persist()
     try:
-        groups = load_groups(files_to_tables(files, tables.filter(F.col("DatasetName") == dataset)))
-        fed = {r["CuratedTableName"] for r in groups.select("CuratedTableName").distinct().collect()}
-        ready = [s for s in specs if s.name in fed]
-
-        def run(spec: TableSpec) -> str:
-            paths = raw_subtrees(spark, roots[spec.raw_path], after, until)
-            return load_table(spark, spec, root, paths, after, options)
-
-        if parallel > 1 and len(ready) > 1:
-            with ThreadPoolExecutor(min(parallel, len(ready))) as pool:
-                list(pool.map(run, ready))
-        else:
-            for spec in ready:
-                run(spec)
+        groups = load_groups(files_to_tables(files, config_rows(tables, dataset, table)))
+        fed = {r[0] for r in groups.select("CuratedTableName").distinct().collect()}
+        # Loads of one table share a standardised folder and follow each other.
+        ready: dict[str, list[TableSpec]] = {}
+        for spec in specs:
+            if spec.name in fed:
+                ready.setdefault(spec.name, []).append(spec)
+
+        def run(loads: list[TableSpec]) -> None:
+            for spec in loads:
+                roots = raw_roots(spec, root)
+                paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
+                load_table(spark, spec, root, paths, after, options)
+
+        with ThreadPoolExecutor(max(1, parallel)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(run), ready.values()))
         return run_summary(files, "ingestionDate", "extractDate").first()["summary"]
     finally:
         files.unpersist()

@@ -20,7 +20,7 @@ class TableSpec:
     """Where a table's raw files are, how to read them, and how to store the result."""
 
     name: str
-    raw_path: str
+    raw_paths: tuple[str, ...]
     curated_path: str
     fmt: str = "csv"
     scheme: str = "Latest"

@@ -16,26 +16,46 @@ from siltbed.fixed_values import (
 from siltbed.functions.paths import dates_from_path
 from siltbed.operators.columns import format_metadata, quoted
 from siltbed.operators.latest import key_columns, latest_rows
-from siltbed.operators.merge import touched_partitions, union_delta
-from siltbed.operators.partitions import calendar_columns, coarsen_key, date_hierarchy
+from siltbed.operators.merge import (
+    PRUNE_LIMIT,
+    delta_partitions,
+    touched_partitions,
+    union_delta,
+)
+from siltbed.operators.partitions import (
+    calendar_columns,
+    coarsen_key,
+    date_hierarchy,
+    level_columns,
+)
 from siltbed.sources import storage
 
 _FROM_DELTA = "__from_delta"
 
 
+# With this few partitions a task writes few files as it is.
+FEW_PARTITIONS = 2
+
+
 def write_partitioned(
-    df: DataFrame, path: str, partition_cols: Iterable[str], dynamic: bool = False
+    df: DataFrame,
+    path: str,
+    partition_cols: Iterable[str],
+    dynamic: bool = False,
+    gather: bool = True,
 ) -> None:
     """Overwrite ``path``, or with ``dynamic`` only the partitions ``df`` has rows for.
 
-    The rebalance hint gathers each partition's rows into few files, and lets
-    adaptive execution split a partition that holds a large share of all rows.
+    To ``gather``, a rebalance hint brings each partition's rows into few files,
+    and lets adaptive execution split a partition that holds a large share of
+    all rows over several tasks.
     """
     cols = list(partition_cols)
+    stored = _storable(df, cols)
+    if gather:
+        stored = stored.hint("rebalance", *[quoted(c) for c in cols])
     (
-        _storable(df, cols)
-        .hint("rebalance", *[quoted(c) for c in cols])
-        .write.mode("overwrite")
+        stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*cols)
         .parquet(path)
@@ -63,8 +83,7 @@ def read_table(
 def append_standardised(df: DataFrame, path: str, level: str = "Month") -> None:
     """Append rows below the calendar columns of their ingestion time. No shuffle."""
     dated = date_hierarchy(df, level)
-    new = [c for c in dated.columns if c not in df.columns]
-    dated.write.mode("append").partitionBy(*new).parquet(path)
+    dated.write.mode("append").partitionBy(*level_columns(level)).parquet(path)
 
 
 def overwrite_snapshot(
@@ -118,8 +137,14 @@ def upsert_partitions(
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
-    newest = _merged(touched_partitions(current, delta, cols), delta, keys, cols, order)
-    write_partitioned(newest, path, cols, dynamic=True)
+    found = delta_partitions(current, delta, cols).limit(PRUNE_LIMIT + 1).collect()
+    if not found:
+        return
+    touched = touched_partitions(current, delta, cols, found)
+    newest = _merged(touched, delta, keys, cols, order)
+    # The merge has already spread the rows by key, so a delta of one or two
+    # partitions is written as it is and saves a second shuffle.
+    write_partitioned(newest, path, cols, dynamic=True, gather=len(found) > FEW_PARTITIONS)
 
 
 def _merged(
@@ -129,10 +154,7 @@ def _merged(
         current.withColumn(_FROM_DELTA, F.lit(0)), delta.withColumn(_FROM_DELTA, F.lit(1))
     )
     partition = key_columns(both, keys, extra_keys, skip=[_FROM_DELTA, *order])
-    ranked = latest_rows(
-        both.select(_FROM_DELTA, *[quoted(c) for c in current.columns]), partition, order=[*order, _FROM_DELTA]
-    )
-    return ranked.drop(_FROM_DELTA)
+    return latest_rows(both, partition, order=[*order, _FROM_DELTA]).drop(_FROM_DELTA)
 
 
 def merge_full(
@@ -163,15 +185,18 @@ def merge_full(
     storage.swap_in(spark, path)
 
 
+def json_table_path(zone: str, source: str) -> str:
+    return f"{zone.rstrip('/')}/json/{source}/schema=v1/partition=Latest"
+
+
 def write_json_latest(df: DataFrame, source: str, curated: str, standardised: str) -> None:
     """Append a JSON table to the standardised zone and replace its curated copy."""
     rest = [c for c in df.columns if c not in METADATA_COLUMNS]
     dated = dates_from_path(df).select(*METADATA_COLUMNS, *[quoted(c) for c in rest])
     table = format_metadata(dated).persist()
     try:
-        below = f"json/{source}/schema=v1/partition=Latest"
-        table.write.mode("append").parquet(f"{standardised.rstrip('/')}/{below}")
-        table.write.mode("overwrite").parquet(f"{curated.rstrip('/')}/{below}")
+        table.write.mode("append").parquet(json_table_path(standardised, source))
+        table.write.mode("overwrite").parquet(json_table_path(curated, source))
     finally:
         table.unpersist()
 
@@ -187,7 +212,8 @@ def rewrite_by_month(
     table = spark.read.parquet(source)
     months = SCHEME_COLUMNS["YYYYMM"]
     if key_col in table.columns:
-        table = calendar_columns(coarsen_key(table, key_col), key_col, "YYYYMM").drop(PARTITION_DATE)
+        monthly = calendar_columns(coarsen_key(table, key_col), key_col, "YYYYMM")
+        table = monthly.drop(PARTITION_DATE)
     elif not set(months) <= set(table.columns):
         raise ValueError(f"{source} has neither {key_col} nor {', '.join(months)}")
     write_partitioned(table, target, months)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,7 +12,10 @@ from siltbed.functions.paths import extract_time, ingestion_time, plain_path
 from siltbed.sources import storage
 
 _LEVELS = tuple(TIME_UNIT_FORMATS)[:5]
-_INVENTORY = "fileName string, filePath string, DataLakePathRaw string, fileSize bigint, ingestionDate timestamp_ntz, extractDate timestamp_ntz"
+_INVENTORY = (
+    "fileName string, filePath string, DataLakePathRaw string, fileSize bigint, "
+    "ingestionDate timestamp_ntz, extractDate timestamp_ntz"
+)
 
 
 def naive_time(time: dt.datetime | None) -> Column:
@@ -130,45 +133,64 @@ def _overlap(paths: Iterable[str]) -> bool:
     return any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))
 
 
+def raw_options(
+    fmt: str,
+    encoding: str | None = None,
+    sep: str | None = None,
+    escape: str | None = '"',
+    multi_line: bool | None = None,
+    check_headers: bool = False,
+) -> dict[str, object]:
+    """Spark reader options of a raw format, for batch and for streaming.
+
+    CSV has a header, UTF-16 text, doubled quotes and line breaks inside values
+    unless told otherwise. As in Spark, the first file's header names the
+    columns of all files; ``check_headers`` makes a differing header an error.
+    JSON is one object per line, and a malformed line is an error.
+    """
+    if fmt == "csv":
+        options = {
+            "header": True,
+            "multiLine": multi_line is not False,
+            "encoding": encoding or "UTF-16",
+            "sep": sep or ",",
+            "enforceSchema": not check_headers,
+        }
+        return {**options, "escape": escape} if escape else options
+    if fmt == "json":
+        options = {"multiLine": bool(multi_line), "mode": "FAILFAST"}
+        return {**options, "encoding": encoding} if encoding else options
+    if fmt == "parquet":
+        return {}
+    raise ValueError(f"raw files are read as csv, json or parquet, not {fmt!r}")
+
+
 def read_raw(
     spark: SparkSession,
     paths: str | Iterable[str],
     fmt: str = "csv",
     schema: T.StructType | str | None = None,
-    encoding: str | None = None,
-    sep: str | None = None,
-    escape: str | None = '"',
-    multi_line: bool = True,
     recursive: bool = True,
     with_path: bool = True,
-    options: dict[str, str] | None = None,
+    options: Mapping[str, object] | None = None,
+    **text: object,
 ) -> DataFrame:
     """Read raw ``csv``, ``json`` or ``parquet`` files and add their ``path``.
 
-    CSV has a header, UTF-16 text, doubled quotes and line breaks inside values
-    unless told otherwise; without a schema every CSV column is a string.
+    Without a schema every CSV column is a string. ``text`` goes to
+    ``raw_options``; ``options`` are Spark's own and come last.
     """
-    if fmt not in ("csv", "json", "parquet"):
-        raise ValueError(f"raw files are read as csv, json or parquet, not {fmt!r}")
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.format(fmt).option("recursiveFileLookup", recursive)
-    if fmt == "csv":
-        reader = reader.options(
-            header=True, multiLine=multi_line, encoding=encoding or "UTF-16", sep=sep or ","
-        )
-        if escape:
-            reader = reader.option("escape", escape)
-    elif fmt == "json":
-        reader = reader.option("multiLine", multi_line)
-        if encoding:
-            reader = reader.option("encoding", encoding)
+    reader = reader.options(**{**raw_options(fmt, **text), **(options or {})})
     if schema is not None:
         reader = reader.schema(schema)
-    table = reader.options(**(options or {})).load(paths)
+    table = reader.load(paths)
     return table.withColumn(PATH, F.col("_metadata.file_path")) if with_path else table
 
 
 def rows_of_files(df: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows whose ``path`` is in the inventory ``files``, however each reader wrote it."""
-    listed = files.select(plain_path(F.replace("filePath", F.lit("%"), F.lit("%25"))).alias("__file"))
+    """Rows of ``df`` that come from a file in the inventory ``files``."""
+    # Readers percent-encode paths, the inventory does not.
+    listed = files.select(F.regexp_replace("filePath", r"^(\w+):///", "$1:/").alias("__file"))
     return df.join(listed, plain_path(F.col(PATH)) == F.col("__file"), "left_semi")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siltbed.fixed_values import PATH, RECENCY
 from siltbed.functions.paths import dates_from_path
 from siltbed.sinks.lake import merge_full, upsert_partitions
+from siltbed.sources.files import raw_options
 
 
 def stream_upsert(
@@ -22,7 +23,7 @@ def stream_upsert(
     partition_cols: Iterable[str] = (),
     fmt: str = "csv",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    options: Mapping[str, str] | None = None,
+    options: Mapping[str, object] | None = None,
     max_files: int | None = None,
     order: Iterable[str] = RECENCY,
 ) -> StreamingQuery:
@@ -37,7 +38,7 @@ def stream_upsert(
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    arrived = reader.options(**(options or {})).load(source)
+    arrived = reader.options(**{**raw_options(fmt), **(options or {})}).load(source)
     rows = dates_from_path(arrived.withColumn(PATH, F.col("_metadata.file_path")))
     if prepare is not None:
         rows = prepare(rows)
