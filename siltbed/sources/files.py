@@ -89,7 +89,7 @@ def file_inventory(
     """Files below ``roots`` newer than ``after``, with the times in their paths.
 
     The mark is floored to the hour unless ``floor`` is None. One listing serves
-    all roots; file contents are not read.
+    all roots; file contents are not read. Spark lists no file of zero bytes.
     """
     roots = list(dict.fromkeys([roots] if isinstance(roots, str) else roots))
     after = floor_time(after, floor)

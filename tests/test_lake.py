@@ -1,0 +1,242 @@
+"""Writing lake tables and reading them back."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltbed import (
+    TableSpec,
+    append_standardised,
+    merge_full,
+    overwrite_partitions,
+    overwrite_snapshot,
+    rewrite_by_month,
+    upsert_partitions,
+    write_curated,
+)
+from siltbed.sources import storage
+
+T1, T2 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 2, 2, 6, 7, 8)
+META = "path string, ingestionDateTime timestamp_ntz, extractDateTime timestamp_ntz"
+CURATED = "k string, v int, Part string, ing int"
+
+
+def values(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=str)
+
+
+def stored(spark, path, schema=None):
+    return (spark.read.schema(schema) if schema else spark.read).parquet(str(path))
+
+
+def test_snapshot_renders_times(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", "p", T1, T1), ("a", "q", T2, T1)], f"k string, {META}")
+    overwrite_snapshot(df, path, ["k"])
+    expected = [("a", "q", "2024-02-02 06:07:08", "2024-01-01 05:00:00")]
+    assert values(stored(spark, path)) == expected
+    overwrite_snapshot(df.limit(0), path, ["k"])
+    assert stored(spark, path).isEmpty()
+
+
+def test_append_uses_level_columns_even_if_present(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1, "p", T2, T2)], f"k string, Year int, {META}")
+    append_standardised(df, path, "Month")
+    append_standardised(df, path, "Month")
+    assert values(stored(spark, path), "k", "Year", "Month") == [("a", 2024, 2)] * 2
+    assert os.path.isdir(f"{path}/Year=2024/Month=2")
+    with pytest.raises(KeyError):
+        append_standardised(df, path, "Hour")
+
+
+def upserted(spark, path, rows, cols=("Part",), keys=("k",)):
+    upsert_partitions(spark.createDataFrame(rows, CURATED), path, keys, cols, ["ing"])
+    return values(stored(spark, path, CURATED), "k", "v", "Part", "ing")
+
+
+def test_upsert_creates_then_merges_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [("a", 1, "007", 1), ("b", 1, "007", 1), ("a", 1, "x", 1)]
+    assert upserted(spark, path, first) == sorted(first, key=str)
+    untouched = glob.glob(f"{path}/Part=x/*.parquet")
+    delta = [("a", 2, "007", 2), ("n", 2, "new", 2), ("b", 0, "007", 0)]
+    expected = [
+        ("a", 1, "x", 1),
+        ("a", 2, "007", 2),
+        ("b", 1, "007", 1),
+        ("n", 2, "new", 2),
+    ]
+    assert upserted(spark, path, delta) == expected
+    assert upserted(spark, path, delta) == expected
+    assert upserted(spark, path, []) == expected
+    assert glob.glob(f"{path}/Part=x/*.parquet") == untouched
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upserted(spark, path, [("a", 1, None, 1), ("b", 1, "", 1), ("c", 1, "x", 1)])
+    assert upserted(spark, path, [("a", 2, "", 2), (None, 2, None, 2)]) == [
+        ("a", 2, None, 2),
+        ("b", 1, None, 1),
+        ("c", 1, "x", 1),
+        (None, 2, None, 2),
+    ]
+
+
+def test_upsert_delta_wins_a_tie(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upserted(spark, path, [("a", 9, "x", 1)])
+    assert upserted(spark, path, [("a", 2, "x", 1)]) == [("a", 2, "x", 1)]
+
+
+def test_upsert_over_many_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{i}", 1, f"p{i % 7}", 1) for i in range(70)]
+    upserted(spark, path, rows)
+    delta = [(f"k{i}", 2, f"p{i % 7}", 2) for i in range(0, 70, 10)]
+    result = upserted(spark, path, delta)
+    assert len(result) == 70 and sum(r[1] for r in result) == 77
+
+
+def test_upsert_without_keys_keeps_distinct_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upserted(spark, path, [("a", 1, "x", 1), ("a", 2, "x", 1)], keys=())
+    assert upserted(spark, path, [("a", 2, "x", 2)], keys=()) == [("a", 1, "x", 1), ("a", 2, "x", 2)]
+
+
+def test_upsert_needs_the_table_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upserted(spark, path, [("a", 1, "x", 1)])
+    delta = spark.createDataFrame([("a", "x", 2)], "k string, Part string, ing int")
+    with pytest.raises(ValueError, match="lacks"):
+        upsert_partitions(delta, path, ["k"], ["Part"], ["ing"])
+
+
+def test_merge_full(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1, "x", 1), ("b", 1, "x", 1)], CURATED)
+    merge_full(rows, path, ["k"], ["Part"], ["ing"])
+    delta = spark.createDataFrame([("x", "b", 2, 2), ("y", "b", 3, 1)], "Part string, k string, v int, ing int")
+    for _ in range(2):
+        merge_full(delta, path, ["k"], ["Part"], ["ing"])
+        expected = [("a", 1, "x", 1), ("b", 2, "x", 2), ("b", 3, "y", 1)]
+        assert values(stored(spark, path)) == expected
+    narrow = spark.createDataFrame([("c", "x", 1)], "k string, Part string, ing int")
+    with pytest.raises(ValueError, match="lacks"):
+        merge_full(narrow, path, ["k"], ["Part"], ["ing"])
+    merge_full(narrow, path, ["k"], ["Part"], ["ing"], allow_missing=True)
+    assert stored(spark, path).filter("k = 'c' AND v IS NULL").count() == 1
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_merge_full_recovers_an_interrupted_swap(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1, "x", 1)], CURATED)
+    merge_full(rows, path, ["k"], (), ["ing"])
+    os.rename(path, storage.previous_version(path))
+    merge_full(rows.withColumn("k", F.lit("b")), path, ["k"], (), ["ing"])
+    assert values(stored(spark, path), "k") == [("a",), ("b",)]
+
+
+def test_rewrite_by_month(spark, tmp_path):
+    days, months = str(tmp_path / "d"), str(tmp_path / "m")
+    df = spark.createDataFrame([(1, "20240105"), (2, "20240131"), (3, "20240201")], "v int, PartitionKey string")
+    df.write.partitionBy("PartitionKey").parquet(days)
+    rewrite_by_month(spark, days, months)
+    assert values(stored(spark, months), "v", "PartitionKey", "Year", "Month") == [
+        (1, "202401", 2024, 1),
+        (2, "202401", 2024, 1),
+        (3, "202402", 2024, 2),
+    ]
+    keyless = str(tmp_path / "k")
+    with pytest.raises(ValueError, match="neither"):
+        spark.range(1).write.parquet(keyless)
+        rewrite_by_month(spark, keyless, months)
+    stored(spark, months).withColumn("Day", F.lit(1)).drop("PartitionKey").write.partitionBy(
+        "Year", "Month", "Day"
+    ).parquet(str(tmp_path / "ymd"))
+    rewrite_by_month(spark, str(tmp_path / "ymd"), str(tmp_path / "ym"))
+    assert values(stored(spark, tmp_path / "ym"), "v", "Month", "Day") == [(1, 1, 1), (2, 1, 1), (3, 2, 1)]
+
+
+def spec(scheme, role="Full", keys=("k",)):
+    return TableSpec("t", (), "t", scheme=scheme, role=role, keys=keys)
+
+
+KEYED = f"k string, v int, PartitionKey string, {META}"
+
+
+def test_route_by_date(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [
+        ("a", 1, "202401", "p", T1, T1),
+        ("a", 2, "202401", "p", T2, T1),
+        ("a", 3, "202402", "p", T1, T1),
+        ("a", 4, "bad", "p", T1, T1),
+        ("a", 5, "worse", "p", T1, T1),
+    ]
+    df = spark.createDataFrame(rows, KEYED)
+    write_curated(df, spec("YYYYMM", "History", ("k", "PartitionKey")), path)
+    assert values(stored(spark, path), "v") == [(2,), (3,), (4,), (5,)]
+    assert "PartitionKey" not in stored(spark, path).columns
+    delta = spark.createDataFrame([("a", 9, "202402", "p", T2, T2)], KEYED)
+    write_curated(delta, spec("YYYYMM", "Recent", ("k", "PartitionKey")), path)
+    assert values(stored(spark, path), "v") == [(2,), (4,), (5,), (9,)]
+
+
+def test_recent_creates_a_missing_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1, "20240102", "p", T1, T1)], KEYED)
+    write_curated(df, spec("YYYYMMDD", "Recent"), path)
+    assert values(stored(spark, path), "v", "Year", "Month", "Day") == [(1, 2024, 1, 2)]
+    assert "PartitionKey" not in stored(spark, path).columns
+
+
+def test_route_by_string(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = KEYED.replace("PartitionKey", "Part")
+    df = spark.createDataFrame([("a", 1, "007", "p", T1, T1), ("b", 2, "x", "p", T1, T1)], KEYED)
+    write_curated(df, spec("String"), path)
+    delta = spark.createDataFrame([("a", 3, "007", "p", T2, T1)], KEYED)
+    write_curated(delta, spec("String", "Recent"), path)
+    kept = stored(spark, path, schema.replace("timestamp_ntz", "string"))
+    assert values(kept, "k", "v", "Part") == [("a", 3, "007"), ("b", 2, "x")]
+
+
+def test_route_legacy_and_latest(spark, tmp_path):
+    columns = f"k string, question_name string, question_value string, {META}"
+    df = spark.createDataFrame([("a", "q", "1", "p", T1, T1), ("a", "q", "2", "p", T1, T1)], columns)
+    write_curated(df, spec("Legacy"), str(tmp_path / "l"))
+    write_curated(df, spec("Latest"), str(tmp_path / "s"))
+    assert stored(spark, tmp_path / "l").count() == 2
+    assert stored(spark, tmp_path / "s").count() == 1
+
+
+def test_unknown_routes(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, "2024", "p", T1, T1)], KEYED)
+    with pytest.raises(ValueError, match="scheme"):
+        write_curated(df, spec("YYYYWW"), str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="role"):
+        write_curated(df, spec("YYYY", "Sometimes"), str(tmp_path / "t"))
+
+
+def test_hot_partition_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(60_000, numPartitions=8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("Part"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.lit(1).alias("ing"),
+    )
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        overwrite_partitions(df, path, ["id"], ["Part"], ["ing"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(glob.glob(f"{path}/Part=hot/*.parquet")) > 1
+    assert stored(spark, path).count() == 60_000
