@@ -310,7 +310,7 @@ LOAD_SPEC = TableSpec(
 )
 
 
-def _event_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+def event_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
     key = F.date_format("ts", "yyyyMMdd")
     events = filed_events(spark, sf_dir).withColumn("Partitionkey", key).drop("ts")
     return write_tree(events, name, "csv", **CSV_TEXT)
@@ -331,10 +331,10 @@ QUALIFY row_number() OVER (
 """
 )
 def load_table_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, lake = _event_csv(spark, sf_dir, "load-raw"), scratch_path(spark, "load-lake")
+    raw, lake = event_csv(spark, sf_dir, "load-raw"), scratch_path(spark, "load-lake")
     after = dt.datetime(2024, 1, 5, 12)
     paths = raw_subtrees(spark, raw, after)
-    curated = load_table(spark, LOAD_SPEC, lake, paths, after)
+    curated = load_table(spark, LOAD_SPEC, lake, paths)
     return spark.read.parquet(curated).select(
         F.col("event_id").cast("bigint"),
         F.col("user_id").cast("bigint"),
@@ -398,7 +398,7 @@ FROM (SELECT * FROM snapshot UNION ALL SELECT * FROM fact_cost), newest
 """
 )
 def load_dataset_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, lake = _event_csv(spark, sf_dir, "dataset-raw"), scratch_path(spark, "dataset-lake")
+    raw, lake = event_csv(spark, sf_dir, "dataset-raw"), scratch_path(spark, "dataset-lake")
     summary = load_dataset(spark, lake, *_load_config(spark, raw), "shop", parallel=2)
     json.loads(summary)
     loaded = [

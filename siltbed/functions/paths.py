@@ -42,7 +42,9 @@ def ingestion_time(path: Column, pattern: str = INGESTION_PATTERN) -> Column:
 def extract_time(
     path: Column, pattern: str = EXTRACT_PATTERN, layout: str = EXTRACT_FORMAT
 ) -> Column:
-    return wall_clock(F.regexp_extract(path, pattern, 1), layout)
+    # A path without a stamp is null before it is parsed: a failed parse costs
+    # far more than the rest of the expression.
+    return wall_clock(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")), layout)
 
 
 def dates_from_path(
@@ -54,9 +56,10 @@ def dates_from_path(
 ) -> DataFrame:
     """Add the ingestion time and the extract time (else the ingestion time)."""
     path = F.col(path_col)
-    ingested = ingestion_time(path, ingestion_regex)
     extracted = extract_time(path, extract_regex, extract_format)
-    return df.withColumns({INGESTION: ingested, EXTRACT: F.coalesce(extracted, ingested)})
+    # Two steps, so that the ingestion time is parsed once per row.
+    dated = df.withColumn(INGESTION, ingestion_time(path, ingestion_regex))
+    return dated.withColumn(EXTRACT, F.coalesce(extracted, F.col(INGESTION)))
 
 
 def plain_path(path: Column) -> Column:

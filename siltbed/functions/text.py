@@ -16,9 +16,8 @@ from siltbed.fixed_values import (
     WORK_TYPE_PATTERN,
 )
 
-# A tag that ends on its own line, written without backtracking.
-TAG = r"<[^>\n\r\u0085\u2028\u2029]*+>"
-TAG_ACROSS_LINES = r"<[^>]*+>"
+TAG = "<.*?>"
+TAG_ACROSS_LINES = "<[^>]*+>"
 
 
 def without_html(text: Column, dotall: bool = False) -> Column:

@@ -73,16 +73,20 @@ def _holds(data_type: T.DataType, kinds: tuple[type, ...]) -> bool:
 
 
 def _newest_file(df: DataFrame, partition_col: str) -> DataFrame:
-    # The first aggregate runs on primitive buffers (hash based, combined before
-    # the shuffle) and leaves one row per file, so only that is sorted by struct.
-    dated = df.filter(quoted(partition_col).isNotNull() & F.col(INGESTION).isNotNull())
-    per_file = dated.groupBy(quoted(partition_col).alias(partition_col), INGESTION).agg(
+    # Both aggregates keep primitive buffers, so they hash instead of sorting and
+    # combine before the shuffle. The first leaves each ingestion time once per
+    # partition, which makes the second unambiguous.
+    # Rows without a time are dropped last: an earlier filter would be pushed
+    # below the parsing of the path and parse it a second time.
+    known = df.filter(quoted(partition_col).isNotNull())
+    per_file = known.groupBy(quoted(partition_col).alias(partition_col), INGESTION).agg(
         F.max(EXTRACT).alias(EXTRACT)
     )
     return (
-        per_file.groupBy(quoted(partition_col).alias(partition_col))
-        .agg(F.max(F.struct(INGESTION, EXTRACT)).alias("__newest"))
-        .select(quoted(partition_col), "__newest.*")
+        per_file.withColumnRenamed(INGESTION, "__ingested")
+        .groupBy(quoted(partition_col).alias(partition_col))
+        .agg(F.max("__ingested").alias(INGESTION), F.max_by(EXTRACT, "__ingested").alias(EXTRACT))
+        .filter(F.col(INGESTION).isNotNull())
     )
 
 
@@ -98,12 +102,28 @@ def latest_files(df: DataFrame, partition_col: str) -> DataFrame:
 def rows_of_latest_file(df: DataFrame, partition_col: str = "partitionKey") -> DataFrame:
     """All rows of each partition's newest file, names sanitised, metadata last.
 
-    The per-partition result is measured before it is broadcast.
+    Rows without times get them from their path, which is parsed once per file.
+    The small side of the join is measured before it is broadcast.
     """
-    dated = df if {INGESTION, EXTRACT} <= set(df.columns) else dates_from_path(df)
-    newest = broadcast_if_small(_newest_file(dated, partition_col))
-    joined = dated.join(newest, [partition_col, INGESTION, EXTRACT])
-    return sanitise_columns(joined.select(*[quoted(c) for c in dated.columns]), metadata_last=True)
+    if {INGESTION, EXTRACT} <= set(df.columns):
+        keys, newest = [partition_col, INGESTION, EXTRACT], _newest_file(df, partition_col)
+    else:
+        keys, newest = [partition_col, PATH], _newest_paths(df, partition_col)
+    joined = df.join(broadcast_if_small(newest), keys)
+    added = [c for c in newest.columns if c not in df.columns]
+    return sanitise_columns(
+        joined.select(*[quoted(c) for c in [*df.columns, *added]]), metadata_last=True
+    )
+
+
+def _newest_paths(df: DataFrame, partition_col: str) -> DataFrame:
+    partition = quoted(partition_col)
+    paths = df.filter(partition.isNotNull()).select(partition, PATH).distinct()
+    dated = dates_from_path(paths).filter(F.col(INGESTION).isNotNull())
+    newest_first = Window.partitionBy(partition).orderBy(*[F.desc(c) for c in RECENCY])
+    rank = "__file_rank"
+    ranked = dated.withColumn(rank, F.rank().over(newest_first))
+    return ranked.filter(F.col(rank) == 1).drop(rank)
 
 
 def partition_changes(df: DataFrame, date_cols: Iterable[str], table: str) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltbed.fixed_values import EXPORT_DESTINATION, INGESTION
+from siltbed.fixed_values import EXPORT_DESTINATION
 from siltbed.functions.paths import dates_from_path
 from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
@@ -28,7 +28,7 @@ from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import write_jdbc
 from siltbed.sinks.lake import append_standardised, json_table_path, write_json_latest
-from siltbed.sources.files import file_inventory, floor_time, naive_time, raw_subtrees, read_raw
+from siltbed.sources.files import file_inventory, floor_time, raw_subtrees, read_raw
 
 log = logging.getLogger(__name__)
 
@@ -63,13 +63,9 @@ def raw_roots(spec: TableSpec, root: str) -> list[str]:
     return [zone_path(root, "raw", path) for path in spec.raw_paths]
 
 
-def newer(dated: DataFrame, after: dt.datetime | None) -> DataFrame:
-    return dated if after is None else dated.filter(F.col(INGESTION) > naive_time(after))
-
-
-def shaped(raw: DataFrame, spec: TableSpec, after: dt.datetime | None = None) -> DataFrame:
-    """Raw rows newer than the mark, with times from their path and the configured columns."""
-    dated = newer(dates_from_path(rename_columns(raw, dict(spec.renames))), after)
+def shaped(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Raw rows with times from their path and the configured columns."""
+    dated = dates_from_path(rename_columns(raw, dict(spec.renames)))
     if spec.coarse_key:
         dated = coarsen_key(dated, spec.key_column)
     if spec.sanitised:
@@ -94,6 +90,9 @@ def load_table(
 ) -> str:
     """Load one table's new raw files; returns the path of its curated table.
 
+    Files are those in ``paths``, or all whose directory is newer than ``after``:
+    the mark picks directories, so no row has to be compared with it.
+
     Rows are parsed once: the standardised append, the curated write and the
     export share one persisted frame, which Spark rebuilds from the raw files
     if an executor is lost.
@@ -115,9 +114,9 @@ def load_table(
     text = options.text() if spec.fmt == "csv" else {}
     raw = read_raw(spark, paths, spec.fmt, spec.schema, **text)
     if is_json:
-        write_json_latest(newer(dates_from_path(raw), after), spec.name, **zones)
+        write_json_latest(raw, spec.name, **zones)
         return curated
-    table = shaped(raw, spec, after)
+    table = shaped(raw, spec)
     if options.storage is not None:
         table = table.persist(options.storage)
     try:
@@ -179,7 +178,7 @@ def load_dataset(
             for spec in loads:
                 roots = raw_roots(spec, root)
                 paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
-                load_table(spark, spec, root, paths, after, options)
+                load_table(spark, spec, root, paths, options=options)
 
         with ThreadPoolExecutor(max(1, parallel)) as pool:
             list(pool.map(inheritable_thread_target(spark)(run), ready.values()))

@@ -37,12 +37,13 @@ def raw_subtrees(
     root: str,
     after: dt.datetime | None = None,
     until: dt.datetime | None = None,
+    others: bool = False,
 ) -> list[str]:
     """Directories below ``root`` that hold all files with ``after < time <= until``.
 
     Only directories on a boundary are opened, so the number of listings follows
     the depth of the tree (years, months, days, hours, minutes) and not its size.
-    Children of ``root`` outside the layout are returned unpruned.
+    With ``others``, children of ``root`` outside the layout are returned too.
     """
     if not storage.exists(spark, root):
         return []
@@ -58,7 +59,7 @@ def raw_subtrees(
             child = f"{path.rstrip('/')}/{name}"
             unit, _, number = name.partition("=")
             if not (is_dir and unit == level and number.isdigit()):
-                if not prefix and not name.startswith(("_", ".")):
+                if others and not prefix and not name.startswith(("_", ".")):
                     kept.append(child)
                 continue
             here = (*prefix, int(number))
@@ -100,7 +101,7 @@ def file_inventory(
         for part in parts[1:]:
             found = found.unionByName(part)
         return found
-    subtrees = [path for root in roots for path in raw_subtrees(spark, root, after, until)]
+    subtrees = [path for root in roots for path in raw_subtrees(spark, root, after, until, True)]
     if not subtrees:
         return spark.createDataFrame([], _INVENTORY)
     listed = (

@@ -46,8 +46,12 @@ def test_latest_rows_limit_each_task_before_the_shuffle(spark):
 
 def test_latest_files_aggregate_rows_by_hash(spark):
     text = plan(spark, "latest_file_per_partition")
-    below = text[text.index("SortAggregate"):]
-    assert "HashAggregate" in below[below.rindex("SortAggregate"):]
+    assert text.count("HashAggregate") == 4 and "SortAggregate" not in text
+
+
+def test_paths_are_parsed_once_per_row(spark):
+    for name in ("latest_file_per_partition", "latest_row_per_key", "dates_from_path"):
+        assert plan(spark, name).count("regexp_replace") == 1
 
 
 def test_small_join_side_is_broadcast_after_measuring(spark):
