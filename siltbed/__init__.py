@@ -31,9 +31,10 @@ from siltbed.plans.catalog import (
     load_specs,
     ordered_columns,
     partition_schemes,
+    read_config,
     table_catalog,
 )
-from siltbed.plans.load import load_dataset, load_table
+from siltbed.plans.load import LoadOptions, load_dataset, load_table
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import copy_to_jdbc, log_partition_changes, write_jdbc
@@ -46,11 +47,12 @@ from siltbed.sinks.lake import (
     upsert_partitions,
     write_json_latest,
 )
-from siltbed.sources.files import file_inventory, raw_subtrees, read_raw
+from siltbed.sources.files import file_inventory, raw_subtrees, read_raw, rows_of_files
 from siltbed.sources.jdbc import read_jdbc
 from siltbed.streaming.upsert import stream_upsert
 
 __all__ = [
+    "LoadOptions",
     "TableSpec",
     "add_missing_columns",
     "append_standardised",
@@ -86,10 +88,12 @@ __all__ = [
     "plain_path",
     "project_columns",
     "raw_subtrees",
+    "read_config",
     "read_jdbc",
     "read_raw",
     "rename_columns",
     "rewrite_by_month",
+    "rows_of_files",
     "rows_of_latest_file",
     "run_summary",
     "sanitise_columns",

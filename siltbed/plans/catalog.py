@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from siltbed.fixed_values import EARLIEST_MARK, EXTERNAL_SCHEMA_PREFIX
@@ -21,6 +24,34 @@ GROUP_COLUMNS = (
 )
 
 
+@dataclass(frozen=True)
+class DatasetConfig:
+    """The configuration tables, narrowed to one dataset and optionally one table."""
+
+    roots: DataFrame
+    datasets: DataFrame
+    tables: DataFrame
+    columns: DataFrame
+    json_tables: DataFrame
+
+
+def read_config(
+    read: Callable[[str], DataFrame], dataset: str, table: str | None = None
+) -> DatasetConfig:
+    """Scan the configuration by table name; ``read`` may use JDBC or files.
+
+    Filters are pushed to the source, be it a database or Parquet.
+    """
+    marks = ("DatasetName", "MaxIngestionDateTime", "FlatFileExtension", "SchemaName")
+    return DatasetConfig(
+        roots=read("Configuration").select("DataLakeRootFolder"),
+        datasets=config_rows(read("Dataset"), dataset).select(*marks),
+        tables=config_rows(read("CuratedTable"), dataset, table),
+        columns=config_rows(read("CuratedColumn"), dataset, table),
+        json_tables=config_rows(read("JsonTable"), dataset),
+    )
+
+
 def config_rows(
     config: DataFrame, dataset: str, table: str | None = None, skip_method: str | None = None
 ) -> DataFrame:
@@ -79,11 +110,16 @@ def partition_schemes(catalog: DataFrame, column: str = "DataLakePartitionCurate
 
 
 def ordered_columns(columns: DataFrame) -> DataFrame:
-    """Per table its configured column names, once each, by ``ColumnId``."""
+    """Per table its configured column names, once each, by ``ColumnId``.
+
+    Names are made distinct before they are collected, so a list is no longer
+    than its table is wide.
+    """
     named = columns.dropna(subset=["CuratedTableName"])
+    first = named.groupBy("CuratedTableName", "ColumnName").agg(F.min("ColumnId").alias("ColumnId"))
     by_id = F.array_sort(F.collect_list(F.struct("ColumnId", "ColumnName")))
-    names = F.array_distinct(F.transform(by_id, lambda c: c["ColumnName"]))
-    return named.groupBy("CuratedTableName").agg(names.alias("ColumnNames"))
+    names = F.transform(by_id, lambda c: c["ColumnName"])
+    return first.groupBy("CuratedTableName").agg(names.alias("ColumnNames"))
 
 
 def column_defaults(columns: DataFrame) -> DataFrame:

@@ -159,7 +159,7 @@ def load_dataset(
     until = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=1)
     specs = load_specs(tables, columns, dataset, table)
     configured = {zone_path(root, "raw", p): p for s in specs for p in s.raw_paths}
-    files = file_inventory(spark, configured, after=after, until=until)
+    files = file_inventory(spark, configured, after=after, until=until, others=False)
     if configured:
         pairs = [F.lit(part) for pair in configured.items() for part in pair]
         owner = F.element_at(F.create_map(*pairs), F.col("DataLakePathRaw"))

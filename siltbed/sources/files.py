@@ -86,22 +86,24 @@ def file_inventory(
     until: dt.datetime | None = None,
     floor: str | None = "hour",
     min_size: int = 1,
+    others: bool = True,
 ) -> DataFrame:
     """Files below ``roots`` newer than ``after``, with the times in their paths.
 
-    The mark is floored to the hour unless ``floor`` is None. One listing serves
+    Without ``others`` only directories directly below a root are searched for
+    times. The mark is floored to the hour unless ``floor`` is None. One listing serves
     all roots; file contents are not read. Spark lists no file of zero bytes.
     """
     roots = list(dict.fromkeys([roots] if isinstance(roots, str) else roots))
     after = floor_time(after, floor)
     full = {root: storage.qualified(spark, root).rstrip("/") + "/" for root in roots}
     if _overlap(full.values()):
-        parts = [file_inventory(spark, r, glob, after, until, None, min_size) for r in roots]
+        parts = [file_inventory(spark, r, glob, after, until, None, min_size, others) for r in roots]
         found = parts[0]
         for part in parts[1:]:
             found = found.unionByName(part)
         return found
-    subtrees = [path for root in roots for path in raw_subtrees(spark, root, after, until, True)]
+    subtrees = [p for root in roots for p in raw_subtrees(spark, root, after, until, others)]
     if not subtrees:
         return spark.createDataFrame([], _INVENTORY)
     listed = (

@@ -16,6 +16,7 @@ from siltbed import (
     load_specs,
     load_table,
     ordered_columns,
+    read_config,
     stream_upsert,
     table_catalog,
 )
@@ -105,6 +106,23 @@ def test_config_rows_and_header(spark):
     assert tuple(dataset_header(datasets, "shop").first()) == (dt.datetime(1900, 1, 1), "ext_s", "csv")
 
 
+def test_read_config(spark, tmp_path):
+    frames = {
+        "Configuration": spark.createDataFrame([("root",)], "DataLakeRootFolder string"),
+        "Dataset": spark.createDataFrame([("shop", None, "csv", "s"), ("x", None, "csv", "s")], DATASET_CONFIG),
+        "CuratedTable": spark.createDataFrame([table_row("t", "r"), table_row("u", "r")], TABLE_CONFIG),
+        "CuratedColumn": spark.createDataFrame([*column_rows("t", "k"), *column_rows("u", "k")], COLUMN_CONFIG),
+        "JsonTable": spark.createDataFrame([("shop", "j"), ("x", "j")], "DatasetName string, JsonName string"),
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(str(tmp_path / name))
+    config = read_config(lambda name: spark.read.parquet(str(tmp_path / name)), "shop", "t")
+    assert config.roots.first()[0] == "root"
+    for frame in (config.datasets, config.tables, config.columns, config.json_tables):
+        assert frame.count() == 1
+    assert read_config(frames.__getitem__, "shop").tables.count() == 2
+
+
 def test_catalog_skips_inactive_queries(spark):
     datasets = spark.createDataFrame([(1, "shop", "d/"), (2, "x", "e/")], "DatasetKey int, DatasetName string, DataLakePathRaw string")
     tables = spark.createDataFrame([(1, 7, "t", "c/", 2)], "DatasetKey int, TableKey int, TableName string, DataLakePathCurated string, SchemaVersion int")
