@@ -131,37 +131,44 @@ def prepared(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return inputs
 
 
-def timed(runs: Runs, repeats: int) -> dict[str, float]:
-    seconds = {}
-    for name, run in runs.items():
-        run()
-        samples = []
-        for _ in range(repeats):
-            start = time.perf_counter()
-            run()
-            samples.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(samples), 3)
-        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
-    return seconds
+def timed(sets: dict[str, Runs], repeats: int) -> dict[str, dict[str, float]]:
+    """Median seconds by set and name. Rounds are interleaved after a warm-up round,
+    so that compared runs meet the same state of the JVM."""
+    samples = {label: {name: [] for name in runs} for label, runs in sets.items()}
+    for lap in range(repeats + 1):
+        for name in next(iter(sets.values())):
+            for label, runs in sets.items():
+                if name not in runs:
+                    continue
+                start = time.perf_counter()
+                runs[name]()
+                taken = time.perf_counter() - start
+                if lap:
+                    samples[label][name].append(taken)
+                print(f"{lap} {label} {name}: {taken:.3f}", file=sys.stderr, flush=True)
+    return {
+        label: {name: round(statistics.median(taken), 3) for name, taken in by_name.items()}
+        for label, by_name in samples.items()
+    }
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("siltbed-bench", os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
-    repeats = int(os.environ.get("BENCH_RUNS", "3"))
     inputs = prepared(spark, sf_dir)
-    queries = timed(headline(spark, sf_dir, inputs), repeats)
+    sets = {"queries": headline(spark, sf_dir, inputs)}
+    if "--compare" in sys.argv[1:]:
+        sets["straightforward"] = straightforward(spark, sf_dir, inputs)
+    seconds = timed(sets, int(os.environ.get("BENCH_RUNS", "3")))
+    spark.stop()
     result = {
         "metric": "total_seconds",
-        "value": round(sum(queries.values()), 3),
+        "value": round(sum(seconds["queries"].values()), 3),
         "unit": "sec",
-        "queries": queries,
+        **seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
-    if "--compare" in sys.argv[1:]:
-        result["straightforward"] = timed(straightforward(spark, sf_dir, inputs), repeats)
-    spark.stop()
     print(json.dumps(result))
 
 
