@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from siltbed.fixed_values import EARLIEST_MARK, EXTERNAL_SCHEMA_PREFIX
 from siltbed.functions.keys import parse_key_list
 from siltbed.plans.spec import TableSpec
+from siltbed.session import broadcast_if_small
 
 GROUP_COLUMNS = (
     "CuratedTableName",
@@ -133,9 +134,13 @@ def column_defaults(columns: DataFrame) -> DataFrame:
 
 
 def files_to_tables(files: DataFrame, tables: DataFrame) -> DataFrame:
-    """Each found file with the configuration of every table fed from its raw path."""
+    """Each found file with the configuration of every table fed from its raw path.
+
+    The configuration is measured and, as long as it is small, broadcast, so a raw
+    path with most of the files is not gathered in one task.
+    """
     keys = [c for c in ("DataLakePathRaw", "CuratedTableName") if c in files.columns]
-    return files.join(tables, keys)
+    return files.join(broadcast_if_small(tables), keys)
 
 
 def load_groups(matched: DataFrame) -> DataFrame:

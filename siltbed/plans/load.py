@@ -112,7 +112,7 @@ def load_table(
         log.info("%s has no new files", spec.name)
         return curated
     text = options.text() if spec.fmt == "csv" else {}
-    raw = read_raw(spark, paths, spec.fmt, spec.schema, **text)
+    raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), **text)
     if is_json:
         write_json_latest(raw, spec.name, **zones)
         return curated

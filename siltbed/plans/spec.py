@@ -10,6 +10,7 @@ from siltbed.fixed_values import (
     COARSE_KEY_TABLES,
     FORM_ANSWER_HTML_COLUMNS,
     FORM_ANSWER_TABLES,
+    METADATA_COLUMNS,
     PARTITION_KEY,
     SANITISED_TABLES,
 )
@@ -35,6 +36,16 @@ class TableSpec:
     renames: Mapping[str, str] = field(default_factory=lambda: {"Partitionkey": PARTITION_KEY})
     schema: str | None = None
 
+    def raw_schema(self) -> str | None:
+        """Schema to read with, if known: configured JSON fields are read as text.
+
+        CSV takes its columns from the header instead.
+        """
+        fields = [c for c in self.columns if c not in METADATA_COLUMNS]
+        if self.schema is not None or self.fmt != "json" or not fields:
+            return self.schema
+        return ", ".join(f"`{c}` string" for c in fields)
+
     @property
     def coarse_key(self) -> bool:
         return self.name in COARSE_KEY_TABLES

@@ -149,7 +149,8 @@ def raw_options(
     CSV has a header, UTF-16 text, doubled quotes and line breaks inside values
     unless told otherwise. As in Spark, the first file's header names the
     columns of all files; ``check_headers`` makes a differing header an error.
-    JSON is one object per line, and a malformed line is an error.
+    JSON is one object per line, a malformed line is an error, and values without
+    a schema stay text, as in CSV.
     """
     if fmt == "csv":
         options = {
@@ -161,7 +162,11 @@ def raw_options(
         }
         return {**options, "escape": escape} if escape else options
     if fmt == "json":
-        options = {"multiLine": bool(multi_line), "mode": "FAILFAST"}
+        options = {
+            "multiLine": bool(multi_line),
+            "mode": "FAILFAST",
+            "primitivesAsString": True,
+        }
         return {**options, "encoding": encoding} if encoding else options
     if fmt == "parquet":
         return {}

@@ -172,6 +172,16 @@ def test_load_sanitised_table_and_case_variants(spark, tmp_path):
     assert (row["Matter_Id"], row["Name"], row["note"]) == ("1", "x", None)
 
 
+def test_load_json_reads_configured_fields_as_text(spark, tmp_path):
+    put(tmp_path / "raw/j", at(2), "j.json", '{"id": 1, "o": {"a": 2}, "extra": 3}\n', "utf-8")
+    for columns, fields in (((), {"id", "o", "extra"}), (("id", "o"), {"id", "o"})):
+        spec = TableSpec("j", ("j",), "unused", fmt="json", columns=columns)
+        stored = spark.read.parquet(load_table(spark, spec, str(tmp_path)))
+        assert set(stored.columns) == {"path", "ingestionDateTime", "extractDateTime", *fields}
+        assert dict(stored.dtypes)["id"] == "string"
+    assert stored.first()["o"] == '{"a": 2}'
+
+
 def test_load_without_new_files_writes_nothing(spark, tmp_path):
     spec = TableSpec("t", ("r",), "C")
     assert load_table(spark, spec, str(tmp_path)) == f"{tmp_path}/curated/C"
