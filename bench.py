@@ -132,12 +132,15 @@ def prepared(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def timed(sets: dict[str, Runs], repeats: int) -> dict[str, dict[str, float]]:
-    """Median seconds by set and name. Rounds are interleaved after a warm-up round,
-    so that compared runs meet the same state of the JVM."""
+    """Median seconds by set and name, interleaved after a warm-up round.
+
+    Compared runs so meet the same state of the JVM.
+    """
     samples = {label: {name: [] for name in runs} for label, runs in sets.items()}
     for lap in range(repeats + 1):
         for name in next(iter(sets.values())):
-            for label, runs in sets.items():
+            # Take turns in going first.
+            for label, runs in sorted(sets.items(), reverse=lap % 2 == 0):
                 if name not in runs:
                     continue
                 start = time.perf_counter()

@@ -73,10 +73,12 @@ def read_table(
     spark: SparkSession, path: str, partition_types: Mapping[str, T.DataType]
 ) -> DataFrame:
     """A stored table whose partition values keep the given types (``'007'`` stays text)."""
-    found = spark.read.parquet(path).schema
+    inferred = spark.read.parquet(path)
     schema = T.StructType(
-        [T.StructField(f.name, partition_types.get(f.name, f.dataType)) for f in found]
+        [T.StructField(f.name, partition_types.get(f.name, f.dataType)) for f in inferred.schema]
     )
+    if schema == inferred.schema:
+        return inferred
     return spark.read.schema(schema).parquet(path)
 
 
