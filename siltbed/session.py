@@ -44,9 +44,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/siltbed/{name}-{uuid.uuid4().hex}"
-    storage.delete_on_exit(spark, path)
-    return path
+    folder = f"{shared_folder(spark).rstrip('/')}/siltbed/{uuid.uuid4().hex}"
+    storage.delete_on_exit(spark, folder)
+    return f"{folder}/{name}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -34,8 +34,11 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name, _ in children(spark, path))
 
 
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    fs, target = _path(spark, path)
+def delete_on_exit(spark: SparkSession, folder: str) -> None:
+    """Create ``folder`` if need be, and have the JVM remove it when it ends."""
+    fs, target = _path(spark, folder)
+    # Hadoop only remembers paths that exist.
+    fs.mkdirs(target)
     fs.deleteOnExit(target)
 
 
