@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,3 +61,30 @@ def batches_of(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[p
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of each key together, from batches sorted by the keys; groups may cross batches."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            changed[1:] |= column[1:] != column[:-1]
+        starts = np.flatnonzero(changed).tolist()
+        for a, b in zip([0, *starts], [*starts, batch.num_rows]):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield _joined(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)

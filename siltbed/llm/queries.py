@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import exact_dedup, mixing, packing, token_counts
+from siltbed.llm import exact_dedup, mixing, packing, simhash, token_counts
 from siltbed.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir, "doc_id", "source", "text"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_best_fit_packing,
         op4_token_counts,
+        op5_simhash_near_dedup,
         op6_mix_sources,
         op7_exact_dedup,
     )
