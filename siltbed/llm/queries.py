@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import exact_dedup, mixing, packing, simhash, token_counts
-from siltbed.llm.common import documents
+from siltbed.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity
+from siltbed.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -40,6 +44,7 @@ QUERIES: dict[str, Query] = {
         op5_simhash_near_dedup,
         op6_mix_sources,
         op7_exact_dedup,
+        op10_toxicity,
     )
 }
 
