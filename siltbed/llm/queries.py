@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity
+from siltbed.llm import exact_dedup, language, mixing, packing, simhash, token_counts, toxicity
 from siltbed.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
         op5_simhash_near_dedup,
         op6_mix_sources,
         op7_exact_dedup,
+        op8_language_id,
         op10_toxicity,
     )
 }
