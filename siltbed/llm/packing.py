@@ -6,7 +6,9 @@ tokens. Pieces are dealt by the hash of their row number into buckets of about
 last open sequences are all that separate buckets cost. Within a bucket the longest come
 first, and each piece goes where the sum over gaps of the squared number of open
 sequences with that gap becomes smallest: a full sequence has no gap and costs nothing.
-Ties go to the smallest gap, then to an open sequence before a new one.
+Ties go to the smallest gap, then to an open sequence before a new one. At the end the
+sequences that are still open are emptied and their pieces placed again, longest first,
+each into the smallest gap it fits; that stands if it takes fewer sequences.
 
 Null text counts as empty and is one piece with the end id alone. Repeated rows are
 packed each. An empty table gives an empty result.
@@ -14,6 +16,7 @@ packed each. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import zlib
 from collections.abc import Iterable, Iterator
@@ -129,6 +132,37 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return sequence, offset
 
 
+def smallest_gaps(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence number and offset of each length, each in the smallest gap it fits."""
+    sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    gaps: list[tuple[int, int]] = []
+    made = 0
+    for i, n in enumerate(lengths.tolist()):
+        at = bisect.bisect_left(gaps, (n, -1))
+        if at < len(gaps):
+            gap, b = gaps.pop(at)
+        else:
+            gap, b = capacity, made
+            made += 1
+        sequence[i], offset[i] = b, capacity - gap
+        if gap > n:
+            bisect.insort(gaps, (gap - n, b))
+    return sequence, offset
+
+
+def packed_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of squares, then the open sequences again; ``lengths`` fall."""
+    sequence, offset = sum_of_squares(lengths, capacity)
+    if not len(lengths):
+        return sequence, offset
+    filled = np.bincount(sequence, lengths).astype(np.int64)
+    again = filled[sequence] < capacity
+    number, at = smallest_gaps(lengths[again], capacity)
+    if len(number) and number.max() + 1 < (filled < capacity).sum():
+        sequence[again], offset[again] = number + len(filled), at
+    return sequence, offset
+
+
 def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
     """Adds sequence_id and offset to pieces with a ``length`` of at most ``capacity``."""
     columns = parts.columns
@@ -140,7 +174,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "__row"], ascending=[False, True])
-        number, at = sum_of_squares(group["length"].to_numpy(), capacity)
+        number, at = packed_lengths(group["length"].to_numpy(), capacity)
         group["sequence_id"] = (group["__bucket"].to_numpy() << 32) + number
         group["offset"] = at
         return group
