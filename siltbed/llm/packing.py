@@ -34,8 +34,8 @@ MODEL = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0
 BUCKET_PIECES = 65_536
-#: Words whose ids a task remembers, and their most characters.
-REMEMBERED, LONGEST = 200_000, 64
+#: Parts of texts whose ids a Python worker remembers, and their most characters.
+REMEMBERED, LONGEST = 500_000, 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,25 +58,38 @@ class Ids(dict):
         self[""] = b""
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.library.encode(part, add_special_tokens=False).ids
-        ids = np.array(ids, "<u4").tobytes()
-        if len(part) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-                self[""] = b""
+        # The tokenizer lower-cases, so capitals of A-Z only matter in special strings.
+        lower = part.lower() if part.isascii() and "<|" not in part else part
+        if lower != part:
+            ids = self[lower]
+        elif part[-1] in ".,;:!?" and part[:-1].isalpha():
+            # A sign after a letter is a pre-token of its own.
+            ids = self[part[:-1]] + self[part[-1]] if len(part) > 1 else self.of_library(part)
+        else:
+            ids = self.of_library(part)
+        if len(part) <= LONGEST and len(self) < REMEMBERED:
             self[part] = ids
         return ids
 
+    def of_library(self, part: str) -> bytes:
+        return np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
     def of_text(self, text: str | None) -> bytes:
         parts = (text or "").replace("\n", " ").split(" ")
         return b"".join(map(self.__getitem__, parts))
 
 
+@functools.cache
+def remembered(model: str) -> Ids:
+    """What this Python worker knows; later tasks in the same worker go on with it."""
+    return Ids(model)
+
+
 def pieces(docs: DataFrame, model: str = MODEL, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """The pieces of every document, with their token ids (binary) if wanted."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = Ids(model), np.array([END], "<u4").tobytes()
+        known, end = remembered(model), np.array([END], "<u4").tobytes()
         for batch in batches_of(batches, 256):
             out: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import exact_dedup, language, mixing, packing, simhash, token_counts, topk, toxicity
+from siltbed.llm import exact_dedup, language, mixing, packing, pii, simhash, token_counts, topk, toxicity
 from siltbed.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_best_fit_packing,
         op2_exact_top_k,
+        op3_pii,
         op4_token_counts,
         op5_simhash_near_dedup,
         op6_mix_sources,
