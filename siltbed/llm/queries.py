@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import exact_dedup, language, mixing, packing, pii, simhash, token_counts, topk, toxicity
+from siltbed.llm import exact_dedup, language, mixing, packing, pii, repeats, simhash, token_counts, topk, toxicity
 from siltbed.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).drop("kept")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
         op6_mix_sources,
         op7_exact_dedup,
         op8_language_id,
+        op9_suffix_dedup,
         op10_toxicity,
     )
 }
