@@ -16,6 +16,12 @@ chunks by hash and every two chunks are compared in a task of their own. A task
 a spanning forest of its links (at most one edge for each of its fingerprints), never
 all pairs of a group; connected components join the forests.
 
+``drop_near_duplicates``, the stage, looks for similar texts rather than for one rule: it
+takes a second fingerprint, of 5-word shingles with another seed. Two texts link at 8
+differing bits or fewer in the first (2 in one block, so anchors within 5) and 20 or fewer
+in both, which is what a similarity of 0.8 gives on average; unrelated texts don't get
+there by chance, as they do at 8 bits of 64 in a large corpus.
+
 Null and empty texts, and texts of white space, have fingerprint zero and link like any
 others. Rows without an id don't name a component, but do link. Repeated rows get the
 same result each. An empty table gives an empty result.
@@ -43,18 +49,21 @@ RADIUS = 3
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b110001110101
 CHUNK = 2048
+#: The stage: words and seed of the second fingerprint, bits of the first and of both.
+SECOND_WORDS, SECOND_SEED = 5, 43
+STAGE_BITS, STAGE_BOTH = 8, 20
 #: Shingles hashed at once.
 SHINGLES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     """Fingerprint of a whole text."""
     parts = (text or "").encode().lower().split()
     if not parts:
         return 0
     joined = b" ".join(parts)
     if len(parts) <= words:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return xxhash.xxh64_intdigest(joined, seed)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(parts) - words + 1].tolist()
@@ -62,30 +71,42 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     digest, set_bits = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, len(starts), SHINGLES_AT_ONCE):
         spans = zip(starts[at : at + SHINGLES_AT_ONCE], ends[at : at + SHINGLES_AT_ONCE])
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+        hashes = np.array([digest(joined[a:b], seed) for a, b in spans], "<u8")
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         set_bits += bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * set_bits > len(starts), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` without its text, with the fingerprint as a long."""
-    others = [c for c in docs.columns if c != text]
+def fingerprints(docs: DataFrame, both: bool = False) -> DataFrame:
+    """``docs`` without its text, with fingerprint, second (or 0) and their node as longs."""
+    others = [c for c in docs.columns if c != "text"]
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
-            found = np.array([fingerprint(t, words) for t in batch[text].to_pylist()], np.uint64)
-            columns = [batch[c] for c in others] + [pa.array(found.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, [*others, "fingerprint"])
+            texts = batch["text"].to_pylist()
+            one = np.array([fingerprint(t) for t in texts], np.uint64)
+            two = np.zeros_like(one)
+            if both:
+                two = np.array([fingerprint(t, SECOND_WORDS, SECOND_SEED) for t in texts], np.uint64)
+            added = [pa.array(x.view(np.int64)) for x in (one, two, nodes(one, two))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in others), *added], [*others, "fingerprint", "second", "node"]
+            )
 
     kinds = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "fingerprint long"])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "fingerprint long, second long, node long"])
     return map_batches(docs, compute, schema)
 
 
+def nodes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A name for each pair of fingerprints; the first itself where there is no second."""
+    out = two * np.uint64(0x9E3779B97F4A7C15)
+    return one ^ out ^ (out >> np.uint64(29))
+
+
 @functools.cache
-def _golay() -> tuple[np.ndarray, np.ndarray]:
-    """Remainders of the 23 bits, and by remainder the errors of at most RADIUS + 1 bits."""
+def _golay(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Remainders of the 23 bits, and by remainder the errors of at most so many bits."""
     remainders = []
     for i in range(23):
         value = 1 << i
@@ -101,7 +122,7 @@ def _golay() -> tuple[np.ndarray, np.ndarray]:
             for i in range(first, 23):
                 add(i + 1, error | 1 << i, rest ^ remainders[i], left - 1)
 
-    add(0, 0, 0, RADIUS + 1)
+    add(0, 0, 0, most)
     width = max(map(len, by_rest))
     table = np.full((2048, width), -1, np.int64)
     for rest, errors in enumerate(by_rest):
@@ -109,9 +130,9 @@ def _golay() -> tuple[np.ndarray, np.ndarray]:
     return np.array(remainders, np.int64), table
 
 
-def anchors(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and anchor of each anchor within RADIUS + 1 of the given block values."""
-    remainders, table = _golay()
+def anchors(values: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and anchor of each anchor within RADIUS + apart of the given block values."""
+    remainders, table = _golay(RADIUS + apart)
     rest = np.zeros(len(values), np.int64)
     for i in range(23):
         rest ^= np.where(values >> i & 1, remainders[i], 0)
@@ -120,80 +141,119 @@ def anchors(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, values[rows] ^ errors[rows, places]
 
 
-def forest(prints: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links between distinct fingerprints."""
-    linked = np.zeros(len(prints), bool)
-    for at in range(0, len(prints), 512):
-        apart = np.bitwise_count(prints[at : at + 512, None] ^ prints[None, :])
-        linked[at : at + 512] = (apart <= max_bits).sum(axis=1) > 1
-    left = prints[linked]
+def forest(one: np.ndarray, two: np.ndarray, bits: int, both: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between the nodes of a spanning forest of the links between fingerprints."""
+
+    def near(i: int, places: np.ndarray) -> np.ndarray:
+        first = np.bitwise_count(one[places] ^ one[i])
+        return (first <= bits) & (first + np.bitwise_count(two[places] ^ two[i]) <= both)
+
+    linked = np.zeros(len(one), bool)
+    for at in range(0, len(one), 512):
+        apart = np.bitwise_count(one[at : at + 512, None] ^ one[None, :])
+        linked[at : at + 512] = (apart <= bits).sum(axis=1) > 1
+    left = np.flatnonzero(linked)
     a, b = [], []
     while len(left):
         root, left = left[0], left[1:]
         reached = [root]
         while reached and len(left):
-            near = np.bitwise_count(left ^ reached.pop()) <= max_bits
-            if near.any():
-                found = left[near]
-                left = left[~near]
+            hit = near(reached.pop(), left)
+            if hit.any():
+                found, left = left[hit], left[~hit]
                 reached.extend(found)
                 a.extend(found)
                 b.extend([root] * len(found))
-    return np.array(a, np.uint64), np.array(b, np.uint64)
+    names = nodes(one, two)
+    return names[np.array(a, np.int64)], names[np.array(b, np.int64)]
 
 
-def links(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Edges ``a``, ``b`` that join all linked fingerprints of a column of distinct ones."""
+def links(prints: DataFrame, bits: int = MAX_BITS, both: int = 2 * 64, chunk: int = CHUNK) -> DataFrame:
+    """Edges ``a``, ``b`` that join all linked nodes of distinct fingerprint and second."""
 
     def replicate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(batches, 16_384):
-            prints = batch["fingerprint"].to_numpy().view(np.uint64)
-            for block, (first, bits) in enumerate(BLOCKS):
-                values = (prints >> np.uint64(first) & np.uint64((1 << bits) - 1)).astype(np.int64)
-                rows, near = anchors(values)
+        for batch in batches_of(batches, 8192):
+            one, two = (batch[c].to_numpy() for c in ("fingerprint", "second"))
+            for block, (first, width) in enumerate(BLOCKS):
+                values = one.view(np.uint64) >> np.uint64(first) & np.uint64((1 << width) - 1)
+                rows, near = anchors(values.astype(np.int64), bits // len(BLOCKS))
+                anchor = (block << 23 | near).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((block << 23 | near).astype(np.int32)),
-                        pa.array(prints[rows].view(np.int64)),
-                    ],
-                    ["anchor", "fingerprint"],
+                    [*map(pa.array, (anchor, one[rows], two[rows]))], ["anchor", "fingerprint", "second"]
                 )
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["anchor", "p", "q"]):
-            a, b = forest(group["fingerprint"].to_numpy().view(np.uint64))
+            one, two = (group[c].to_numpy().view(np.uint64) for c in ("fingerprint", "second"))
+            a, b = forest(one, two, bits, both)
             if len(a):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"]
                 )
 
-    near = written(map_batches(prints, replicate, "anchor int, fingerprint long"), "replicas")
+    near = written(map_batches(prints, replicate, "anchor int, fingerprint long, second long"), "replicas")
     # One row an anchor: at most 3 x 4,096, whatever the input.
     sizes = near.groupBy("anchor").count().filter("count > 1")
     chunks = F.ceil(F.col("count") / chunk)
     near = near.join(F.broadcast(sizes.select("anchor", chunks.alias("chunks"))), "anchor")
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("chunks"))
+    own = F.pmod(F.xxhash64("fingerprint", "second"), F.col("chunks"))
     near = near.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    near = near.select("anchor", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fingerprint")
-    dealt = near.repartition("anchor", "p", "q").sortWithinPartitions("anchor", "p", "q")
+    dealt = near.select(
+        "anchor", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fingerprint", "second"
+    )
+    dealt = dealt.repartition("anchor", "p", "q").sortWithinPartitions("anchor", "p", "q")
     return map_batches(dealt, compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """One row for each document: its columns but ``text``, fingerprint (long), component_id."""
-    own = written(fingerprints(docs, words=words), "fingerprints")
-    prints = written(own.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
-    parts = connected_components(links(prints.select("fingerprint")))
-    # Fingerprints without links are components of their own.
-    linked = prints.join(parts, prints["fingerprint"] == parts["node"], "left")
-    linked = written(linked.select("fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("part")), "parts")
+def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, both: int | None = None) -> DataFrame:
+    """Each document's columns but ``text``, fingerprint (long), part (a long), component_id."""
+    own = written(fingerprints(docs, both is not None), "fingerprints")
+    prints = own.groupBy("node", "fingerprint", "second").agg(F.min("doc_id").alias("first_id"))
+    prints = written(prints, "distinct")
+    edges = links(prints.select("fingerprint", "second"), bits, 2 * 64 if both is None else both)
+    parts = connected_components(edges).withColumnRenamed("node", "of")
+    # Nodes without links are components of their own.
+    linked = prints.join(parts, prints["node"] == parts["of"], "left")
+    linked = written(linked.select("node", "first_id", F.coalesce("component", "node").alias("part")), "parts")
     first = linked.groupBy("part").agg(F.min("first_id").alias("component_id"))
-    first = written(linked.join(first, "part").select("fingerprint", "component_id"), "components")
+    first = written(linked.join(first, "part").select("node", "part", "component_id"), "components")
     # Written, so that a fingerprint with very many documents is a hot key Spark splits.
-    return own.join(first, "fingerprint")
+    return own.join(first, "node").drop("node", "second")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, fingerprint (16 hex digits), component_id."""
     found = near_duplicates(docs.select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each component stays, the one with the smallest id, with all columns.
+
+    Documents are told apart by their id and a hash of all columns; of rows alike in both,
+    one stays. Only the ids and hashes of those that go are joined to the documents.
+    """
+    columns = docs.columns
+    names = {c: f"__in_{i}" for i, c in enumerate(columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    rows = rows.withColumn("__hash", F.xxhash64(*names.values()))
+    narrow = rows.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), "__hash")
+    found = near_duplicates(narrow, STAGE_BITS, STAGE_BOTH)
+    # The smallest id names the component; without any id the fingerprints' hash does.
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
+    found = found.withColumn("key", key).select("part", "key")
+    first = written(found.groupBy("part").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "first")
+    grouped = written(found.join(first, "part").withColumn("same", F.col("key") == F.col("first")), "grouped")
+
+    def matched(keys: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        keys = keys.select(F.col("key.doc_id").alias("k_id"), F.col("key.__hash").alias("k_hash")).distinct()
+        on = F.col(names["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("__hash") == F.col("k_hash"))
+        return of.join(written(keys, "keys"), on, how)
+
+    kept = matched(grouped.filter("not same"), "left_anti", rows)
+    alike = grouped.filter("same").groupBy("part", "key").count().filter("count > 1")
+    if alike.limit(1).count():
+        alike = written(alike, "alike")
+        once = matched(alike, "left_semi", kept).dropDuplicates(["__hash", names["doc_id"]])
+        kept = matched(alike, "left_anti", kept).unionByName(once)
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
