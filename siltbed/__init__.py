@@ -34,7 +34,7 @@ from siltbed.plans.catalog import (
     read_config,
     table_catalog,
 )
-from siltbed.plans.load import LoadOptions, load_dataset, load_table
+from siltbed.plans.load import LoadOptions, load_configured, load_dataset, load_table
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import copy_to_jdbc, log_partition_changes, write_jdbc
@@ -72,6 +72,7 @@ __all__ = [
     "format_metadata",
     "latest_files",
     "latest_rows",
+    "load_configured",
     "load_dataset",
     "load_groups",
     "load_specs",

@@ -14,7 +14,7 @@ TIME_DIRECTORIES = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH", "m
 RAW_SQL = """
 raw AS (
   SELECT *,
-    strftime(ts, '/mnt/root/raw/app/year=%Y/month=%m/day=%d/hour=%H/minute=%M/') || event_type
+    strftime(ts, '/lake/raw/app/year=%Y/month=%m/day=%d/hour=%H/minute=%M/') || event_type
       || CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '_%Y%m%d-%H%M%S') ELSE '' END
       || '.csv' AS path,
     date_trunc('minute', ts) AS "ingestionDateTime",
@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the path of the raw file they would arrive in."""
     folder = F.date_format(
-        "ts", "'/mnt/root/raw/app/year='yyyy'/month='MM'/day='dd'/hour='HH'/minute='mm'/'"
+        "ts", "'/lake/raw/app/year='yyyy'/month='MM'/day='dd'/hour='HH'/minute='mm'/'"
     )
     stamp = F.when(F.col("event_id") % 3 != 0, F.date_format("ts", "'_'yyyyMMdd-HHmmss"))
     name = F.concat(folder, "event_type", F.coalesce(stamp, F.lit("")), F.lit(".csv"))

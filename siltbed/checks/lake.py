@@ -22,6 +22,7 @@ from siltbed.fixed_values import EXTRACT, INGESTION
 from siltbed.functions.paths import dates_from_path
 from siltbed.plans import catalog
 from siltbed.plans.load import load_dataset, load_table
+from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.session import scratch_path
 from siltbed.sinks.lake import (
@@ -206,12 +207,26 @@ def recent_partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
-@checked("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS \"Part\" FROM customer")
+@checked(
+    """
+WITH repeated AS (
+  SELECT c_custkey % 100 AS k, c_custkey, c_acctbal, c_mktsegment AS "Part" FROM customer
+)
+SELECT k, c_custkey, c_acctbal, "Part" FROM repeated
+QUALIFY row_number() OVER (PARTITION BY k, "Part" ORDER BY c_acctbal DESC, c_custkey DESC) = 1
+"""
+)
 def string_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "string")
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "Part")
-    overwrite_partitions(customers, path, ["c_custkey"], ["Part"], ["c_acctbal"])
-    return spark.read.schema(customers.schema).parquet(path)
+    customers = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 100).alias("k"), "c_custkey", "c_acctbal", F.col("c_mktsegment").alias("Key")
+    )
+    spec = TableSpec("t", (), path, scheme="String", role="History", keys=("k",), key_column="Key")
+    write_curated(customers.withColumn(INGESTION, F.col("c_acctbal")).withColumn(EXTRACT, F.col("c_custkey")), spec, path)
+    stored = spark.read.parquet(path)
+    return stored.select(
+        "k", "c_custkey", "c_acctbal", F.col("Part").cast("string").alias("Part")
+    )
 
 
 @checked(
@@ -253,8 +268,7 @@ def legacy_full_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     """
-SELECT o_orderkey, left(strftime(o_orderdate, '%Y%m%d'), 6) AS "PartitionKey",
-  CAST(year(o_orderdate) AS INTEGER) AS "Year", CAST(month(o_orderdate) AS INTEGER) AS "Month"
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS "Year", CAST(month(o_orderdate) AS INTEGER) AS "Month"
 FROM orders
 """
 )
@@ -263,9 +277,11 @@ def coarsen_partitions_to_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("PartitionKey")
     )
-    orders.write.parquet(days)
+    by_day = TableSpec("orders", (), days, scheme="YYYYMMDD", role="History", keys=("o_orderkey",))
+    stamped = orders.withColumns({INGESTION: F.lit("x"), EXTRACT: F.lit("x")})
+    write_curated(stamped, by_day, days)
     rewrite_by_month(spark, days, months)
-    return spark.read.parquet(months)
+    return spark.read.parquet(months).select("o_orderkey", "Year", "Month")
 
 
 @checked(

@@ -61,6 +61,20 @@ SANITISED_TABLES = ("dim_matter_udfs",)
 FORM_ANSWER_TABLES = ("formanswers",)
 FORM_ANSWER_HTML_COLUMNS = ("AnswerValue", "AnswerDisplayValue")
 
+# Configuration columns that make up one load, and a dataset's header.
+GROUP_COLUMNS = (
+    "CuratedTableName",
+    "ReadRawFileMethod",
+    "DataLakePath",
+    "DestinationDBExternalSchema",
+    "DestinationDBExternalTable",
+    "EnrichedBusinessKeyColumnList",
+    "DestinationDB",
+    "FlatFileRole",
+    "DataLakePartition",
+)
+HEADER_COLUMNS = ("DatasetName", "MaxIngestionDateTime", "FlatFileExtension", "SchemaName")
+
 # Rendering.
 METADATA_TIME_LENGTH = len("yyyy-MM-dd HH:mm:ss")
 SUMMARY_DATE_FORMAT = "dd MMMM yyyy"

@@ -10,12 +10,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from siltbed.operators.columns import quoted
-from siltbed.session import broadcast_if_small
 
 log = logging.getLogger(__name__)
 
-PRUNE_LIMIT = 2000
-
 
 def delta_partitions(
     current: DataFrame, delta: DataFrame, partition_cols: Iterable[str]
@@ -33,21 +30,17 @@ def touched_partitions(
 ) -> DataFrame:
     """Rows of ``current`` in partitions that ``delta`` has rows for.
 
-    Up to ``PRUNE_LIMIT`` partitions become a literal predicate, which prunes
-    directories before anything is read. Beyond that it is a left semi join
-    whose small side is measured before it is broadcast. Nulls match nulls, as
-    they share a directory. Pass ``found`` if the delta's partitions are known.
+    The partitions become a literal predicate, which prunes directories before
+    anything is read. However many there are, the driver holds that list anyway:
+    a dynamic overwrite tracks each partition it replaces, and the file index has
+    an entry for each directory. Nulls match nulls, as they share a directory.
+    Pass ``found`` if the delta's partitions are known.
     """
     cols = list(partition_cols)
     types = {f.name: f.dataType for f in current.schema}
-    wanted = delta_partitions(current, delta, cols)
     if found is None:
-        found = wanted.limit(PRUNE_LIMIT + 1).collect()
-    if len(found) <= PRUNE_LIMIT:
-        return current.filter(_is_one_of(cols, types, found))
-    keys = broadcast_if_small(wanted.toDF(*[f"__touched_{c}" for c in cols]))
-    same = [quoted(c).eqNullSafe(quoted(f"__touched_{c}")) for c in cols]
-    return current.join(keys, reduce(and_, same), "left_semi")
+        found = delta_partitions(current, delta, cols).collect()
+    return current.filter(_is_one_of(cols, types, found))
 
 
 def _is_one_of(cols: list[str], types: dict[str, T.DataType], rows: list[Row]) -> Column:

@@ -7,23 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from siltbed.fixed_values import EARLIEST_MARK, EXTERNAL_SCHEMA_PREFIX
+from siltbed.fixed_values import EARLIEST_MARK, EXTERNAL_SCHEMA_PREFIX, GROUP_COLUMNS, HEADER_COLUMNS
 from siltbed.functions.keys import parse_key_list
 from siltbed.plans.spec import TableSpec
 from siltbed.session import broadcast_if_small
 
-GROUP_COLUMNS = (
-    "CuratedTableName",
-    "ReadRawFileMethod",
-    "DataLakePath",
-    "DestinationDBExternalSchema",
-    "DestinationDBExternalTable",
-    "EnrichedBusinessKeyColumnList",
-    "DestinationDB",
-    "FlatFileRole",
-    "DataLakePartition",
-)
-
 
 @dataclass(frozen=True)
 class DatasetConfig:
@@ -43,10 +31,9 @@ def read_config(
 
     Filters are pushed to the source, be it a database or Parquet.
     """
-    marks = ("DatasetName", "MaxIngestionDateTime", "FlatFileExtension", "SchemaName")
     return DatasetConfig(
         roots=read("Configuration").select("DataLakeRootFolder"),
-        datasets=config_rows(read("Dataset"), dataset).select(*marks),
+        datasets=config_rows(read("Dataset"), dataset).select(*HEADER_COLUMNS),
         tables=config_rows(read("CuratedTable"), dataset, table),
         columns=config_rows(read("CuratedColumn"), dataset, table),
         json_tables=config_rows(read("JsonTable"), dataset),

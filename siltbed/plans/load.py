@@ -11,13 +11,14 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltbed.fixed_values import EXPORT_DESTINATION
-from siltbed.functions.paths import dates_from_path
+from siltbed.fixed_values import EXPORT_DESTINATION, PATH
+from siltbed.functions.paths import dates_from_path, ingestion_time
 from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
 from siltbed.operators.latest import latest_rows, run_summary
 from siltbed.operators.partitions import coarsen_key
 from siltbed.plans.catalog import (
+    DatasetConfig,
     config_rows,
     dataset_header,
     files_to_tables,
@@ -28,7 +29,14 @@ from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import write_jdbc
 from siltbed.sinks.lake import append_standardised, json_table_path, write_json_latest
-from siltbed.sources.files import file_inventory, floor_time, raw_subtrees, read_raw
+from siltbed.sources.files import (
+    file_inventory,
+    floor_time,
+    naive_time,
+    raw_subtrees,
+    read_raw,
+    rows_of_files,
+)
 
 log = logging.getLogger(__name__)
 
@@ -46,10 +54,16 @@ class LoadOptions:
     storage: StorageLevel | None = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
     export_url: str | None = None
     export_properties: Mapping[str, str] = field(default_factory=dict)
+    #: Open connections at most; a fuller table sends more batches through each.
+    export_partitions: int = 8
+    export_batch_size: int | None = None
+    export_truncate: bool = False
 
-    def text(self) -> dict[str, object]:
+    def text(self, spec: TableSpec) -> dict[str, object]:
+        """Reader options of a table: its own separator and encoding come first."""
         names = ("encoding", "sep", "escape", "multi_line", "check_headers")
-        return {name: getattr(self, name) for name in names}
+        own = {"encoding": spec.encoding, "sep": spec.sep}
+        return {n: own.get(n) or getattr(self, n) for n in names}
 
 
 def zone_path(root: str, zone: str, path: str) -> str:
@@ -87,11 +101,15 @@ def load_table(
     paths: Iterable[str] | None = None,
     after: dt.datetime | None = None,
     options: LoadOptions = LoadOptions(),
+    files: DataFrame | None = None,
 ) -> str:
     """Load one table's new raw files; returns the path of its curated table.
 
-    Files are those in ``paths``, or all whose directory is newer than ``after``:
-    the mark picks directories, so no row has to be compared with it.
+    Files are those in ``paths``, or those in directories newer than ``after``. With
+    a mark, files without an ingestion time in their path are left out, wherever the
+    mark falls; without one, everything below the roots is loaded. With an inventory
+    in ``files``, rows of files that it does not list are left out as well, such as
+    those that arrived since.
 
     Rows are parsed once: the standardised append, the curated write and the
     export share one persisted frame, which Spark rebuilds from the raw files
@@ -111,10 +129,16 @@ def load_table(
     if not paths:
         log.info("%s has no new files", spec.name)
         return curated
-    text = options.text() if spec.fmt == "csv" else {}
+    text = options.text(spec) if spec.fmt == "csv" else {}
     raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), **text)
+    if after is not None:
+        raw = raw.filter(ingestion_time(F.col(PATH)) > naive_time(after))
+    if files is not None:
+        raw = rows_of_files(raw, files)
     if is_json:
         write_json_latest(raw, spec.name, **zones)
+        if exported:
+            _export(spark.read.parquet(curated), spec, options)
         return curated
     table = shaped(raw, spec)
     if options.storage is not None:
@@ -123,19 +147,29 @@ def load_table(
         append_standardised(table, f"{zones['standardised']}/{spec.name}", options.level)
         final = cleaned(table, spec)
         write_curated(final, spec, curated)
-        if exported:
-            write_jdbc(
-                latest_rows(final, spec.keys),
-                options.export_url,
-                f"{spec.external_schema}.{spec.external_table}",
-                properties=options.export_properties,
-            )
+        if exported and spec.scheme == "Latest":
+            # The curated table holds just these rows, so no second window is needed.
+            _export(spark.read.parquet(curated), spec, options)
+        elif exported:
+            _export(latest_rows(final, spec.keys), spec, options)
     finally:
         if options.storage is not None:
             table.unpersist()
     return curated
 
 
+def _export(df: DataFrame, spec: TableSpec, options: LoadOptions) -> None:
+    write_jdbc(
+        df,
+        options.export_url,
+        f"{spec.external_schema}.{spec.external_table}",
+        properties=options.export_properties,
+        truncate=options.export_truncate,
+        num_partitions=options.export_partitions,
+        batch_size=options.export_batch_size,
+    )
+
+
 def load_dataset(
     spark: SparkSession,
     root: str,
@@ -147,10 +181,15 @@ def load_dataset(
     since: dt.datetime | None = None,
     options: LoadOptions = LoadOptions(),
     parallel: int = 1,
+    by_extension: bool = False,
 ) -> str:
     """Load every configured table of a dataset; returns the run summary as JSON.
 
-    ``since`` replaces the stored mark. ``parallel`` tables load at a time.
+    ``since`` replaces the stored mark. ``parallel`` tables load at a time. With
+    ``by_extension`` only files with the dataset's extension count (JSON tables have
+    their own). The inventory is
+    taken once, and a load reads the files in it and no others: what the summary
+    reports as the next mark is what was loaded.
     """
     header = dataset_header(datasets, dataset).first()
     if header is None:
@@ -164,6 +203,11 @@ def load_dataset(
         pairs = [F.lit(part) for pair in configured.items() for part in pair]
         owner = F.element_at(F.create_map(*pairs), F.col("DataLakePathRaw"))
         files = files.withColumn("DataLakePathRaw", owner)
+    extension = header["FlatFileExtension"]
+    if by_extension and extension:
+        text = sorted({p for s in specs if s.fmt != "json" for p in s.raw_paths})
+        named = F.col("filePath").endswith(f".{extension.lstrip('.')}")
+        files = files.filter(named | ~F.col("DataLakePathRaw").isin(text))
     files = files.persist()
     try:
         groups = load_groups(files_to_tables(files, config_rows(tables, dataset, table)))
@@ -178,10 +222,27 @@ def load_dataset(
             for spec in loads:
                 roots = raw_roots(spec, root)
                 paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
-                load_table(spark, spec, root, paths, options=options)
+                load_table(spark, spec, root, paths, options=options, files=files)
 
         with ThreadPoolExecutor(max(1, parallel)) as pool:
             list(pool.map(inheritable_thread_target(spark)(run), ready.values()))
         return run_summary(files, "ingestionDate", "extractDate").first()["summary"]
     finally:
         files.unpersist()
+
+
+def load_configured(
+    spark: SparkSession, config: DatasetConfig, dataset: str, **options: object
+) -> str:
+    """Load a dataset by its configuration alone: root, mark, tables, columns, extension.
+
+    ``options`` are those of ``load_dataset``.
+    """
+    root = config.roots.first()
+    if root is None:
+        raise ValueError("the configuration names no root folder")
+    tables = config.tables
+    return load_dataset(
+        spark, root["DataLakeRootFolder"], config.datasets, tables, config.columns, dataset,
+        **{"by_extension": True, **options},
+    )

@@ -44,7 +44,8 @@ def _by_string(df: DataFrame, spec: TableSpec, path: str) -> None:
     if spec.role == UPSERT_ROLE:
         upsert_partitions(named, path, keys, [STRING_PARTITION])
     else:
-        overwrite_partitions(named, path, keys, [STRING_PARTITION])
+        # As on an upsert, a key may occur once in each partition.
+        overwrite_partitions(named, path, keys, [STRING_PARTITION], extra_keys=[STRING_PARTITION])
 
 
 def _latest(df: DataFrame, spec: TableSpec, path: str) -> None:

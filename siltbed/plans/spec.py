@@ -35,6 +35,14 @@ class TableSpec:
     key_column: str = PARTITION_KEY
     renames: Mapping[str, str] = field(default_factory=lambda: {"Partitionkey": PARTITION_KEY})
     schema: str | None = None
+    #: Steps that follow the table's name unless they are set.
+    coarsen: bool | None = None
+    sanitise: bool | None = None
+    answers: bool | None = None
+    html: tuple[str, ...] | None = None
+    #: How this table's raw text is read, if not as the load's options say.
+    sep: str | None = None
+    encoding: str | None = None
 
     def raw_schema(self) -> str | None:
         """Schema to read with, if known: configured JSON fields are read as text.
@@ -48,16 +56,18 @@ class TableSpec:
 
     @property
     def coarse_key(self) -> bool:
-        return self.name in COARSE_KEY_TABLES
+        return self.name in COARSE_KEY_TABLES if self.coarsen is None else self.coarsen
 
     @property
     def sanitised(self) -> bool:
-        return self.name in SANITISED_TABLES
+        return self.name in SANITISED_TABLES if self.sanitise is None else self.sanitise
 
     @property
     def form_answers(self) -> bool:
-        return self.name in FORM_ANSWER_TABLES
+        return self.name in FORM_ANSWER_TABLES if self.answers is None else self.answers
 
     @property
     def html_columns(self) -> tuple[str, ...]:
+        if self.html is not None:
+            return self.html
         return FORM_ANSWER_HTML_COLUMNS if self.form_answers else ()

@@ -16,12 +16,7 @@ from siltbed.fixed_values import (
 from siltbed.functions.paths import dates_from_path
 from siltbed.operators.columns import format_metadata, quoted
 from siltbed.operators.latest import key_columns, latest_rows
-from siltbed.operators.merge import (
-    PRUNE_LIMIT,
-    delta_partitions,
-    touched_partitions,
-    union_delta,
-)
+from siltbed.operators.merge import delta_partitions, touched_partitions, union_delta
 from siltbed.operators.partitions import (
     calendar_columns,
     coarsen_key,
@@ -33,27 +28,20 @@ from siltbed.sources import storage
 _FROM_DELTA = "__from_delta"
 
 
-# With this few partitions a task writes few files as it is.
-FEW_PARTITIONS = 2
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
     partition_cols: Iterable[str],
     dynamic: bool = False,
-    gather: bool = True,
 ) -> None:
     """Overwrite ``path``, or with ``dynamic`` only the partitions ``df`` has rows for.
 
-    To ``gather``, a rebalance hint brings each partition's rows into few files,
+    A rebalance hint brings each partition's rows into few files,
     and lets adaptive execution split a partition that holds a large share of
     all rows over several tasks.
     """
     cols = list(partition_cols)
-    stored = _storable(df, cols)
-    if gather:
-        stored = stored.hint("rebalance", *[quoted(c) for c in cols])
+    stored = _storable(df, cols).hint("rebalance", *[quoted(c) for c in cols])
     (
         stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -95,9 +83,23 @@ def overwrite_snapshot(
     order: Iterable[str] = RECENCY,
     tie_breakers: Iterable[str] | None = None,
 ) -> None:
-    """Replace the table at ``path`` by the newest row of each key."""
+    """Replace the table at ``path`` by the newest row of each key.
+
+    As all replacements of a whole table, the result is written beside the old
+    table and then swapped in, so a failure leaves the old table in place.
+    """
     newest = latest_rows(df, keys, order=order, tie_breakers=tie_breakers)
-    format_metadata(newest).write.mode("overwrite").parquet(path)
+    _replace(format_metadata(newest), path)
+
+
+def _replace(df: DataFrame, path: str, partition_cols: Iterable[str] = ()) -> None:
+    spark = df.sparkSession
+    storage.recover(spark, path)
+    if partition_cols:
+        write_partitioned(df, storage.next_version(path), partition_cols)
+    else:
+        df.write.mode("overwrite").parquet(storage.next_version(path))
+    storage.swap_in(spark, path)
 
 
 def overwrite_partitions(
@@ -112,7 +114,7 @@ def overwrite_partitions(
     """Replace a partitioned table by the newest row of each key."""
     cols = list(partition_cols)
     newest = latest_rows(df, keys, extra_keys, order, tie_breakers)
-    write_partitioned(format_metadata(_without_key(newest, cols)), path, cols)
+    _replace(format_metadata(_without_key(newest, cols)), path, cols)
 
 
 def _without_key(df: DataFrame, partition_cols: list[str]) -> DataFrame:
@@ -139,14 +141,16 @@ def upsert_partitions(
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
-    found = delta_partitions(current, delta, cols).limit(PRUNE_LIMIT + 1).collect()
-    if not found:
-        return
-    touched = touched_partitions(current, delta, cols, found)
-    newest = _merged(touched, delta, keys, cols, order)
-    # The merge has already spread the rows by key, so a delta of one or two
-    # partitions is written as it is and saves a second shuffle.
-    write_partitioned(newest, path, cols, dynamic=True, gather=len(found) > FEW_PARTITIONS)
+    # Read for its partitions and again for the merge.
+    delta = delta.persist()
+    try:
+        found = delta_partitions(current, delta, cols).collect()
+        if found:
+            touched = touched_partitions(current, delta, cols, found)
+            newest = _merged(touched, delta, keys, cols, order)
+            write_partitioned(newest, path, cols, dynamic=True)
+    finally:
+        delta.unpersist()
 
 
 def _merged(
@@ -183,8 +187,7 @@ def merge_full(
         newest = _merged(current, delta, keys, list(extra_keys), order)
     else:
         newest = latest_rows(delta, keys, extra_keys, order)
-    newest.write.mode("overwrite").parquet(storage.next_version(path))
-    storage.swap_in(spark, path)
+    _replace(newest, path)
 
 
 def json_table_path(zone: str, source: str) -> str:
@@ -198,7 +201,7 @@ def write_json_latest(df: DataFrame, source: str, curated: str, standardised: st
     table = format_metadata(dated).persist()
     try:
         table.write.mode("append").parquet(json_table_path(standardised, source))
-        table.write.mode("overwrite").parquet(json_table_path(curated, source))
+        _replace(table, json_table_path(curated, source))
     finally:
         table.unpersist()
 
@@ -209,8 +212,10 @@ def rewrite_by_month(
     """Rewrite a table partitioned by day into one partitioned by month.
 
     The month comes from ``key_col``, or from stored calendar columns if the
-    table no longer has its key.
+    table no longer has its key. A table is not rewritten onto itself.
     """
+    if storage.qualified(spark, source).rstrip("/") == storage.qualified(spark, target).rstrip("/"):
+        raise ValueError(f"{source} can't be rewritten onto itself")
     table = spark.read.parquet(source)
     months = SCHEME_COLUMNS["YYYYMM"]
     if key_col in table.columns:

@@ -11,6 +11,7 @@ from siltbed.fixed_values import PATH, TIME_UNIT_FORMATS
 from siltbed.functions.paths import extract_time, ingestion_time, plain_path
 from siltbed.sources import storage
 
+LISTING_TASKS_PER_CORE = 4
 _LEVELS = tuple(TIME_UNIT_FORMATS)[:5]
 _INVENTORY = (
     "fileName string, filePath string, DataLakePathRaw string, fileSize bigint, "
@@ -112,10 +113,12 @@ def file_inventory(
         .option("pathGlobFilter", glob)
         .load(subtrees)
         .select("path", "length")
+        # Spark packs tasks by file size, but no content is read: a task a core's share.
+        .coalesce(LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     )
     path = F.col("path")
     ingested = ingestion_time(path)
-    owner = F.coalesce(*[F.when(path.startswith(full[r]), F.lit(r)) for r in roots])
+    owner = _owner(path, full)
     files = listed.select(
         F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1).alias("fileName"),
         path.alias("filePath"),
@@ -131,6 +134,19 @@ def file_inventory(
     return files
 
 
+def _owner(path: Column, full: Mapping[str, str]) -> Column:
+    """The root a path lies below: its start, cut at the depth of each root, looked up."""
+    by_depth: dict[int, list[Column]] = {}
+    for root, start in full.items():
+        start = start.rstrip("/")
+        by_depth.setdefault(start.count("/") + 1, []).extend([F.lit(start), F.lit(root)])
+    found = [
+        F.try_element_at(F.create_map(*pairs), F.substring_index(path, "/", depth))
+        for depth, pairs in by_depth.items()
+    ]
+    return F.coalesce(*found)
+
+
 def _overlap(paths: Iterable[str]) -> bool:
     ordered = sorted(paths)
     return any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))

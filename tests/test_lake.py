@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from siltbed import (
     overwrite_partitions,
     overwrite_snapshot,
     rewrite_by_month,
+    touched_partitions,
     upsert_partitions,
     write_curated,
 )
@@ -240,3 +242,55 @@ def test_hot_partition_is_split_over_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
     assert len(glob.glob(f"{path}/Part=hot/*.parquet")) > 1
     assert stored(spark, path).count() == 60_000
+
+
+def test_upsert_prunes_any_number_of_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(2500).select((F.col("id") % 50).alias("y"), (F.col("id") / 50).cast("int").alias("m"), "id")
+    days.coalesce(1).write.partitionBy("y", "m").parquet(path)
+    stored = spark.read.parquet(path)
+    kept = touched_partitions(stored, days.filter("id < 2400").repartition(8), ["y", "m"])
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]+\]", text) and "Join" not in text
+    assert kept.count() == 2400
+
+
+def test_upsert_of_one_partition_leaves_one_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{i}", 1, "x", 1) for i in range(200)]
+    upserted(spark, path, rows)
+    upserted(spark, path, [(k, 2, p, 2) for k, _, p, _ in rows[::2]])
+    assert len(glob.glob(f"{path}/Part=x/*.parquet")) == 1
+
+
+@pytest.mark.parametrize("cols", [[], ["Part"]])
+def test_failed_replacement_keeps_the_old_table(spark, tmp_path, cols):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame([("a", 1, "x", 1), ("b", 1, "y", 1)], CURATED)
+
+    def replace(df):
+        if cols:
+            overwrite_partitions(df, path, ["k"], cols, ["ing"])
+        else:
+            overwrite_snapshot(df, path, ["k"], ["ing"])
+
+    replace(good)
+    with pytest.raises(Exception, match="midway"):
+        replace(good.withColumn("v", F.when(F.col("k") == "b", F.raise_error(F.lit("midway"))).otherwise(F.col("v"))))
+    assert values(stored(spark, path), "k", "v", "Part", "ing") == values(good)
+
+
+def test_string_history_keeps_a_key_in_each_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("k1", 1, "a", T1), ("k1", 2, "a", T2), ("k1", 3, "b", T1)]
+    df = spark.createDataFrame(rows, "k string, v int, PartitionKey string, ingestionDateTime timestamp_ntz")
+    df = df.withColumns({"path": F.lit("p"), "extractDateTime": F.col("ingestionDateTime")})
+    write_curated(df, TableSpec("t", (), path, scheme="String", role="History", keys=("k",)), path)
+    assert values(stored(spark, path), "k", "v", "Part") == [("k1", 2, "a"), ("k1", 3, "b")]
+
+
+def test_month_table_is_not_rewritten_onto_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("20240102",)], "PartitionKey string").write.parquet(path)
+    with pytest.raises(ValueError, match="onto itself"):
+        rewrite_by_month(spark, path, path + "/")

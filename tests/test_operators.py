@@ -25,7 +25,6 @@ from siltbed import (
     touched_partitions,
     union_delta,
 )
-from siltbed.operators import merge
 
 T1, T2, T3 = (dt.datetime(2024, 1, day) for day in (1, 2, 3))
 
@@ -208,9 +207,7 @@ def test_unknown_scheme_and_level(spark):
     assert date_hierarchy(df, "Week").columns[-3:] == ["Year", "Month", "Week"]
 
 
-@pytest.mark.parametrize("limit", [merge.PRUNE_LIMIT, 0])
-def test_touched_partitions_match_nulls_too(spark, monkeypatch, limit):
-    monkeypatch.setattr(merge, "PRUNE_LIMIT", limit)
+def test_touched_partitions_match_nulls_too(spark):
     current = spark.createDataFrame(
         [(1, 2024, "a"), (2, 2024, None), (3, 2023, "a"), (4, None, None), (5, None, "a")],
         "v int, y int, p string",

@@ -1,5 +1,6 @@
 """Configuration, whole loads and the stream."""
 
+import dataclasses
 import datetime as dt
 import json
 
@@ -11,6 +12,7 @@ from siltbed import (
     config_rows,
     dataset_header,
     files_to_tables,
+    load_configured,
     load_dataset,
     load_groups,
     load_specs,
@@ -20,7 +22,8 @@ from siltbed import (
     stream_upsert,
     table_catalog,
 )
-from siltbed.plans.catalog import GROUP_COLUMNS
+from siltbed.plans import load
+from siltbed.plans.catalog import GROUP_COLUMNS, DatasetConfig
 from siltbed.plans.load import LoadOptions, raw_roots
 
 COLUMN_CONFIG = "DatasetName string, CuratedTableName string, ColumnId int, ColumnName string, ReplaceMissingWith string"
@@ -202,11 +205,80 @@ def test_export_writes_latest_rows(spark, tmp_path, monkeypatch):
     sent = []
     monkeypatch.setattr(
         "siltbed.plans.load.write_jdbc",
-        lambda df, url, table, properties: sent.append((url, table, [r["v"] for r in df.collect()])),
+        lambda df, url, table, **rest: sent.append((url, table, [r["v"] for r in df.collect()], rest)),
     )
     spec = TableSpec("t", ("r",), "C", keys=("k",), destination="ConfigDB", external_schema="s", external_table="t")
+    bounds = {"properties": {}, "truncate": True, "num_partitions": 3, "batch_size": 50}
+    options = LoadOptions(
+        export_url="jdbc:x", export_partitions=3, export_batch_size=50, export_truncate=True
+    )
+    load_table(spark, spec, str(tmp_path), options=options)
+    dated = dataclasses.replace(spec, scheme="YYYYMM", curated_path="D", keys=("k",))
+    put(tmp_path / "raw/r", at(4), "a.csv", "k,v,PartitionKey\n1,c,202401\n")
+    load_table(spark, dated, str(tmp_path), [str(tmp_path / "raw/r" / at(4))], options=options)
+    assert sent == [("jdbc:x", "s.t", ["b"], bounds), ("jdbc:x", "s.t", ["c"], bounds)]
+
+
+def test_json_tables_are_exported(spark, tmp_path, monkeypatch):
+    put(tmp_path / "raw/j", at(2), "j.json", '{"id": 1}\n', "utf-8")
+    sent = []
+    monkeypatch.setattr(
+        "siltbed.plans.load.write_jdbc", lambda df, url, table, **rest: sent.append([r["id"] for r in df.collect()])
+    )
+    spec = TableSpec("j", ("j",), "unused", fmt="json", destination="ConfigDB", external_schema="s", external_table="j")
     load_table(spark, spec, str(tmp_path), options=LoadOptions(export_url="jdbc:x"))
-    assert sent == [("jdbc:x", "s.t", ["b"])]
+    assert sent == [["1"]]
+
+
+@pytest.mark.parametrize("mark", [dt.datetime(2023, 6, 1), dt.datetime(2024, 1, 1)])
+def test_files_without_a_time_stay_out_wherever_the_mark_is(spark, tmp_path, mark):
+    put(tmp_path / "raw/r", at(2), "a.csv", "k\n1\n")
+    put(tmp_path / "raw/r", "year=2024", "stray.csv", "k\n9\n")
+    spec = TableSpec("t", ("r",), "C", keys=("k",))
+    stored = spark.read.parquet(load_table(spark, spec, str(tmp_path), after=mark))
+    assert [r["k"] for r in stored.collect()] == ["1"]
+
+
+@pytest.mark.parametrize("mark", [dt.datetime(2023, 6, 1), dt.datetime(2024, 1, 1)])
+def test_a_load_reads_the_files_of_its_inventory(spark, tmp_path, monkeypatch, mark):
+    raw, lake = tmp_path / "raw", str(tmp_path)
+    put(raw / "o1", at(2), "a.csv", "k,v,Partitionkey\n1,a,202401\n")
+    put(raw / "o1", "year=2024", "stray.csv", "k,v,Partitionkey\n8,a,202401\n")
+    real = load.load_table
+
+    def late(*args, **options):
+        put(raw / "o1", at(9), "late.csv", "k,v,Partitionkey\n9,a,202401\n")
+        return real(*args, **options)
+
+    monkeypatch.setattr(load, "load_table", late)
+    summary = json.loads(load_dataset(spark, lake, *dataset(spark, mark), "shop"))
+    assert summary["max_ingestion_date"] == "02 January 2024 00:00:00"
+    assert [r["k"] for r in spark.read.parquet(f"{lake}/curated/Orders").collect()] == ["1"]
+    load_dataset(spark, lake, *dataset(spark, dt.datetime(2024, 1, 2, 1)), "shop")
+    standardised = spark.read.parquet(f"{lake}/standardised/orders")
+    assert sorted(r["k"] for r in standardised.collect()) == ["1", "9"]
+
+
+def test_load_by_configuration_alone(spark, tmp_path):
+    datasets, tables, columns = dataset(spark)
+    raw = tmp_path / "raw"
+    put(raw / "o1", at(2), "a.csv", "k,v,Partitionkey\n1,a,202401\n")
+    put(raw / "o1", at(2), "a.tmp", "k,v,Partitionkey\n2,a,202401\n")
+    put(raw / "n", at(2), "n.json", '{"id": 1}\n', "utf-8")
+    roots = spark.createDataFrame([(str(tmp_path),)], "DataLakeRootFolder string")
+    config = DatasetConfig(roots, datasets, tables, columns, spark.createDataFrame([], "x int"))
+    load_configured(spark, config, "shop")
+    assert [r["k"] for r in spark.read.parquet(f"{tmp_path}/curated/Orders").collect()] == ["1"]
+    assert spark.read.parquet(f"{tmp_path}/curated/json/notes/schema=v1/partition=Latest").count() == 1
+
+
+def test_steps_and_text_options_of_a_table(spark, tmp_path):
+    put(tmp_path / "raw/r", at(2), "a.csv", "k;h;PartitionKey\n1;<b>x</b>;20240105\n", "utf-8")
+    spec = TableSpec(
+        "own", ("r",), "C", keys=("k",), html=("h",), coarsen=True, sep=";", encoding="UTF-8",
+    )
+    row = spark.read.parquet(load_table(spark, spec, str(tmp_path))).first()
+    assert (row["h"], row["PartitionKey"]) == ("x", "202401")
 
 
 def dataset(spark, mark=None):

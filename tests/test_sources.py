@@ -230,3 +230,14 @@ def test_jdbc_copy_and_log(spark, tmp_path, monkeypatch):
     log_partition_changes(df, ["Year"], "t", "jdbc:x", "s.log")
     assert written[1][0][0]["PartitionLocation"] == "Year=2024"
     assert written[1][1:3] == ("s.log", "append")
+
+
+def test_inventory_tasks_follow_the_cluster_not_the_bytes(spark, tmp_path):
+    for k in range(60):
+        folder = tmp_path / "raw" / minute(2024, 1, 1, 0, k)
+        folder.mkdir(parents=True)
+        with open(folder / "big.csv", "wb") as sparse:
+            sparse.truncate(300 << 20)
+    files = file_inventory(spark, str(tmp_path / "raw"))
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert files.agg({"fileSize": "sum"}).first()[0] == 60 * (300 << 20)
