@@ -151,7 +151,8 @@ def proposals(found: DataFrame) -> DataFrame:
                 "end",
                 F.least(F.length(digits), F.lit(20)).alias("digits"),
                 F.least(F.length(F.regexp_replace("match", "[^A-Za-z]", "")), F.lit(20)).alias("letters"),
-                F.least(F.length(F.regexp_replace("match", "[A-Za-z0-9]", "")), F.lit(8)).alias("signs"),
+                # A plus is the rule's own test of a phone.
+                F.least(F.length(F.regexp_replace("match", "[A-Za-z0-9+]", "")), F.lit(8)).alias("signs"),
                 F.least(F.size(F.filter(groups, lambda g: g != "")), F.lit(8)).alias("groups"),
                 F.least(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(20)).alias("longest"),
                 _side(F.col("left"), "{}$").alias("before"),
