@@ -11,8 +11,10 @@ counts once a document and class, and every start of a word of 3 to 12 letters s
 words. A start becomes a term if its log-odds are at least ``MIN_LOG_ODDS`` and its
 G-squared is at least ``MIN_G2``, unless nearly all of its toxic words go on with one and
 the same letter: then the longer start stands for it. A word counts with the weight of
-its longest term. Two-word phrases with a term that clean documents use and toxic ones don't
-become exceptions, where the term counts nothing.
+its longest term. Two-word phrases with a term that make up ``EXCEPTION_SHARE`` of the
+clean documents with that term, and that toxic ones hardly use, become exceptions, where
+the term counts nothing. Starts above ``MIN_RAW_ODDS`` and ``MIN_RAW_G2`` are tried as
+terms, and measured again without the documents that only use them in exceptions.
 
 The sum of a text's term weights is divided by 1 + log(1 + thousands of characters) and
 calibrated by logistic regression over counts of rounded values, from all training rows.
@@ -29,7 +31,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -41,11 +43,11 @@ from siltbed.llm.common import batches_of, crc32_of_id, map_batches, written
 
 TRAINING_ROWS = 40_000
 SHORTEST, LONGEST = 3, 12
-MIN_LOG_ODDS = 2.5
-MIN_G2 = 30.0
+MIN_RAW_ODDS, MIN_LOG_ODDS = 0.5, 2.5
+MIN_RAW_G2, MIN_G2 = 10.0, 30.0
 #: Most starts of words that come to the driver, those with the highest G-squared.
 MAX_STARTS = 20_000
-MIN_EXCEPTION = 3
+MIN_EXCEPTION, EXCEPTION_SHARE = 3, 0.05
 HELD_OUT_OF = 5
 
 # Letters and digits by the letter that they imitate.
@@ -201,11 +203,29 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
             + F.when(F.col("clean") > 0, 2 * F.col("clean") * F.log(F.col("clean") / (sums * (1 - share)))).otherwise(0),
         }
     )
-    found = starts.filter((F.col("toxic") > 0) & (F.col("odds") >= MIN_LOG_ODDS) & (F.col("g2") >= MIN_G2))
+    found = starts.filter((F.col("toxic") > 0) & (F.col("odds") >= MIN_RAW_ODDS) & (F.col("g2") >= MIN_RAW_G2))
     found = found.orderBy(F.desc("g2"), "start").limit(MAX_STARTS).collect()
-    lexicon = Lexicon(chosen({r["start"]: (r["clean"], r["toxic"], r["odds"]) for r in found}))
-    lexicon.exceptions = _exceptions(train, lexicon)
-    return _calibrated(train, lexicon)
+    counts = {r["start"]: (r["clean"], r["toxic"], r["odds"]) for r in found}
+    tried = Lexicon(chosen(counts))
+    exceptions = _exceptions(train, tried, {t: counts[t][0] for t in tried.weights})
+    if exceptions:
+        tried.exceptions = exceptions
+        for term, (fewer, less) in _only_in_exceptions(train, tried).items():
+            counts[term] = (counts[term][0] - fewer, counts[term][1] - less)
+    weights = {}
+    for term in tried.weights:
+        odds, g2 = _measures(*counts[term][:2], clean, toxic)
+        if odds >= MIN_LOG_ODDS and g2 >= MIN_G2:
+            weights[term] = odds
+    return _calibrated(train, Lexicon(weights, exceptions))
+
+
+def _measures(clean: int, toxic: int, all_clean: int, all_toxic: int) -> tuple[float, float]:
+    """Log-odds and G-squared of a term's documents by class."""
+    odds = math.log((toxic + 0.5) / (all_toxic + 1)) - math.log((clean + 0.5) / (all_clean + 1))
+    share, n = all_toxic / (all_clean + all_toxic), clean + toxic
+    g2 = sum(2 * k * math.log(k / (n * p)) for k, p in ((toxic, share), (clean, 1 - share)) if k > 0)
+    return odds, g2
 
 
 def chosen(starts: dict[str, tuple[int, int, float]]) -> dict[str, float]:
@@ -216,16 +236,14 @@ def chosen(starts: dict[str, tuple[int, int, float]]) -> dict[str, float]:
     return {s: odds for s, (_, toxic, odds) in starts.items() if most.get(s, 0) < 0.95 * toxic}
 
 
-def _exceptions(train: DataFrame, lexicon: Lexicon) -> frozenset[tuple[str, str]]:
-    """Phrases with a term that occur in clean documents and hardly in toxic ones."""
+def _count(train: DataFrame, lexicon: Lexicon, keys: Callable[[Lexicon, str], set]) -> DataFrame:
+    """Clean and toxic training documents of each key (two strings) of a folded text."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
             found: Counter = Counter()
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                text = folded(text)
-                pairs = {p for start, end, _ in lexicon.hits(text) for p in phrases(text, start, end)}
-                found.update((*p, int(toxic > 0)) for p in pairs)
+                found.update((*k, int(toxic > 0)) for k in keys(lexicon, folded(text)))
             columns = list(zip(*found)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
@@ -233,14 +251,39 @@ def _exceptions(train: DataFrame, lexicon: Lexicon) -> frozenset[tuple[str, str]
                 ["a", "b", "toxic", "n"],
             )
 
-    pairs = map_batches(train, count, "a string, b string, toxic int, n long")
-    pairs = pairs.groupBy("a", "b").agg(
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-    )
-    pairs = pairs.filter(f"clean >= {MIN_EXCEPTION} and clean > 4 * toxic")
-    rows = pairs.orderBy(F.desc("clean"), "a", "b").limit(MAX_STARTS).collect()
-    return frozenset((r["a"], r["b"]) for r in rows)
+    counted = map_batches(train, count, "a string, b string, toxic int, n long")
+    each = {name: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)) for k, name in enumerate(("n0", "n1"))}
+    counted = counted.groupBy("a", "b").agg(*[c.alias(n) for n, c in each.items()])
+    return counted.orderBy(F.desc("n0"), "a", "b").limit(10 * MAX_STARTS)
+
+
+def _phrases_of(lexicon: Lexicon, text: str) -> set[tuple[str, str]]:
+    return {p for start, end, _ in lexicon.hits(text) for p in phrases(text, start, end)}
+
+
+def _excepted(lexicon: Lexicon, text: str) -> set[tuple[str, str]]:
+    """Terms that a text has in exceptions only."""
+    inside, outside = set(), set()
+    for start, end, _ in lexicon.hits(text):
+        own = {text[start:n] for n in range(start + SHORTEST, min(end, start + LONGEST) + 1)} & lexicon.weights.keys()
+        hit = not lexicon.exceptions.isdisjoint(phrases(text, start, end))
+        (inside if hit else outside).update(own)
+    return {(t, "") for t in inside - outside}
+
+
+def _exceptions(train: DataFrame, lexicon: Lexicon, clean: dict[str, int]) -> frozenset[tuple[str, str]]:
+    """Phrases that are a good part of a term's clean uses and occur in hardly any toxic document."""
+    rows = _count(train, lexicon, _phrases_of).filter(f"n0 >= {MIN_EXCEPTION} and n0 > 4 * n1").collect()
+
+    def enough(phrase: tuple[str, str], n: int) -> bool:
+        uses = [clean[w[:k]] for w in phrase for k in range(SHORTEST, min(len(w), LONGEST) + 1) if w[:k] in clean]
+        return bool(uses) and n >= EXCEPTION_SHARE * min(uses)
+
+    return frozenset((r["a"], r["b"]) for r in rows if enough((r["a"], r["b"]), r["n0"]))
+
+
+def _only_in_exceptions(train: DataFrame, lexicon: Lexicon) -> dict[str, tuple[int, int]]:
+    return {r["a"]: (r["n0"], r["n1"]) for r in _count(train, lexicon, _excepted).collect()}
 
 
 def _calibrated(train: DataFrame, lexicon: Lexicon) -> Lexicon:
