@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siltbed.sources import storage
 
@@ -64,20 +64,40 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Materialise ``df``, measure it, and mark it for broadcast only if it fits.
-
-    Above the session's threshold the frame is returned unmarked and the join
-    falls to a shuffle join, where adaptive execution splits skewed partitions.
+    """Mark ``df`` for broadcast if it fits the session's own threshold.
+
+    Where the planner's statistics already say so, nothing runs (they take nested
+    columns for a default size, so frames with such are always measured). Otherwise ``df`` is
+    materialised and measured; above the threshold it is returned unmarked, and the
+    join is a shuffle join, where adaptive execution splits skewed partitions. Spark
+    removes the checkpoint with the frame if ``spark.cleaner.referenceTracking.
+    cleanCheckpoints`` is set.
     """
+    limit = broadcast_limit(df.sparkSession)
+    nested = any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema)
+    if not nested and _planned_bytes(df) <= limit:
+        return F.broadcast(df)
     small = checkpointed(df)
-    text = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        for f in small.schema.fields
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
-    text_bytes = sum(text[1:], text[0]) if text else F.lit(0)
+    sized = [F.coalesce(_bytes_of(f), F.lit(0)) for f in small.schema.fields if _varies(f.dataType)]
+    varying = sum(sized[1:], sized[0]) if sized else F.lit(0)
     size = small.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(text_bytes), F.lit(0)).alias("text")
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(varying), F.lit(0)).alias("varying")
     ).first()
-    estimate = size["rows"] * (16 + 16 * len(small.columns)) + size["text"]
-    return F.broadcast(small) if estimate <= broadcast_limit(df.sparkSession) else small
+    estimate = size["rows"] * (16 + 16 * len(small.columns)) + size["varying"]
+    return F.broadcast(small) if estimate <= limit else small
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _varies(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
+
+
+def _bytes_of(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(column)
+    # Twice the text of a nested value covers its offsets and numbers.
+    return 2 * F.octet_length(F.to_json(F.struct(column)))
