@@ -49,22 +49,26 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@checked("SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents")
+@checked("SELECT doc_id::VARCHAR AS doc_id, text, lang, source, lang AS folder FROM documents")
 def csv_multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").drop("n_chars")
     root = scratch_path(spark, "csv")
-    documents.repartition(8).write.options(**CSV_TEXT).csv(root)
-    return read_raw(spark, root).drop("path")
+    filed = documents.repartition(8).withColumn("folder", F.col("lang"))
+    filed.write.partitionBy("folder").options(**CSV_TEXT).csv(root)
+    folder = F.regexp_extract("path", "/folder=([^/]*)/[^/]+$", 1)
+    return read_raw(spark, root).withColumn("folder", folder).drop("path")
 
 
 @checked(
     f"""
 WITH {FILED_SQL},
 stamped AS (
-  SELECT filed_at AS i, CASE WHEN event_type = 'click' THEN filed_at + INTERVAL 5 SECOND ELSE filed_at END AS e
+  SELECT filed_at AS i, CASE WHEN event_type = 'click' THEN filed_at + INTERVAL 5 SECOND ELSE filed_at END AS e,
+    CASE WHEN event_type IN ('click', 'view') THEN 'web' ELSE 'app' END AS kind
   FROM filed
 )
-SELECT DISTINCT i AS "ingestionDate", e AS "extractDate", 'app' AS "DataLakePathRaw"
+SELECT DISTINCT i AS "ingestionDate", e AS "extractDate", kind AS "DataLakePathRaw",
+  true AS named, true AS below, true AS filled
 FROM stamped WHERE i > TIMESTAMP '2024-01-29 12:00:00'
 """
 )
@@ -74,10 +78,22 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.expr("filed_at + INTERVAL 5 SECOND"), "yyyyMMdd-HHmmss"),
     ).otherwise("none")
     events = filed_events(spark, sf_dir).withColumn("stamp", stamp)
-    root = write_tree(events, "inventory", below={"batch": "stamp"})
-    files = inventory(spark, root, "*.parquet", after=MARK)
-    named = F.when(F.col("DataLakePathRaw") == root, "app").alias("DataLakePathRaw")
-    return files.select("ingestionDate", "extractDate", named).distinct()
+    web = F.col("event_type").isin("click", "view")
+    roots = {
+        write_tree(events.filter(web), "inventory", below={"batch": "stamp"}): "web",
+        write_tree(events.filter(~web), "inventory", below={"batch": "stamp"}): "app",
+    }
+    files = inventory(spark, roots, "*.parquet", after=MARK)
+    names = F.create_map(*[F.lit(x) for pair in roots.items() for x in pair])
+    root, path = F.col("DataLakePathRaw"), F.col("filePath")
+    return files.select(
+        "ingestionDate",
+        "extractDate",
+        F.element_at(names, root).alias("DataLakePathRaw"),
+        path.endswith(F.concat(F.lit("/"), "fileName", F.lit(".parquet"))).alias("named"),
+        path.contains(root).alias("below"),
+        (F.col("fileSize") > 0).alias("filled"),
+    ).distinct()
 
 
 @checked(
@@ -99,7 +115,8 @@ def incremental_hour_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {FILED_SQL}
 SELECT strftime(filed_at, '%Y-%m-%d %H:%M:%S') AS "ingestionDateTime",
   strftime(filed_at, '%Y-%m-%d %H:%M:%S') AS "extractDateTime",
-  event_id, event_type, props, zone
+  event_id, event_type, props, zone,
+  strftime(filed_at, 'year=%Y/month=%m/day=%d/hour=%H/minute=%M') AS folder
 FROM filed, (VALUES ('curated'), ('standardised')) AS zones(zone)
 """
 )
@@ -112,6 +129,7 @@ def json_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_json_latest(arrived, "events", f"{lake}/curated", f"{lake}/standardised")
     zones = [
         spark.read.parquet(f"{lake}/{zone}/json/events/schema=v1/partition=Latest")
+        .withColumn("folder", F.regexp_extract("path", "/(year=[^/]+(?:/[^/=]+=[^/]+)+)/[^/]+$", 1))
         .drop("path")
         .withColumn("zone", F.lit(zone))
         for zone in ("curated", "standardised")
