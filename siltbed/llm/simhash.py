@@ -215,9 +215,10 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, both: int | None = No
     # Nodes without links are components of their own.
     linked = prints.join(parts, prints["node"] == parts["of"], "left")
     linked = written(linked.select("node", "first_id", F.coalesce("component", "node").alias("part")), "parts")
-    first = linked.groupBy("part").agg(F.min("first_id").alias("component_id"))
-    first = written(linked.join(first, "part").select("node", "part", "component_id"), "components")
-    # Written, so that a fingerprint with very many documents is a hot key Spark splits.
+    # Both sides of these joins are written, so that a component with very many fingerprints,
+    # or a fingerprint with very many documents, is a hot key Spark splits.
+    least = written(linked.groupBy("part").agg(F.min("first_id").alias("component_id")), "least")
+    first = written(linked.join(least, "part").select("node", "part", "component_id"), "components")
     return own.join(first, "node").drop("node", "second")
 
 
