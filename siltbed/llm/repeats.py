@@ -89,8 +89,16 @@ def packed(first: np.ndarray, before: np.ndarray, count: np.ndarray) -> np.ndarr
     return first << 16 | before << 8 | count
 
 
-#: Set in the count of a run that is settled: a repeat on its way to its document.
+#: Set in the count of a run that is settled: a repeat on its way to its document. Neighbouring
+#: settled runs go as one, with the number of windows in place of the bytes' hash.
 SETTLED = 128
+#: Low bits of a repeat's number that hold its windows; the others hold the first.
+COUNT_BITS = 24
+
+
+def repeat(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Windows that are repeats, in one number."""
+    return first << COUNT_BITS | count
 
 
 def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,18 +121,27 @@ def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         gram, own, doc, at = map(np.concatenate, columns)
         order = np.lexsort((at, doc, own))
-        gram, own, doc, at = gram[order], own[order], doc[order], at[order]
-        later = np.r_[False, own[1:] == own[:-1]]
-        at[later] |= SETTLED
-        # Settled runs have no gram to meet others at; any place will do.
-        gram[later] = xxhash_of(doc[later], at[later])
+        later = np.zeros(len(own), bool)
+        later[order[1:]] = own[order[1:]] == own[order[:-1]]
+        settled = np.flatnonzero(later)
+        if len(settled):
+            # Runs follow each other without gaps, so neighbours are one stretch of windows.
+            first, row = at[settled] >> 16, doc[settled]
+            apart = (np.diff(settled) > 1) | (np.diff(row) != 0) | (np.diff(first // CHUNK) != 0)
+            starts = np.flatnonzero(np.r_[True, apart])
+            count = np.add.reduceat(at[settled] & 127, starts)
+            row, first = row[starts], first[starts] << 16 | SETTLED
+            # They have no gram to meet others at; any place will do.
+            gram = np.r_[gram[~later], spread(row, first)]
+            own = np.r_[own[~later], count.astype(np.uint64)]
+            doc, at = np.r_[doc[~later], row], np.r_[at[~later], first]
         yield pa.RecordBatch.from_arrays(
             [pa.array(gram.view(np.int64)), pa.array(own.view(np.int64)), pa.array(doc), pa.array(at)],
             ["gram", "own", "doc", "at"],
         )
 
 
-def xxhash_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def spread(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = (a.astype(np.uint64) ^ (b.astype(np.uint64) << np.uint64(20))) * np.uint64(0x9E3779B97F4A7C15)
     return out ^ (out >> np.uint64(29))
 
@@ -143,13 +160,13 @@ def meet_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, own, doc, at = (batch[c].to_numpy() for c in ("gram", "own", "doc", "at"))
         done = (at & SETTLED) > 0
         if done.any():
-            yield out(gram[done], doc[done], at[done] & ~SETTLED, False)
+            yield out(gram[done], doc[done], repeat(at[done] >> 16, own[done]), False)
             gram, own, doc, at = gram[~done], own[~done], doc[~done], at[~done]
         if not len(gram):
             continue
         new = np.r_[held is None or (gram[0], own[0]) != held[:2], (gram[1:] != gram[:-1]) | (own[1:] != own[:-1])]
         if not new.all():
-            yield out(gram[~new], doc[~new], at[~new], False)
+            yield out(gram[~new], doc[~new], repeat(at[~new] >> 16, at[~new] & 127), False)
         g, o, d, a = gram[new], own[new], doc[new], at[new]
         given = np.zeros(len(g), bool)
         if held is not None:
@@ -334,7 +351,7 @@ def compare_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def flush() -> pa.RecordBatch:
         doc, first, count = (np.array(c, np.int64) for c in (zip(*found) if found else ((), (), ())))
         found.clear()
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(packed(first, first * 0, count))], ["doc", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(repeat(first, count))], ["doc", "at"])
 
     for group in sorted_groups(batches, ["key"]):
         if group.num_rows > 1:
@@ -355,8 +372,9 @@ def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if wanted:
                 at = np.array(wanted, np.int64)
                 edge = np.zeros(len(data) + 1, np.int64)
-                np.add.at(edge, at >> 16, 1)
-                np.add.at(edge, (at >> 16) + (at & 127) + WINDOW - 1, -1)
+                first, count = at >> COUNT_BITS, at & ((1 << COUNT_BITS) - 1)
+                np.add.at(edge, first, 1)
+                np.add.at(edge, first + count + WINDOW - 1, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 removed = int(gone.sum())
                 spans = int((np.diff(np.r_[False, gone].astype(np.int8)) == 1).sum())
@@ -384,7 +402,7 @@ def ordered(docs: DataFrame) -> DataFrame:
 
 
 def found_repeats(docs: DataFrame) -> DataFrame:
-    """``doc`` and ``at`` (packed) of the runs of repeated windows; ``docs`` has doc, text."""
+    """``doc`` and ``at`` (see ``repeat``) of repeated windows; ``docs`` has doc, text."""
     every = map_batches(docs.select("doc", "text"), find_runs, "gram long, own long, doc long, at long")
     every = every.repartition("gram").sortWithinPartitions("gram", "own", "doc", "at")
     met = written(map_batches(every, meet_runs, "gram long, doc long, at long, open boolean"), "met_runs")
