@@ -16,11 +16,8 @@ chunks by hash and every two chunks are compared in a task of their own. A task
 a spanning forest of its links (at most one edge for each of its fingerprints), never
 all pairs of a group; connected components join the forests.
 
-``drop_near_duplicates``, the stage, looks for similar texts rather than for one rule: it
-takes a second fingerprint, of 5-word shingles with another seed. Two texts link at 8
-differing bits or fewer in the first (2 in one block, so anchors within 5) and 20 or fewer
-in both, which is what a similarity of 0.8 gives on average; unrelated texts don't get
-there by chance, as they do at 8 bits of 64 in a large corpus.
+``drop_near_duplicates``, the stage, goes by the similarity of whole shingle sets instead; see
+``shingles``.
 
 Null and empty texts, and texts of white space, have fingerprint zero and link like any
 others. Rows without an id don't name a component, but do link. Repeated rows get the
@@ -39,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltbed.llm.common import batches_of, map_batches, sorted_groups, written
 from siltbed.llm.components import connected_components
+from siltbed.llm.shingles import similar_groups
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -49,9 +47,6 @@ RADIUS = 3
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b110001110101
 CHUNK = 2048
-#: The stage: words and seed of the second fingerprint, bits of the first and of both.
-SECOND_WORDS, SECOND_SEED = 5, 43
-STAGE_BITS, STAGE_BOTH = 8, 20
 #: Shingles hashed at once.
 SHINGLES_AT_ONCE = 1 << 16
 
@@ -77,8 +72,8 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
     return int.from_bytes(np.packbits(2 * set_bits > len(starts), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, both: bool = False) -> DataFrame:
-    """``docs`` without its text, with fingerprint, second (or 0) and their node as longs."""
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """``docs`` without its text, with fingerprint, second (0) and their node as longs."""
     others = [c for c in docs.columns if c != "text"]
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +81,6 @@ def fingerprints(docs: DataFrame, both: bool = False) -> DataFrame:
             texts = batch["text"].to_pylist()
             one = np.array([fingerprint(t) for t in texts], np.uint64)
             two = np.zeros_like(one)
-            if both:
-                two = np.array([fingerprint(t, SECOND_WORDS, SECOND_SEED) for t in texts], np.uint64)
             added = [pa.array(x.view(np.int64)) for x in (one, two, nodes(one, two))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in others), *added], [*others, "fingerprint", "second", "node"]
@@ -205,12 +198,12 @@ def links(prints: DataFrame, bits: int = MAX_BITS, both: int = 2 * 64, chunk: in
     return map_batches(dealt, compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, both: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """Each document's columns but ``text``, fingerprint (long), part (a long), component_id."""
-    own = written(fingerprints(docs, both is not None), "fingerprints")
+    own = written(fingerprints(docs), "fingerprints")
     prints = own.groupBy("node", "fingerprint", "second").agg(F.min("doc_id").alias("first_id"))
     prints = written(prints, "distinct")
-    edges = links(prints.select("fingerprint", "second"), bits, 2 * 64 if both is None else both)
+    edges = links(prints.select("fingerprint", "second"), bits)
     parts = connected_components(edges).withColumnRenamed("node", "of")
     # Nodes without links are components of their own.
     linked = prints.join(parts, prints["node"] == parts["of"], "left")
@@ -229,7 +222,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, the one with the smallest id, with all columns.
+    """One document of each component of similar texts stays, the one with the smallest id, with all columns.
 
     Documents are told apart by their id and a hash of all columns; of rows alike in both,
     one stays. Only the ids and hashes of those that go are joined to the documents.
@@ -239,8 +232,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     rows = rows.withColumn("__hash", F.xxhash64(*names.values()))
     narrow = rows.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), "__hash")
-    found = near_duplicates(narrow, STAGE_BITS, STAGE_BOTH)
-    # The smallest id names the component; without any id the fingerprints' hash does.
+    found = similar_groups(narrow)
+    # The smallest id names the component; without any id the hash of all columns does.
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
     found = found.withColumn("key", key).select("part", "key")
     first = written(found.groupBy("part").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "first")
