@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -45,6 +46,11 @@ def library(model: str) -> tokenizers.Tokenizer:
     return tokenizers.Tokenizer.from_file(public_tokenizers.path(model))
 
 
+def normalized(text: str) -> str:
+    """What the tokenizer splits: ASCII stays fast, the rest is normalised as it does."""
+    return text if text.isascii() else unicodedata.normalize("NFC", text).lower()
+
+
 class Ids(dict):
     """The library's ids of a text between spaces, as little-endian bytes.
 
@@ -62,8 +68,9 @@ class Ids(dict):
         lower = part.lower() if part.isascii() and "<|" not in part else part
         if lower != part:
             ids = self[lower]
-        elif part[-1] in ".,;:!?" and part[:-1].isalpha():
-            # A sign after a letter is a pre-token of its own.
+        elif part[-1] in ".,;:!?" and normalized(part[:-1]).isalpha():
+            # A sign after a letter is a pre-token of its own, but not after a mark that
+            # normalising splits off a letter.
             ids = self[part[:-1]] + self[part[-1]] if len(part) > 1 else self.of_library(part)
         else:
             ids = self.of_library(part)

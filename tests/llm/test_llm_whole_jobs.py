@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from siltbed.llm import shingles, simhash
+from siltbed.llm import packing, shingles, simhash
 
 
 def words_of(text):
@@ -81,3 +81,11 @@ def test_proposals_miss_almost_no_pair_at_0_8():
         same = (np.frombuffer(s1, np.uint8) == np.frombuffer(s2, np.uint8)).sum()
         missed += not set(k1) & set(k2) or same < shingles.LEAST_SAME
     assert missed == 0
+
+
+def test_shortcut_of_words_before_signs_equals_the_library():
+    library = packing.library(packing.MODEL)
+    letters = ["হয়", "हक़", "אשׁ", "kitabİ", "é", "été", "abc", "ß"]
+    for text in [w + sign for w in letters for sign in ".,;:!?"]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.Ids(packing.MODEL).of_text(text), "<u4").tolist() == ids, ascii(text)
