@@ -7,8 +7,8 @@ by ``DISCOUNT`` and gives that weight to the next lower one, the lowest to a uni
 choice of ``SYMBOLS``. N-grams are counted over all training documents by Spark.
 
 A model is a sorted array of n-gram hashes with their probabilities and one of context
-hashes with their weights. Hashes have ``HASH_BITS`` bits, n-grams that share one share
-their counts; so a language's arrays have a bound, whatever the corpus.
+hashes with their weights; they grow with the counted n-grams. Hashes have 64 bits, so an
+n-gram's probability is its count's share of its own context alone.
 
 A text's cross-entropy is the sum over its words divided by their characters and end
 marks. The lowest wins. Since a word's value doesn't depend on its neighbours, a task
@@ -41,7 +41,7 @@ from siltbed.llm.common import batches_of, crc32_of_id, map_batches, written
 ORDER = 5
 DISCOUNT = 0.75
 SYMBOLS = 1 << 12
-HASH_BITS = 20
+HASH_BITS = 64
 REMEMBERED = 200_000
 LONGEST = 64
 LIMIT_QUANTILE = 0.999
@@ -98,7 +98,6 @@ class Model:
             share = np.maximum(n - DISCOUNT, 0) / total[where]
             order = np.argsort(pairs[:, 1], kind="stable")
             gram, first = np.unique(pairs[order, 1], return_index=True)
-            # N-grams that share a hash but not a context share the sum.
             grams.append((gram, np.add.reduceat(share[order], first) if len(gram) else share))
             contexts.append((context, DISCOUNT * kinds / np.maximum(total, 1)))
         return Model(grams, contexts)
@@ -218,7 +217,6 @@ def learn(train: DataFrame) -> dict[str, Model]:
         )
         hashed = map_batches(counted, _hash_rows, "lang string, context long, gram long, n long")
         hashed = hashed.groupBy("lang", "context", "gram").agg(F.sum("n").alias("n"))
-        # At most 2 ** HASH_BITS n-grams for each language and order.
         for row in hashed.toLocalIterator():
             tables.setdefault(row["lang"], [{} for _ in range(ORDER)])[n - 1][row["context"], row["gram"]] = row["n"]
     return {lang: Model.of(t) for lang, t in tables.items()}

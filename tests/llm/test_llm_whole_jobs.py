@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from siltbed.llm import packing, shingles, simhash
+from siltbed.llm import language, packing, shingles, simhash
 
 
 def words_of(text):
@@ -89,3 +89,9 @@ def test_shortcut_of_words_before_signs_equals_the_library():
     for text in [w + sign for w in letters for sign in ".,;:!?"]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(packing.Ids(packing.MODEL).of_text(text), "<u4").tolist() == ids, ascii(text)
+
+
+def test_language_models_keep_ngrams_apart():
+    rng = np.random.default_rng(7)
+    codes = np.unique(rng.integers(97, 1000, (200_000, 5)), axis=0)
+    assert len(np.unique(language.hashes(codes))) == len(codes)
