@@ -6,13 +6,14 @@ lower orders the number of different characters before an n-gram; every order di
 by ``DISCOUNT`` and gives that weight to the next lower one, the lowest to a uniform
 choice of ``SYMBOLS``. N-grams are counted over all training documents by Spark.
 
-A model is a sorted array of n-gram hashes with their probabilities and one of context
-hashes with their weights; they grow with the counted n-grams. Hashes have 64 bits, so an
-n-gram's probability is its count's share of its own context alone.
+N-grams and contexts are kept as they are, in tables that Spark makes by grouping and
+joining; no task and no driver holds a model. The corpus's distinct words are cut into
+n-grams, these are joined with the models, and the words' nats are added up. Tasks
+get the nats of the most frequent words (``REMEMBERED`` numbers); the other words of a
+text are joined with theirs. ``Model`` says the same in memory, for comparison.
 
 A text's cross-entropy is the sum over its words divided by their characters and end
-marks. The lowest wins. Since a word's value doesn't depend on its neighbours, a task
-works out each word once and remembers ``REMEMBERED`` of them.
+marks. The lowest wins.
 
 Rejection: a language's limit is a high quantile of the cross-entropy of its own
 training documents; ``accepted`` tells whether the winner is within its limit. ``score``
@@ -42,8 +43,7 @@ ORDER = 5
 DISCOUNT = 0.75
 SYMBOLS = 1 << 12
 HASH_BITS = 64
-REMEMBERED = 200_000
-LONGEST = 64
+REMEMBERED = 800_000
 LIMIT_QUANTILE = 0.999
 HELD_OUT_OF, HELD_OUT_REST = 3, 1
 START, END = "\x02", "\x03"
@@ -119,151 +119,171 @@ def _found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: floa
     return np.where(known[at] == keys, values[at], missing)
 
 
-class Identifier:
-    """Models by language; remembers n-grams and words."""
-
-    def __init__(self, models: dict[str, Model]):
-        self.languages = sorted(models)
-        self.models = [models[k] for k in self.languages]
-        self.forget()
-
-    def forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.values = np.zeros((0, len(self.languages)))
-        self.keys, self.nats = np.zeros(0, np.uint64), np.zeros((0, len(self.languages)))
-
-    def of_ngrams(self, codes: np.ndarray) -> np.ndarray:
-        """Nats of each n-gram under each language."""
-        keys = _mixed(codes)
-        at = np.searchsorted(self.keys, keys)
-        new = at == len(self.keys)
-        new[~new] = self.keys[at[~new]] != keys[~new]
-        if new.any():
-            added, first = np.unique(keys[new], return_index=True)
-            rows = codes[new][first]
-            nats = np.stack([m.nats(rows) for m in self.models], 1)
-            self.keys, self.nats = np.concatenate([self.keys, added]), np.concatenate([self.nats, nats])
-            order = np.argsort(self.keys)
-            self.keys, self.nats = self.keys[order], self.nats[order]
-            at = np.searchsorted(self.keys, keys)
-        return self.nats[at]
-
-    def remember(self, new: list[str]) -> None:
-        """Work out the nats of words not met before."""
-        for at in range(0, len(new), 16_384):
-            part = new[at : at + 16_384]
-            sizes = np.array([*map(len, part)]) + 1
-            nats = np.add.reduceat(self.of_ngrams(ngrams(part)), np.cumsum(sizes) - sizes)
-            self.places.update(zip(part, range(len(self.places), len(self.places) + len(part))))
-            self.values = np.concatenate([self.values, nats])
-
-    def measure(self, texts: list[str | None]) -> list[tuple[int, np.ndarray]]:
-        """Characters and nats by language of each text."""
-        each = [words(t) for t in texts]
-        if not self.languages:
-            return [(0, np.zeros(0)) for _ in each]
-        if len(self.places) > REMEMBERED:
-            self.forget()
-        self.remember([*set().union(*each).difference(self.places)])
-        out = []
-        for found in each:
-            at = np.fromiter(map(self.places.__getitem__, found), np.int64, len(found))
-            out.append((sum(map(len, found)) + len(found), self.values[at].sum(axis=0)))
-        return out
-
-
-def count_ngrams(train: DataFrame) -> DataFrame:
-    """lang, gram, n: n-grams of the highest order over all rows of lang and text."""
-
-    def rows(grams: dict[str, Counter]) -> pa.RecordBatch:
-        keys = [(lang, gram, n) for lang, counts in grams.items() for gram, n in counts.items()]
+def count_words(docs: DataFrame) -> DataFrame:
+    """lang (null if not for training), word, n over all rows of lang and text."""
+
+    def rows(counts: Counter) -> pa.RecordBatch:
+        keys = [(*key, n) for key, n in counts.items()]
         columns = list(zip(*keys)) or [(), (), ()]
         kinds = (pa.string(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays(list(map(pa.array, columns, kinds)), ["lang", "gram", "n"])
+        return pa.RecordBatch.from_arrays(list(map(pa.array, columns, kinds)), ["lang", "word", "n"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams: dict[str, Counter] = {}
-        for batch in batches_of(batches, 2048):
-            seen: dict[str, Counter] = {}
+        held: dict[str | None, Counter] = {}
+        for batch in batches_of(batches):
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                seen.setdefault(lang, Counter()).update(words(text))
-            for lang, counts in seen.items():
-                if counts:
-                    codes = ngrams(list(counts))
-                    sizes = np.array([*map(len, counts)]) + 1
-                    _, first, where = np.unique(_mixed(codes), return_index=True, return_inverse=True)
-                    n = np.bincount(where, np.repeat(np.array([*counts.values()]), sizes)).astype(np.int64)
-                    text = codes[first].astype("<u4").tobytes().decode("utf-32-le")
-                    own = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
-                    grams.setdefault(lang, Counter()).update(dict(zip(own, n.tolist())))
-            if sum(map(len, grams.values())) > REMEMBERED:
-                yield rows(grams)
-                grams = {}
-        yield rows(grams)
-
-    found = map_batches(train, count, "lang string, gram string, n long")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def learn(train: DataFrame) -> dict[str, Model]:
-    """A model for each language of rows with lang and text."""
-    counted = written(count_ngrams(train), "ngrams")
-    tables: dict[str, list[dict]] = {}
+                held.setdefault(lang, Counter()).update(words(text))
+            if sum(map(len, held.values())) > REMEMBERED:
+                yield from (rows({(lang, w): n for w, n in c.items()}) for lang, c in held.items())
+                held = {}
+        yield from (rows({(lang, w): n for w, n in c.items()}) for lang, c in held.items())
+
+    found = map_batches(docs.select("lang", "text"), count, "lang string, word string, n long")
+    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def with_ngrams(counted: DataFrame, keep: dict[str, str]) -> DataFrame:
+    """The kept columns and ``gram``: a row for each highest-order n-gram of each word."""
+
+    def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, 4096):
+            own, at = [], []
+            for i, word in enumerate(batch["word"].to_pylist()):
+                padded = START * (ORDER - 1) + word + END
+                own += [padded[k : k + ORDER] for k in range(len(word) + 1)]
+                at += [i] * (len(word) + 1)
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch[c].take(rows) for c in keep), pa.array(own, pa.string())], [*keep, "gram"])
+
+    return map_batches(counted, explode, ", ".join([*(f"{c} {t}" for c, t in keep.items()), "gram string"]))
+
+
+def learn(train: DataFrame, languages: list[str]) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order: shares by gram and weights by context, a column s_k or b_k a language."""
+
+    def wide(rows: DataFrame, key: str, value: str, to: str) -> DataFrame:
+        each = [F.sum(F.when(F.col("lang") == lang, F.col(value))).alias(f"{to}_{k}") for k, lang in enumerate(languages)]
+        return rows.groupBy(key).agg(*each)
+
+    grams = with_ngrams(train, {"lang": "string", "n": "long"})
+    counted, out = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), []
     for n in range(ORDER, 0, -1):
-        # What n-grams of the order above end in: the kinds of characters before.
-        value = F.sum("n") if n == ORDER else F.count(F.lit(1))
-        counted = written(
-            counted.groupBy("lang", F.expr(f"right(gram, {n})").alias("gram")).agg(value.alias("n")), f"order_{n}"
-        )
-        hashed = map_batches(counted, _hash_rows, "lang string, context long, gram long, n long")
-        hashed = hashed.groupBy("lang", "context", "gram").agg(F.sum("n").alias("n"))
-        for row in hashed.toLocalIterator():
-            tables.setdefault(row["lang"], [{} for _ in range(ORDER)])[n - 1][row["context"], row["gram"]] = row["n"]
-    return {lang: Model.of(t) for lang, t in tables.items()}
-
-
-def _hash_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            grams = batch["gram"].to_pylist()
-            codes = np.array([[*map(ord, g)] for g in grams], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch["lang"], pa.array(hashes(codes[:, :-1])), pa.array(hashes(codes)), batch["n"]],
-                ["lang", "context", "gram", "n"],
-            )
-
-
-def measured(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """``docs`` without its text, with best (language or null), nats a character, score."""
-    others = [c for c in docs.columns if c != "text"]
-    identifier = Identifier(models)
-
-    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if n < ORDER:
+            # What n-grams of the order above end in: the kinds of characters before.
+            counted = counted.groupBy("lang", F.expr(f"right(gram, {n})").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        counted = written(counted, f"order_{n}")
+        own = counted.withColumn("context", F.expr(f"left(gram, {n - 1})"))
+        contexts = own.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        contexts = written(contexts, f"contexts_{n}")
+        shares = own.join(contexts, ["lang", "context"])
+        shares = shares.withColumn("share", F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total"))
+        back = contexts.withColumn("back", DISCOUNT * F.col("kinds") / F.col("total"))
+        out.append((written(wide(shares, "gram", "share", "s"), "shares"), written(wide(back, "context", "back", "b"), "backs")))
+    return out[::-1]
+
+
+def word_nats(every: DataFrame, model: list[tuple[DataFrame, DataFrame]], of: int) -> DataFrame:
+    """word, n and e_k, the word's nats under each of ``of`` languages; ``every``: no, word, n."""
+    grams = written(with_ngrams(every.select("no", "word"), {"no": "long"}), "word_ngrams")
+    asked, p = [written(grams.select("gram").distinct(), "asked")], None
+    for n in range(ORDER - 1, 0, -1):
+        asked.insert(0, written(asked[0].select(F.expr(f"right(gram, {n})").alias("gram")).distinct(), "asked"))
+    for n, (rows, (shares, back)) in enumerate(zip(asked, model), 1):
+        rows = rows.withColumn("context", F.expr(f"left(gram, {n - 1})")).withColumn("end", F.expr(f"right(gram, {n - 1})"))
+        if p is None:
+            rows = rows.select("*", *[F.lit(1 / SYMBOLS).alias(f"p_{k}") for k in range(of)])
+        else:
+            rows = rows.join(p.withColumnRenamed("gram", "end"), "end")
+        rows = rows.join(shares, "gram", "left").join(back, "context", "left")
+        mixed = [
+            (F.coalesce(f"b_{k}", F.lit(1.0)) * F.col(f"p_{k}") + F.coalesce(f"s_{k}", F.lit(0.0))).alias(f"p_{k}")
+            for k in range(of)
+        ]
+        p = written(rows.select("gram", *mixed), f"chances_{n}")
+    nats = [F.sum(-F.ln(F.greatest(F.least(f"p_{k}", F.lit(1.0)), F.lit(1e-12)))).alias(f"e_{k}") for k in range(of)]
+    summed = written(grams.join(p, "gram").groupBy("no").agg(*nats), "nats")
+    return written(every.join(summed, "no").drop("no"), "word_nats")
+
+
+def frequent(known: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, at most ``most``."""
+    known = known.withColumn("step", F.floor(F.log2("n") * 16).cast("int"))
+    # At most 16 x 64 rows.
+    total, least = 0, None
+    for row in known.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    return known.filter(F.col("step") >= least if least is not None else F.lit(False)).drop("step")
+
+
+def measured(docs: DataFrame, known: DataFrame, languages: list[str], most: int = REMEMBERED) -> DataFrame:
+    """``docs`` without its text, with best (language or null), nats a character, score.
+
+    The most frequent words' nats reach every task; the other words are joined.
+    """
+    others, of, kinds = [c for c in docs.columns if c != "text"], len(languages), dict(docs.dtypes)
+    columns = [f"e_{k}" for k in range(of)]
+    head = frequent(known, most // max(of, 1)).select("word", *columns).toArrow() if of else None
+    names = head["word"].to_pylist() if of else []
+    values = np.stack([head[c].to_numpy() for c in columns], 1) if of else np.zeros((0, 0))
+    own = ", ".join(f"`{c}` {kinds[c]}" for c in others)
+
+    def add_known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {w: i for i, w in enumerate(names)}
         for batch in batches_of(batches):
+            sizes, sums, rest = [], [], []
+            for text in batch["text"].to_pylist():
+                found = words(text)
+                at = [places.get(w, -1) for w in found]
+                sizes.append(sum(map(len, found)) + len(found))
+                sums.append(values[[i for i in at if i >= 0]].sum(axis=0).tolist())
+                rest.append([w for w, i in zip(found, at) if i < 0] if of else [])
+            added = [pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.float64())), pa.array(rest, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *added], [*others, "size", "sums", "rest"])
+
+    def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             best, entropy, score = [], [], []
-            for size, nats in identifier.measure(batch["text"].to_pylist()):
-                if not size or not len(nats):
+            for size, sums in zip(batch["size"].to_pylist(), batch["sums"].to_pylist()):
+                if not size or not of:
                     best.append(None), entropy.append(None), score.append(0.0)
                     continue
+                nats = np.array(sums)
                 k = int(nats.argmin())
                 apart = (nats - nats[k]) / size / TEMPERATURE * math.log1p(size)
-                best.append(identifier.languages[k]), entropy.append(float(nats[k] / size))
+                best.append(languages[k]), entropy.append(float(nats[k] / size))
                 score.append(float(1 / np.exp(-apart).sum()))
-            columns = [pa.array(best, pa.string()), pa.array(entropy, pa.float64()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *columns], [*others, "best", "nats", "score"])
-
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "best string, nats double, score double"])
-    return map_batches(docs, compute, schema)
+            added = [pa.array(best, pa.string()), pa.array(entropy, pa.float64()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *added], [*others, "best", "nats", "score"])
+
+    part = map_batches(docs, add_known, f"{own}, size long, sums array<double>, rest array<string>")
+    if not of:
+        return map_batches(part.drop("rest"), rate, f"{own}, best string, nats double, score double")
+    part = written(part.withColumn("row", F.monotonically_increasing_id()), "known_words")
+    rest = part.filter("size(rest) > 0").select("row", F.explode("rest").alias("word"))
+    rest = written(rest.groupBy("row", "word").count(), "other_words")
+    sums = [F.sum(F.col(c) * F.col("count")).alias(c) for c in columns]
+    added = rest.join(known.select("word", *columns), "word").groupBy("row").agg(*sums, F.lit(1).alias("hit"))
+    both = [(F.get("sums", F.lit(k)) + F.coalesce(c, F.lit(0.0))) for k, c in enumerate(columns)]
+    joined = part.join(written(added, "other_nats"), "row", "left").select(*others, "size", F.array(*both).alias("sums"))
+    return map_batches(joined, rate, f"{own}, best string, nats double, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, held_out, lang_pred, score, nats, accepted."""
     docs = docs.select("doc_id", "text", "lang")
     held_out = crc32_of_id() % HELD_OUT_OF == HELD_OUT_REST
-    train = docs.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    models = learn(train.select("lang", "text"))
-    found = written(measured(docs.withColumn("held_out", held_out), models), "measured")
+    learns = ~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    counted = written(count_words(docs.withColumn("lang", F.when(learns, F.col("lang")))), "words")
+    train = counted.filter("lang is not null")
+    languages = sorted(r["lang"] for r in train.select("lang").distinct().collect())  # one row a language
+    every = counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("no", F.monotonically_increasing_id())
+    known = written(every, "every_word")
+    if languages:
+        known = word_nats(known, learn(train, languages), len(languages))
+    found = written(measured(docs.withColumn("held_out", held_out), known, languages), "measured")
     own = found.filter("not held_out and lang = best")
     limits = own.groupBy("best").agg(F.percentile_approx("nats", LIMIT_QUANTILE, 10_000).alias("limit")).collect()
     limit = F.lit(None).cast("double")
