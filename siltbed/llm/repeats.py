@@ -19,10 +19,12 @@ chose it, about one for 43 bytes.
    depth of 32 bytes, then a blind trie orders each group that is still equal. In these orders,
    the windows that begin d bytes before the anchor are equal where the suffixes have
    100 - d bytes in common and the prefixes d; all but the first of each class are repeats.
+   A group of more than ``MOST_ROWS`` rows is not collected: its windows become hashes of
+   128 bits, and Spark takes the first document and place of each.
 4. Repeats are gathered by document and cut out of its bytes.
 
 Hashes only propose; runs are equal if 128 bits of two hashes agree, windows in step 3 by
-their bytes. Documents are ordered by doc_id; documents that share an id by a hash of
+their bytes, in large groups by 128 bits. Documents are ordered by doc_id; documents that share an id by a hash of
 their text, and those without an id come last. Null text counts as empty; texts below
 100 bytes keep everything. An empty table gives an empty result.
 """
@@ -51,6 +53,8 @@ CHUNK = 1 << 20
 PLACE = np.uint64((1 << 21) - 1)
 #: Up to so many strings of a group are compared two by two.
 FEW = 6
+#: Groups with more rows are not collected; Spark compares the hashes of their windows.
+MOST_ROWS = 4096
 
 
 def gram_hashes(data: bytes) -> np.ndarray:
@@ -362,6 +366,31 @@ def compare_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield flush()
 
 
+def hash_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Document, first byte and 128 bits of hashes of each window of open runs."""
+    for batch in batches_of(batches, 1024):
+        out: list[tuple] = []
+        for doc, place, least, most, data in zip(*(batch[c].to_pylist() for c in ("doc", "place", "least", "most", "bytes"))):
+            for d in range(least, most + 1):
+                window = data[most - d : most - d + WINDOW]
+                out.append((doc, place - d, xxhash.xxh3_128_digest(window)))
+        columns = list(zip(*out)) or [()] * 3
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns, kinds)], ["doc", "first", "window"])
+
+
+def repeats_of_large(rows: DataFrame) -> DataFrame:
+    """``doc`` and ``at`` of repeated windows: all but the first of those with equal hashes.
+
+    Firsts are combined before they shuffle, and are told from repeats by their place, so
+    a window that very many documents share is no hot key.
+    """
+    windows = written(map_batches(rows, hash_windows, "doc long, first long, window binary"), "windows")
+    first = windows.groupBy("window").agg(F.min(F.struct("doc", "first")).alias("at"))
+    again = windows.select("doc", "first").join(written(first.select("at.doc", "at.first"), "firsts"), ["doc", "first"], "left_anti")
+    return again.select("doc", F.shiftleft("first", COUNT_BITS).bitwiseOR(F.lit(1)).alias("at"))
+
+
 def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches, 64):
         out: list[tuple] = []
@@ -401,16 +430,24 @@ def ordered(docs: DataFrame) -> DataFrame:
     return low.withColumnRenamed("low", "doc")
 
 
-def found_repeats(docs: DataFrame) -> DataFrame:
+def found_repeats(docs: DataFrame, most_rows: int | None = None) -> DataFrame:
     """``doc`` and ``at`` (see ``repeat``) of repeated windows; ``docs`` has doc, text."""
+    most_rows = MOST_ROWS if most_rows is None else most_rows
     every = map_batches(docs.select("doc", "text"), find_runs, "gram long, own long, doc long, at long")
     every = every.repartition("gram").sortWithinPartitions("gram", "own", "doc", "at")
     met = written(map_batches(every, meet_runs, "gram long, doc long, at long, open boolean"), "met_runs")
     wanted = met.filter("open").groupBy("doc").agg(F.collect_list("at").alias("wanted"))
     schema = "key long, doc long, place long, least int, most int, bytes binary"
     some = map_batches(docs.select("doc", "text").join(wanted, "doc"), fetch_bytes, schema)
+    some = written(some, "open_runs")
+    large = written(some.groupBy("key").count().filter(F.col("count") > most_rows).select("key"), "large")
+    settled = None
+    if large.limit(1).count():
+        settled = repeats_of_large(some.join(large, "key"))
+        some = some.join(large, "key", "left_anti")
     some = some.repartition("key").sortWithinPartitions("key", "doc", "place", "least")
-    settled = map_batches(some, compare_groups, "doc long, at long")
+    small = map_batches(some, compare_groups, "doc long, at long")
+    settled = small if settled is None else small.unionByName(settled)
     return met.filter("not open").select("doc", "at").unionByName(settled)
 
 

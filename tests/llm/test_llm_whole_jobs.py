@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from siltbed.llm import language, packing, shingles, simhash
+from siltbed.llm import language, packing, repeats, shingles, simhash
 
 
 def words_of(text):
@@ -127,3 +127,17 @@ def test_language_nats_equal_the_model_in_memory(spark, most):
     found = language.measured(docs, spark.createDataFrame(known), ["a", "b"], most).first()
     size = len(texts[0][1]) + 1
     assert found["best"] == "a" and np.isclose(found["nats"], sum(nats[w] for w in texts[0][1].split()) / size)
+
+
+def test_large_groups_of_repeats_are_not_collected(spark, monkeypatch):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices("abcdefg", k=n))
+    shared = noise(300)
+    texts = [noise(80) + shared + noise(80) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    plain = sorted((r["doc_id"], r["kept_sha256"], r["n_spans"]) for r in repeats.remove_repeats(docs).collect())
+    seen, large = [], repeats.repeats_of_large
+    monkeypatch.setattr(repeats, "MOST_ROWS", 5)
+    monkeypatch.setattr(repeats, "repeats_of_large", lambda rows: large(seen.append(1) or rows))
+    found = sorted((r["doc_id"], r["kept_sha256"], r["n_spans"]) for r in repeats.remove_repeats(docs).collect())
+    assert seen and found == plain
