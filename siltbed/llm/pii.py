@@ -184,7 +184,8 @@ def selected(rated: DataFrame, base: DataFrame) -> DataFrame:
     counted = rated.groupBy(*FEATURES, F.col("overlaps").cast("int").alias("label")).agg(
         F.sum((fold == 0).cast("double")).alias("n_fit"), F.sum((fold == 1).cast("long")).alias("n_check")
     )
-    cells = written(counted.coalesce(1), "cells")
+    # Aggregated in parallel; the few cells are put together afterwards.
+    cells = written(written(counted, "counts").coalesce(1), "cells")
     fit = cells.filter("n_fit > 0")
     if fit.select("label").distinct().count() < 2:
         return none

@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from siltbed.llm import language, packing, repeats, shingles, simhash
+from siltbed.llm import language, packing, pii, repeats, shingles, simhash
 
 
 def words_of(text):
@@ -141,3 +141,20 @@ def test_large_groups_of_repeats_are_not_collected(spark, monkeypatch):
     monkeypatch.setattr(repeats, "repeats_of_large", lambda rows: large(seen.append(1) or rows))
     found = sorted((r["doc_id"], r["kept_sha256"], r["n_spans"]) for r in repeats.remove_repeats(docs).collect())
     assert seen and found == plain
+
+
+def test_feature_counts_are_not_aggregated_in_one_task(spark, monkeypatch):
+    plans = []
+
+    class Stop(Exception):
+        pass
+
+    def record(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        raise Stop
+
+    monkeypatch.setattr(pii, "written", record)
+    columns = [f"1 as `{c}`" for c in pii.FEATURES] + ["id as row", "false as overlaps"]
+    with pytest.raises(Stop):
+        pii.selected(spark.range(10).selectExpr(*columns), None)
+    assert "Aggregate" in plans[0] and "Repartition 1, false" not in plans[0]
