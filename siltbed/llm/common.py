@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltbed.session import scratch_path
@@ -63,6 +64,18 @@ def batches_of(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[p
             yield batch.slice(at, rows)
 
 
+def sized_batches(batches: Iterable[pa.RecordBatch], column: str, most: int, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with about ``most`` bytes of a text column, or one longer row."""
+    for batch in batches_of(batches, rows):
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        totals, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = int(totals[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(totals, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows of each key together, from batches sorted by the keys; groups may cross batches."""
     held: list[pa.RecordBatch] = []
