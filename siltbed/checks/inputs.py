@@ -70,10 +70,11 @@ def write_tree(
     name: str,
     fmt: str = "parquet",
     below: dict[str, str] | None = None,
+    root: str | None = None,
     **options: object,
 ) -> str:
-    """Write ``df`` as raw files in directories named after its ``filed_at``."""
-    root = scratch_path(df.sparkSession, name)
+    """Write ``df`` as raw files in directories named after its ``filed_at``, or add them to ``root``."""
+    root = root or scratch_path(df.sparkSession, name)
     folders = {
         **{unit: F.date_format("filed_at", layout) for unit, layout in TIME_DIRECTORIES.items()},
         **{folder: F.col(column) for folder, column in (below or {}).items()},
@@ -84,6 +85,7 @@ def write_tree(
         .hint("rebalance", *folders)
         .write.partitionBy(*folders)
         .options(**options)
+        .mode("append")
         .format(fmt)
         .save(root)
     )

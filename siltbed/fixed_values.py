@@ -73,6 +73,11 @@ GROUP_COLUMNS = (
     "FlatFileRole",
     "DataLakePartition",
 )
+# Optional columns of a table's configuration, and the columns that JSON tables are configured by.
+SEPARATOR, ENCODING, HTML_COLUMNS = "Separator", "Encoding", "HtmlColumnList"
+FORM_ANSWERS, COARSEN_KEY, SANITISE_NAMES = "FormAnswers", "CoarsenKey", "SanitiseNames"
+OPTIONAL_COLUMNS = (SEPARATOR, ENCODING, HTML_COLUMNS, FORM_ANSWERS, COARSEN_KEY, SANITISE_NAMES)
+JSON_COLUMNS = ("JsonTableName", "DataLakePathRaw")
 HEADER_COLUMNS = ("DatasetName", "MaxIngestionDateTime", "FlatFileExtension", "SchemaName")
 
 # Rendering.

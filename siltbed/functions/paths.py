@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,6 +40,17 @@ def ingestion_time(path: Column, pattern: str = INGESTION_PATTERN) -> Column:
     return wall_clock(digits, f"'='{layout}")
 
 
+def path_time(path: str, pattern: str = INGESTION_PATTERN) -> dt.datetime | None:
+    """What ``ingestion_time`` gives for one path, for lists of files on the driver."""
+    found = re.search(pattern, path)
+    if not found:
+        return None
+    try:
+        return dt.datetime(*map(int, found.groups()))
+    except ValueError:
+        return None
+
+
 def extract_time(
     path: Column, pattern: str = EXTRACT_PATTERN, layout: str = EXTRACT_FORMAT
 ) -> Column:

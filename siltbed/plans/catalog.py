@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
-
-from siltbed.fixed_values import EARLIEST_MARK, EXTERNAL_SCHEMA_PREFIX, GROUP_COLUMNS, HEADER_COLUMNS
+from pyspark.sql import DataFrame, Window, functions as F
+
+from siltbed.fixed_values import (
+    COARSEN_KEY,
+    EARLIEST_MARK,
+    ENCODING,
+    EXTERNAL_SCHEMA_PREFIX,
+    FORM_ANSWERS,
+    GROUP_COLUMNS,
+    HEADER_COLUMNS,
+    HTML_COLUMNS,
+    JSON_COLUMNS,
+    OPTIONAL_COLUMNS,
+    SANITISE_NAMES,
+    SEPARATOR,
+)
 from siltbed.functions.keys import parse_key_list
+from siltbed.operators.columns import quoted
 from siltbed.plans.spec import TableSpec
 from siltbed.session import broadcast_if_small
 
@@ -147,13 +161,56 @@ def load_groups(matched: DataFrame) -> DataFrame:
     )
 
 
+def size_batches(
+    files: DataFrame,
+    limit: int,
+    by: Iterable[str] = (),
+    size: str = "fileSize",
+    time: str = "ingestionDate",
+    path: str = "filePath",
+) -> DataFrame:
+    """Files with ``batch``, from 0 for each value of ``by``: at most ``limit`` bytes or one file.
+
+    Files lie on a line by their time, oldest first, that is cut every ``limit`` bytes. Files within
+    one cut share a batch, and a file across a cut is one by itself, so there are at most
+    about twice the batches needed. Where a file lies is a prefix sum in two steps, over the few
+    times and then within each of them, in 16 parts by a digest of the path, so no table's
+    files are gathered in one task.
+    """
+    if limit < 1:
+        raise ValueError("a batch has at least one byte")
+    by = [quoted(c) for c in by]
+    part = F.substring(F.md5(quoted(path).cast("binary")), 1, 1)
+    sized = files.withColumns({"__part": part, "__size": F.greatest(F.coalesce(quoted(size), F.lit(0)), F.lit(1))})
+    group = [*by, quoted(time), F.col("__part")]
+    line = Window.partitionBy(*by, F.lit(0)).orderBy(quoted(time), "__part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sized.groupBy(*group).agg(F.sum("__size").alias("__total"))
+    before = totals.withColumn("__before", F.coalesce(F.sum("__total").over(line), F.lit(0))).drop("__total")
+    names = [c for c in before.columns if c != "__before"]
+    renamed = before.select(*[quoted(c).alias(f"__on_{i}") for i, c in enumerate(names)], "__before")
+    on = [quoted(c).eqNullSafe(F.col(f"__on_{i}")) for i, c in enumerate(names)]
+    # One row for each time, part and value of ``by``.
+    placed = sized.join(broadcast_if_small(renamed), on).drop(*[f"__on_{i}" for i in range(len(names))])
+    within = Window.partitionBy(*group).orderBy(quoted(path)).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("__before") + F.coalesce(F.sum("__size").over(within), F.lit(0))
+    first, last = F.expr(f"__start div {int(limit)}"), F.expr(f"(__start + __size - 1) div {int(limit)}")
+    slots = placed.withColumn("__start", start).withColumn("__slot", 2 * first + (first != last).cast("int"))
+    used = slots.select(*by, "__slot").distinct()
+    numbered = used.withColumn("batch", F.row_number().over(Window.partitionBy(*by, F.lit(0)).orderBy("__slot")) - 1)
+    keys = [c for c in numbered.columns if c != "batch"]
+    renamed = numbered.select(*[quoted(c).alias(f"__on_{i}") for i, c in enumerate(keys)], "batch")
+    on = [quoted(c).eqNullSafe(F.col(f"__on_{i}")) for i, c in enumerate(keys)]
+    return slots.join(broadcast_if_small(renamed), on).select(*[quoted(c) for c in files.columns], "batch")
+
+
 def load_specs(
     tables: DataFrame, columns: DataFrame, dataset: str, table: str | None = None
 ) -> list[TableSpec]:
     """The specs of a dataset's tables; one configuration row each reaches the driver.
 
     Raw paths that share all other settings feed one load. Rows with an empty
-    setting are left out.
+    setting are left out. Optional columns set a table's separator and encoding, the
+    columns that HTML is removed from, and the steps that otherwise follow its name.
     """
     fmt = F.regexp_extract(F.lower("ReadRawFileMethod"), "(csv|json|parquet)", 1)
     configured = config_rows(columns, dataset, table)
@@ -161,7 +218,10 @@ def load_specs(
         config_rows(tables, dataset, table)
         .dropna(subset=[*GROUP_COLUMNS, "DataLakePathRaw"])
         .groupBy(*GROUP_COLUMNS)
-        .agg(F.array_sort(F.collect_set("DataLakePathRaw")).alias("raw_paths"))
+        .agg(
+            F.array_sort(F.collect_set("DataLakePathRaw")).alias("raw_paths"),
+            *[(F.max(c) if c in tables.columns else F.lit(None)).alias(c) for c in OPTIONAL_COLUMNS],
+        )
         .withColumns(
             {
                 "fmt": F.when(fmt != "", fmt).otherwise(F.col("ReadRawFileMethod")),
@@ -187,6 +247,42 @@ def load_specs(
             destination=r["DestinationDB"],
             external_schema=r["DestinationDBExternalSchema"],
             external_table=r["DestinationDBExternalTable"],
+            sep=r[SEPARATOR] or None,
+            encoding=r[ENCODING] or None,
+            html=_names(r[HTML_COLUMNS]),
+            answers=_flag(r[FORM_ANSWERS]),
+            coarsen=_flag(r[COARSEN_KEY]),
+            sanitise=_flag(r[SANITISE_NAMES]),
         )
         for r in rows
     ]
+
+
+def _names(text: str | None) -> tuple[str, ...] | None:
+    """Column names from ``[a], [b]``; none if nothing is configured."""
+    if text is None:
+        return None
+    return tuple(n.strip().strip("[]") for n in text.split(",") if n.strip())
+
+
+def _flag(value: object) -> bool | None:
+    return None if value is None else str(value).strip().lower() in ("1", "true", "yes")
+
+
+def json_specs(json_tables: DataFrame, dataset: str) -> list[TableSpec]:
+    """The specs of a dataset's JSON tables: each is replaced by its new files, all read as text.
+
+    Configurations without a name and a raw path for each table have none.
+    """
+    name, raw = JSON_COLUMNS
+    if not {name, raw, "DatasetName"} <= set(json_tables.columns):
+        return []
+    rows = (
+        config_rows(json_tables, dataset)
+        .dropna(subset=[name, raw])
+        .groupBy(name)
+        .agg(F.array_sort(F.collect_set(raw)).alias("raw_paths"))
+        .orderBy(name)
+        .collect()
+    )
+    return [TableSpec(r[name], tuple(r["raw_paths"]), f"json/{r[name]}", fmt="json") for r in rows]

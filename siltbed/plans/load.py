@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltbed.fixed_values import EXPORT_DESTINATION, PATH
-from siltbed.functions.paths import dates_from_path, ingestion_time
+from siltbed.fixed_values import EXPORT_DESTINATION, INGESTION_PATTERN, PATH, UPSERT_ROLE
+from siltbed.functions.paths import dates_from_path, ingestion_time, path_time
 from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
 from siltbed.operators.latest import latest_rows, run_summary
@@ -22,20 +24,25 @@ from siltbed.plans.catalog import (
     config_rows,
     dataset_header,
     files_to_tables,
+    json_specs,
     load_groups,
     load_specs,
+    size_batches,
 )
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
-from siltbed.sinks.jdbc import write_jdbc
+from siltbed.sinks.jdbc import copy_to_jdbc, write_jdbc
 from siltbed.sinks.lake import append_standardised, json_table_path, write_json_latest
+from siltbed.sinks.ledger import append_once
 from siltbed.sources.files import (
     file_inventory,
     floor_time,
+    listed_files,
+    literal_path,
     naive_time,
     raw_subtrees,
     read_raw,
-    rows_of_files,
+    this_instant,
 )
 
 log = logging.getLogger(__name__)
@@ -58,6 +65,12 @@ class LoadOptions:
     export_partitions: int = 8
     export_batch_size: int | None = None
     export_truncate: bool = False
+    #: Keep a ledger of loaded files, so that a repeated load appends no row twice.
+    once: bool = True
+    #: Bytes of raw files that one load persists at most (or one file); None: all of them.
+    batch_bytes: int | None = None
+    #: Tables below the curated zone that are copied whole once the load is done, and their external names.
+    copies: Mapping[str, str] = field(default_factory=dict)
 
     def text(self, spec: TableSpec) -> dict[str, object]:
         """Reader options of a table: its own separator and encoding come first."""
@@ -101,15 +114,24 @@ def load_table(
     paths: Iterable[str] | None = None,
     after: dt.datetime | None = None,
     options: LoadOptions = LoadOptions(),
-    files: DataFrame | None = None,
+    before: dt.datetime | None = None,
+    glob: str | None = None,
+    timed: bool = False,
+    inventory: DataFrame | None = None,
 ) -> str:
     """Load one table's new raw files; returns the path of its curated table.
 
     Files are those in ``paths``, or those in directories newer than ``after``. With
-    a mark, files without an ingestion time in their path are left out, wherever the
-    mark falls; without one, everything below the roots is loaded. With an inventory
-    in ``files``, rows of files that it does not list are left out as well, such as
-    those that arrived since.
+    a mark, or if ``timed``, files without an ingestion time in their path are left out,
+    wherever the mark falls; otherwise everything below the roots is loaded. Files written
+    at ``before`` (an instant in UTC) or later are not listed, so the files of an inventory
+    up to the same instant are loaded and no others, without a join. ``glob`` restricts
+    file names. If ``inventory`` (``filePath``) has files that are not listed any more, as they
+    were written anew, just its files are read by name.
+
+    Unless told otherwise, a ledger below the root keeps which files were appended to the
+    standardised table: a load that is repeated, whole or after a failure, adds none
+    of them again. The curated table gets all rows of the load either way.
 
     Rows are parsed once: the standardised append, the curated write and the
     export share one persisted frame, which Spark rebuilds from the raw files
@@ -129,14 +151,18 @@ def load_table(
     if not paths:
         log.info("%s has no new files", spec.name)
         return curated
-    text = options.text(spec) if spec.fmt == "csv" else {}
-    raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), **text)
-    if after is not None:
-        raw = raw.filter(ingestion_time(F.col(PATH)) > naive_time(after))
-    if files is not None:
-        raw = rows_of_files(raw, files)
+    raw, files = _listed(spark, spec, paths, options, after, timed, before=before, glob=glob)
+    if inventory is not None and len(files) < inventory.count():
+        # Some were written anew since the inventory was taken; the mark will pass them.
+        paths = [literal_path(r[0]) for r in inventory.select("filePath").collect()]
+        raw, files = _listed(spark, spec, paths, options, after, timed)
+    if raw is None:
+        log.info("%s has no new files", spec.name)
+        return curated
+    ledger = f"{root.rstrip('/')}/ledger"
     if is_json:
-        write_json_latest(raw, spec.name, **zones)
+        once = partial(append_once, ledger=ledger, table=f"json/{spec.name}", level=None, files=files)
+        write_json_latest(raw, spec.name, **zones, append=once if options.once else None)
         if exported:
             _export(spark.read.parquet(curated), spec, options)
         return curated
@@ -144,7 +170,11 @@ def load_table(
     if options.storage is not None:
         table = table.persist(options.storage)
     try:
-        append_standardised(table, f"{zones['standardised']}/{spec.name}", options.level)
+        standardised = f"{zones['standardised']}/{spec.name}"
+        if options.once:
+            append_once(table, standardised, ledger, spec.name, options.level, files)
+        else:
+            append_standardised(table, standardised, options.level)
         final = cleaned(table, spec)
         write_curated(final, spec, curated)
         if exported and spec.scheme == "Latest":
@@ -158,6 +188,37 @@ def load_table(
     return curated
 
 
+def _listed(
+    spark: SparkSession,
+    spec: TableSpec,
+    paths: list[str],
+    options: LoadOptions,
+    after: dt.datetime | None,
+    timed: bool,
+    before: dt.datetime | None = None,
+    glob: str | None = None,
+) -> tuple[DataFrame | None, list[str]]:
+    """A load's raw rows (None without a file) and the files that they are read from."""
+    text = options.text(spec) if spec.fmt == "csv" else {}
+    names = {"pathGlobFilter": glob} if glob else {}
+    try:
+        raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), options=names, before=before, **text)
+    except AnalysisException as error:
+        # Without a file there is no header to take the columns from.
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None, []
+    files = listed_files(raw)
+    if after is not None:
+        raw = raw.filter(ingestion_time(F.col(PATH)) > naive_time(after))
+        files = [f for f in files if (time := path_time(f)) and time > after]
+    elif timed:
+        # A filter on the path alone prunes files while planning.
+        raw = raw.filter(F.col(PATH).rlike(INGESTION_PATTERN))
+        files = [f for f in files if path_time(f)]
+    return raw, files
+
+
 def _export(df: DataFrame, spec: TableSpec, options: LoadOptions) -> None:
     write_jdbc(
         df,
@@ -182,36 +243,51 @@ def load_dataset(
     options: LoadOptions = LoadOptions(),
     parallel: int = 1,
     by_extension: bool = False,
+    json_tables: DataFrame | None = None,
 ) -> str:
     """Load every configured table of a dataset; returns the run summary as JSON.
 
     ``since`` replaces the stored mark. ``parallel`` tables load at a time. With
     ``by_extension`` only files with the dataset's extension count (JSON tables have
-    their own). The inventory is
-    taken once, and a load reads the files in it and no others: what the summary
-    reports as the next mark is what was loaded.
+    their own). ``json_tables`` are loaded as well. The inventory and all loads read files written before one instant, taken
+    first: what the summary reports as the next mark is what was loaded. Raw files
+    must not be changed while they are loaded.
+
+    With ``LoadOptions.batch_bytes`` an upsert loads its files in batches, oldest first, and
+    other tables, which are replaced as a whole, read their raw files again instead of
+    persisting more than that.
     """
     header = dataset_header(datasets, dataset).first()
     if header is None:
         raise ValueError(f"no dataset is configured as {dataset!r}")
     after = floor_time(since or header["MaxIngestionDate"], "hour")
-    until = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=1)
+    before = this_instant()
+    until = before + dt.timedelta(days=1)
+    if options.copies and not options.export_url:
+        raise ValueError("tables are copied to a database, but no export_url is given")
     specs = load_specs(tables, columns, dataset, table)
+    from_json = json_specs(json_tables, dataset) if json_tables is not None else []
+    configured_json = [s for s in from_json if table in (None, "", s.name)]
+    specs += configured_json
     configured = {zone_path(root, "raw", p): p for s in specs for p in s.raw_paths}
-    files = file_inventory(spark, configured, after=after, until=until, others=False)
+    files = file_inventory(spark, configured, after=after, until=until, others=False, before=before)
     if configured:
         pairs = [F.lit(part) for pair in configured.items() for part in pair]
         owner = F.element_at(F.create_map(*pairs), F.col("DataLakePathRaw"))
         files = files.withColumn("DataLakePathRaw", owner)
     extension = header["FlatFileExtension"]
-    if by_extension and extension:
+    extension = extension.lstrip(".") if by_extension and extension else None
+    if extension:
         text = sorted({p for s in specs if s.fmt != "json" for p in s.raw_paths})
-        named = F.col("filePath").endswith(f".{extension.lstrip('.')}")
+        named = F.col("filePath").endswith(f".{extension}")
         files = files.filter(named | ~F.col("DataLakePathRaw").isin(text))
     files = files.persist()
     try:
         groups = load_groups(files_to_tables(files, config_rows(tables, dataset, table)))
         fed = {r[0] for r in groups.select("CuratedTableName").distinct().collect()}
+        if configured_json:
+            arrived = {r[0] for r in files.select("DataLakePathRaw").distinct().collect()}
+            fed |= {s.name for s in configured_json if arrived & set(s.raw_paths)}
         # Loads of one table share a standardised folder and follow each other.
         ready: dict[str, list[TableSpec]] = {}
         for spec in specs:
@@ -220,17 +296,53 @@ def load_dataset(
 
         def run(loads: list[TableSpec]) -> None:
             for spec in loads:
+                own = files.filter(F.col("DataLakePathRaw").isin(list(spec.raw_paths)))
+                glob = f"*.{extension}" if extension and spec.fmt != "json" else None
+                chosen, limit = options, options.batch_bytes
+                if limit is not None and _loads_in_batches(spec):
+                    for paths in _batches(own, limit):
+                        load_table(spark, spec, root, paths, options=options, before=before, timed=True)
+                    continue
+                if limit is not None and (own.agg(F.sum("fileSize")).first()[0] or 0) > limit:
+                    chosen = replace(options, storage=None)
                 roots = raw_roots(spec, root)
                 paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
-                load_table(spark, spec, root, paths, options=options, files=files)
+                load_table(
+                    spark, spec, root, paths, options=chosen, before=before, glob=glob, timed=True, inventory=own
+                )
 
         with ThreadPoolExecutor(max(1, parallel)) as pool:
             list(pool.map(inheritable_thread_target(spark)(run), ready.values()))
+        for path, external in options.copies.items():
+            copy_to_jdbc(
+                spark,
+                zone_path(root, "curated", path),
+                options.export_url,
+                external,
+                properties=options.export_properties,
+            )
         return run_summary(files, "ingestionDate", "extractDate").first()["summary"]
     finally:
         files.unpersist()
 
 
+def _loads_in_batches(spec: TableSpec) -> bool:
+    """Upserts merge batch after batch; other tables are replaced as a whole."""
+    return spec.fmt != "json" and spec.role == UPSERT_ROLE and spec.scheme not in ("Latest", "Legacy")
+
+
+def _batches(files: DataFrame, limit: int) -> Iterator[list[str]]:
+    """The paths of each batch; the driver holds those of one batch at a time."""
+    dealt = size_batches(files.select("filePath", "fileSize", "ingestionDate"), limit).persist()
+    try:
+        last = dealt.agg(F.max("batch")).first()[0]
+        for k in range(0 if last is None else last + 1):
+            chosen = dealt.filter(F.col("batch") == k).select("filePath")
+            yield [literal_path(r[0]) for r in chosen.orderBy("filePath").collect()]
+    finally:
+        dealt.unpersist()
+
+
 def load_configured(
     spark: SparkSession, config: DatasetConfig, dataset: str, **options: object
 ) -> str:
@@ -244,5 +356,5 @@ def load_configured(
     tables = config.tables
     return load_dataset(
         spark, root["DataLakeRootFolder"], config.datasets, tables, config.columns, dataset,
-        **{"by_extension": True, **options},
+        **{"by_extension": True, "json_tables": config.json_tables, **options},
     )

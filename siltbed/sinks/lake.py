@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -194,13 +194,26 @@ def json_table_path(zone: str, source: str) -> str:
     return f"{zone.rstrip('/')}/json/{source}/schema=v1/partition=Latest"
 
 
-def write_json_latest(df: DataFrame, source: str, curated: str, standardised: str) -> None:
-    """Append a JSON table to the standardised zone and replace its curated copy."""
+def write_json_latest(
+    df: DataFrame,
+    source: str,
+    curated: str,
+    standardised: str,
+    append: Callable[[DataFrame, str], None] | None = None,
+) -> None:
+    """Append a JSON table to the standardised zone and replace its curated copy.
+
+    ``append`` may add the rows in another way, such as once for each raw file.
+    """
     rest = [c for c in df.columns if c not in METADATA_COLUMNS]
     dated = dates_from_path(df).select(*METADATA_COLUMNS, *[quoted(c) for c in rest])
     table = format_metadata(dated).persist()
     try:
-        table.write.mode("append").parquet(json_table_path(standardised, source))
+        target = json_table_path(standardised, source)
+        if append is not None:
+            append(table, target)
+        else:
+            table.write.mode("append").parquet(target)
         _replace(table, json_table_path(curated, source))
     finally:
         table.unpersist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -25,6 +26,21 @@ def naive_time(time: dt.datetime | None) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def this_instant() -> dt.datetime:
+    """Now, as wall-clock time in UTC: the bound of an inventory and of the loads after it."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def _written_before(instant: dt.datetime | None) -> dict[str, str]:
+    """Reader options that leave out files written at ``instant`` (UTC) or later.
+
+    Spark compares such times in the reader's time zone, so that is set as well.
+    """
+    if instant is None:
+        return {}
+    return {"modifiedBefore": instant.isoformat(timespec="microseconds"), "timeZone": "UTC"}
+
+
 def floor_time(time: dt.datetime | None, unit: str | None) -> dt.datetime | None:
     if time is None or unit is None:
         return time
@@ -88,18 +104,20 @@ def file_inventory(
     floor: str | None = "hour",
     min_size: int = 1,
     others: bool = True,
+    before: dt.datetime | None = None,
 ) -> DataFrame:
     """Files below ``roots`` newer than ``after``, with the times in their paths.
 
     Without ``others`` only directories directly below a root are searched for
     times. The mark is floored to the hour unless ``floor`` is None. One listing serves
-    all roots; file contents are not read. Spark lists no file of zero bytes.
+    all roots; file contents are not read. Spark lists no file of zero bytes. Files written
+    at ``before`` (an instant in UTC) or later are left out.
     """
     roots = list(dict.fromkeys([roots] if isinstance(roots, str) else roots))
     after = floor_time(after, floor)
     full = {root: storage.qualified(spark, root).rstrip("/") + "/" for root in roots}
     if _overlap(full.values()):
-        parts = [file_inventory(spark, r, glob, after, until, None, min_size, others) for r in roots]
+        parts = [file_inventory(spark, r, glob, after, until, None, min_size, others, before) for r in roots]
         found = parts[0]
         for part in parts[1:]:
             found = found.unionByName(part)
@@ -111,6 +129,7 @@ def file_inventory(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
+        .options(**_written_before(before))
         .load(subtrees)
         .select("path", "length")
         # Spark packs tasks by file size, but no content is read: a task a core's share.
@@ -197,22 +216,35 @@ def read_raw(
     recursive: bool = True,
     with_path: bool = True,
     options: Mapping[str, object] | None = None,
+    before: dt.datetime | None = None,
     **text: object,
 ) -> DataFrame:
     """Read raw ``csv``, ``json`` or ``parquet`` files and add their ``path``.
 
     Without a schema every CSV column is a string. ``text`` goes to
-    ``raw_options``; ``options`` are Spark's own and come last.
+    ``raw_options``; ``options`` are Spark's own and come last. Files written at
+    ``before`` (an instant in UTC) or later are not listed, and zoned times in the
+    text are then read as UTC.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.format(fmt).option("recursiveFileLookup", recursive)
-    reader = reader.options(**{**raw_options(fmt, **text), **(options or {})})
+    reader = reader.options(**{**raw_options(fmt, **text), **_written_before(before), **(options or {})})
     if schema is not None:
         reader = reader.schema(schema)
     table = reader.load(paths)
     return table.withColumn(PATH, F.col("_metadata.file_path")) if with_path else table
 
 
+def listed_files(df: DataFrame) -> list[str]:
+    """The files that ``df`` reads, spelled as in its rows' ``path``."""
+    return [re.sub(r"^(\w+):///", r"\1:/", f) for f in df.inputFiles()]
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters that readers take for patterns escaped."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", path)
+
+
 def rows_of_files(df: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of ``df`` that come from a file in the inventory ``files``."""
     # Readers percent-encode paths, the inventory does not.

@@ -34,6 +34,15 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name, _ in children(spark, path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one file, given as Spark prints paths (percent-encoded)."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.exists(target) and not fs.delete(target, False):
+        raise OSError(f"could not delete {path}")
+
+
 def delete_on_exit(spark: SparkSession, folder: str) -> None:
     """Create ``folder`` if need be, and have the JVM remove it when it ends."""
     fs, target = _path(spark, folder)
