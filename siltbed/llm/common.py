@@ -13,6 +13,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltbed.session import scratch_path
+from siltbed.sources import storage
 
 _SHIPPED: set[str] = set()
 
@@ -33,7 +34,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, survives executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more."""
+    for own in tables:
+        storage.delete_folder(own.sparkSession, own.written_path)
 
 
 def ship_package(spark: SparkSession) -> None:

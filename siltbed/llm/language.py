@@ -6,11 +6,15 @@ lower orders the number of different characters before an n-gram; every order di
 by ``DISCOUNT`` and gives that weight to the next lower one, the lowest to a uniform
 choice of ``SYMBOLS``. N-grams are counted over all training documents by Spark.
 
-N-grams and contexts are kept as they are, in tables that Spark makes by grouping and
-joining; no task and no driver holds a model. The corpus's distinct words are cut into
-n-grams, these are joined with the models, and the words' nats are added up. Tasks
-get the nats of the most frequent words (``REMEMBERED`` numbers); the other words of a
-text are joined with theirs. ``Model`` says the same in memory, for comparison.
+The models are a table of sorted hash arrays: each row has, for one range of 64-bit n-gram hashes,
+one language and one use, the hashes in order and their values, which are shares of
+n-grams and back-off weights of contexts. The range is as small as ``CHUNK`` values ask for, so
+neither a task nor the driver holds a model. Distinct words of the corpus are dealt into blocks of
+about ``BLOCK``; a block asks each range for the n-grams that its words have, by
+binary search, and adds up its words' nats with sorted arrays of the answers.
+
+Tasks over texts get the nats of the most frequent words (``REMEMBERED`` numbers); the other
+words of a text are joined with theirs, by 64-bit hashes.
 
 A text's cross-entropy is the sum over its words divided by their characters and end
 marks. The lowest wins.
@@ -20,7 +24,7 @@ training documents; ``accepted`` tells whether the winner is within its limit. `
 is a softmax over languages of the whole text's cross-entropies, sharpened with its
 length, halved where it is not accepted.
 
-Null texts, texts without a letter, and all texts if nothing could be learned are
+Letters are what ``str.isalpha`` takes for such, so numerals of any kind are none. Null texts, texts without a letter, and all texts if nothing could be learned are
 ``und`` with score 0. Ties go to the first language by code point. Repeated rows get the
 same result each. An empty table gives an empty result.
 """
@@ -31,19 +35,21 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
-from siltbed.llm.common import batches_of, crc32_of_id, map_batches, written
+from siltbed.llm.common import batches_of, crc32_of_id, map_batches, removed, ship_package, sized_batches, written
 
 ORDER = 5
 DISCOUNT = 0.75
 SYMBOLS = 1 << 12
-HASH_BITS = 64
+#: Values of a hash range, asked n-grams of a range, and words of a block, about.
+CHUNK, ASKED, BLOCK = 1 << 17, 1 << 20, 50_000
 REMEMBERED = 800_000
+BATCH_BYTES = 4 << 20
 LIMIT_QUANTILE = 0.999
 HELD_OUT_OF, HELD_OUT_REST = 3, 1
 START, END = "\x02", "\x03"
@@ -54,64 +60,48 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORDS.findall(text.lower()) if text else []
+    """Runs of letters, in lower case."""
+    found = _WORDS.findall(text.lower()) if text else []
+    if not text or text.isascii() or all(map(str.isalpha, found)):
+        return found
+    # The pattern also takes numerals that are no decimal digits.
+    return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
 
 
-def _mixed(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each row of character codes."""
-    out = np.full(len(codes), codes.shape[1], np.uint64)
+def hashes(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash for each row of character codes, which the models are sorted by."""
+    # Lengths start far apart, as hashes of all lengths share a table.
+    out = np.full(len(codes), codes.shape[1] + 1, np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     for i in range(codes.shape[1]):
         out = (out ^ codes[:, i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
-    return out
+    return out.view(np.int64)
 
 
-def hashes(codes: np.ndarray) -> np.ndarray:
-    """The hash of each row that models are sorted by."""
-    return (_mixed(codes) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+def word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode()) - (1 << 63)
 
 
 def ngrams(several: list[str]) -> np.ndarray:
     """Codes of the words' n-grams of the highest order: a row for each character and end."""
     text = "".join(START * (ORDER - 1) + w + END for w in several)
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if not len(codes):
+        return np.zeros((0, ORDER), np.uint32)
     windows = np.lib.stride_tricks.sliding_window_view(codes, ORDER)
     return windows[codes[ORDER - 1 :] != ord(START)]
 
 
-@dataclass
-class Model:
-    """Sorted n-gram and context hashes of each order with their terms."""
-
-    grams: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
-
-    @staticmethod
-    def of(counts: list[dict[tuple[int, int], int]]) -> Model:
-        """From counts by (context hash, n-gram hash), for orders 1 to ORDER."""
-        grams, contexts = [], []
-        for table in counts:
-            pairs = np.array(list(table.keys()), np.int64).reshape(-1, 2)
-            n = np.array(list(table.values()), float)
-            context, where = np.unique(pairs[:, 0], return_inverse=True)
-            total, kinds = np.bincount(where, n), np.bincount(where)
-            share = np.maximum(n - DISCOUNT, 0) / total[where]
-            order = np.argsort(pairs[:, 1], kind="stable")
-            gram, first = np.unique(pairs[order, 1], return_index=True)
-            grams.append((gram, np.add.reduceat(share[order], first) if len(gram) else share))
-            contexts.append((context, DISCOUNT * kinds / np.maximum(total, 1)))
-        return Model(grams, contexts)
-
-    def nats(self, codes: np.ndarray) -> np.ndarray:
-        """Minus log probability of the last character of each row."""
-        p = np.full(len(codes), 1 / SYMBOLS)
-        for n in range(1, ORDER + 1):
-            back = _found(self.contexts[n - 1], hashes(codes[:, ORDER - n : ORDER - 1]), 1.0)
-            p = back * p + _found(self.grams[n - 1], hashes(codes[:, ORDER - n :]), 0.0)
-        return -np.log(np.clip(p, 1e-12, 1.0))
-
-
-def _found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float) -> np.ndarray:
+def nats_of(codes: np.ndarray, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Minus log probability of the last character of each row, by sorted hashes with their values."""
+    p = np.full(len(codes), 1 / SYMBOLS)
+    for n in range(1, ORDER + 1):
+        back = found(contexts, hashes(codes[:, ORDER - n : ORDER - 1]), 1.0)
+        p = back * p + found(grams, hashes(codes[:, ORDER - n :]), 0.0)
+    return -np.log(np.clip(p, 1e-12, 1.0))
+
+
+def found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float) -> np.ndarray:
     known, values = table
     if not len(known):
         return np.full(len(keys), missing)
@@ -130,7 +120,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str | None, Counter] = {}
-        for batch in batches_of(batches):
+        for batch in sized_batches(batches, "text", BATCH_BYTES):
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 held.setdefault(lang, Counter()).update(words(text))
             if sum(map(len, held.values())) > REMEMBERED:
@@ -142,67 +132,172 @@ def count_words(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def with_ngrams(counted: DataFrame, keep: dict[str, str]) -> DataFrame:
-    """The kept columns and ``gram``: a row for each highest-order n-gram of each word."""
-
-    def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(batches, 4096):
-            own, at = [], []
-            for i, word in enumerate(batch["word"].to_pylist()):
-                padded = START * (ORDER - 1) + word + END
-                own += [padded[k : k + ORDER] for k in range(len(word) + 1)]
-                at += [i] * (len(word) + 1)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch[c].take(rows) for c in keep), pa.array(own, pa.string())], [*keep, "gram"])
-
-    return map_batches(counted, explode, ", ".join([*(f"{c} {t}" for c, t in keep.items()), "gram string"]))
+def count_ngrams(counted: DataFrame) -> DataFrame:
+    """lang, gram, n: n-grams of the highest order from lang, word and n."""
 
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, 1 << 16):
+            langs, several = (np.array(batch[c].to_pylist(), object) for c in ("lang", "word"))
+            n = batch["n"].to_numpy()
+            for lang in set(langs):
+                own = several[langs == lang].tolist()
+                codes = ngrams(own)
+                times = np.repeat(n[langs == lang], [len(w) + 1 for w in own])
+                _, first, which = np.unique(hashes(codes), return_index=True, return_inverse=True)
+                text = codes[first].astype("<u4").tobytes().decode("utf-32-le")
+                grams = [text[k : k + ORDER] for k in range(0, len(text), ORDER)]
+                sums = np.bincount(which, times).astype(np.int64)
+                columns = [pa.array([lang] * len(grams)), pa.array(grams, pa.string()), pa.array(sums)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
+
+    rows = map_batches(counted.select("lang", "word", "n"), count, "lang string, gram string, n long")
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def keyed(rows: DataFrame, size: int, context: bool) -> DataFrame:
+    """lang, key, context, value from lang, gram (``size`` characters) and value."""
+
+    def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = "".join(batch["gram"].to_pylist())
+            codes = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(batch.num_rows, size)
+            columns = [batch["lang"], pa.array(hashes(codes)), pa.array([context] * batch.num_rows), batch["value"]]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "key", "context", "value"])
 
-def learn(train: DataFrame, languages: list[str]) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order: shares by gram and weights by context, a column s_k or b_k a language."""
+    return map_batches(rows.select("lang", "gram", "value"), key, "lang string, key long, context boolean, value double")
 
-    def wide(rows: DataFrame, key: str, value: str, to: str) -> DataFrame:
-        each = [F.sum(F.when(F.col("lang") == lang, F.col(value))).alias(f"{to}_{k}") for k, lang in enumerate(languages)]
-        return rows.groupBy(key).agg(*each)
 
-    grams = with_ngrams(train, {"lang": "string", "n": "long"})
-    counted, out = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), []
+def learn(train: DataFrame) -> DataFrame:
+    """lang, key, context, value: shares of n-grams and back-off weights of contexts of all orders."""
+    counted, every, used = count_ngrams(train), None, []
     for n in range(ORDER, 0, -1):
         if n < ORDER:
             # What n-grams of the order above end in: the kinds of characters before.
             counted = counted.groupBy("lang", F.expr(f"right(gram, {n})").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         counted = written(counted, f"order_{n}")
+        used.append(counted)
         own = counted.withColumn("context", F.expr(f"left(gram, {n - 1})"))
         contexts = own.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        contexts = written(contexts, f"contexts_{n}")
-        shares = own.join(contexts, ["lang", "context"])
-        shares = shares.withColumn("share", F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total"))
-        back = contexts.withColumn("back", DISCOUNT * F.col("kinds") / F.col("total"))
-        out.append((written(wide(shares, "gram", "share", "s"), "shares"), written(wide(back, "context", "back", "b"), "backs")))
-    return out[::-1]
-
-
-def word_nats(every: DataFrame, model: list[tuple[DataFrame, DataFrame]], of: int) -> DataFrame:
-    """word, n and e_k, the word's nats under each of ``of`` languages; ``every``: no, word, n."""
-    grams = written(with_ngrams(every.select("no", "word"), {"no": "long"}), "word_ngrams")
-    asked, p = [written(grams.select("gram").distinct(), "asked")], None
-    for n in range(ORDER - 1, 0, -1):
-        asked.insert(0, written(asked[0].select(F.expr(f"right(gram, {n})").alias("gram")).distinct(), "asked"))
-    for n, (rows, (shares, back)) in enumerate(zip(asked, model), 1):
-        rows = rows.withColumn("context", F.expr(f"left(gram, {n - 1})")).withColumn("end", F.expr(f"right(gram, {n - 1})"))
-        if p is None:
-            rows = rows.select("*", *[F.lit(1 / SYMBOLS).alias(f"p_{k}") for k in range(of)])
-        else:
-            rows = rows.join(p.withColumnRenamed("gram", "end"), "end")
-        rows = rows.join(shares, "gram", "left").join(back, "context", "left")
-        mixed = [
-            (F.coalesce(f"b_{k}", F.lit(1.0)) * F.col(f"p_{k}") + F.coalesce(f"s_{k}", F.lit(0.0))).alias(f"p_{k}")
-            for k in range(of)
+        share = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total")
+        shares = own.join(contexts.drop("kinds"), ["lang", "context"]).withColumn("value", share)
+        backs = contexts.withColumn("value", DISCOUNT * F.col("kinds") / F.col("total")).withColumnRenamed("context", "gram")
+        rows = keyed(shares, n, False).unionByName(keyed(backs, n - 1, True))
+        every = rows if every is None else every.unionByName(rows)
+    model = written(every, "values")
+    removed(*used)
+    return model
+
+
+def ranged(chunks: int) -> Column:
+    """The number of a key's range among ``chunks`` of equal width."""
+    upper = F.expr("shiftright(key, 32)") + F.lit(1 << 31)
+    return F.shiftright(upper * F.lit(chunks), 32)
+
+
+def stored(values: DataFrame, chunks: int) -> DataFrame:
+    """chunk, lang, context, keys and values: the models as sorted arrays."""
+    pairs = F.array_sort(F.collect_list(F.struct("key", "value")))
+    rows = values.withColumn("chunk", ranged(chunks)).groupBy("chunk", "lang", "context").agg(pairs.alias("pairs"))
+    return rows.select("chunk", "lang", "context", F.col("pairs.key").alias("keys"), F.col("pairs.value").alias("values"))
+
+
+def asked_by_blocks(blocks: DataFrame) -> DataFrame:
+    """block and key: the n-grams and contexts that each block's words (block, word) have."""
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, BLOCK):
+            own = batch["block"].to_numpy()
+            several = np.array(batch["word"].to_pylist(), object)
+            for block in np.unique(own):
+                codes = ngrams(several[own == block].tolist())
+                # A context is the n-gram before, or only start marks.
+                keys = [hashes(codes[:, ORDER - n : ORDER - c]) for n in range(1, ORDER + 1) for c in (0, 1)]
+                distinct = np.unique(np.concatenate([np.unique(k) for k in keys]))
+                columns = [pa.array(np.full(len(distinct), block)), pa.array(distinct)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "key"])
+
+    return map_batches(blocks.select("block", "word"), ask, "block long, key long").distinct()
+
+
+def answered(asked: DataFrame, model: DataFrame, chunks: int) -> DataFrame:
+    """block, lang, context, keys and values: what each block asked for, range by range."""
+    kinds = pa.schema(
+        [
+            ("block", pa.int64()),
+            ("lang", pa.string()),
+            ("context", pa.bool_()),
+            ("keys", pa.list_(pa.int64())),
+            ("values", pa.list_(pa.float64())),
         ]
-        p = written(rows.select("gram", *mixed), f"chances_{n}")
-    nats = [F.sum(-F.ln(F.greatest(F.least(f"p_{k}", F.lit(1.0)), F.lit(1e-12)))).alias(f"e_{k}") for k in range(of)]
-    summed = written(grams.join(p, "gram").groupBy("no").agg(*nats), "nats")
-    return written(every.join(summed, "no").drop("no"), "word_nats")
+    )
+
+    def look_up(arrays: pa.Table, asks: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        blocks, keys = (asks[c].to_numpy() for c in ("block", "key"))
+        order = np.argsort(blocks, kind="stable")
+        blocks, keys = blocks[order], keys[order]
+        for row in range(arrays.num_rows):
+            known, values = (arrays[c][row].values.to_numpy() for c in ("keys", "values"))
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = np.flatnonzero(known[at] == keys)
+            parts = np.flatnonzero(np.r_[True, np.diff(blocks[hit]) != 0]) if len(hit) else []
+            for a, b in zip(parts, [*parts[1:], len(hit)]):
+                own = hit[a:b]
+                use = (int(blocks[own[0]]), arrays["lang"][row].as_py(), arrays["context"][row].as_py())
+                out.append((*use, keys[own], values[at[own]]))
+        columns = list(zip(*out)) or [()] * len(kinds)
+        return pa.Table.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds)], schema=kinds)
+
+    asked = asked.withColumn("chunk", ranged(chunks))
+    return (
+        model.groupBy("chunk")
+        .cogroup(asked.groupBy("chunk"))
+        .applyInArrow(look_up, "block long, lang string, context boolean, keys array<long>, values array<double>")
+    )
+
+
+def word_nats(every: DataFrame, train: DataFrame, languages: list[str]) -> DataFrame:
+    """word, hash, n and nats, a number a language; ``every``: word and n, ``train``: lang, word, n."""
+    ship_package(every.sparkSession)
+    count = max(1, -(-every.count() // BLOCK))
+    blocks = every.withColumn("block", F.pmod(F.xxhash64("word"), F.lit(count)))
+    blocks = written(blocks, "blocks")
+    asked = written(asked_by_blocks(blocks), "asked")
+    values = learn(train)
+    chunks = max(1, -(-values.count() // CHUNK), -(-asked.count() // ASKED))
+    model = written(stored(values, chunks), "model")
+    answers = written(answered(asked, model, chunks), "answers")
+
+    def add_up(several: pa.Table, answers: pa.Table) -> pa.Table:
+        own = several["word"].to_pylist()
+        codes = ngrams(own)
+        ends = np.cumsum([len(w) + 1 for w in own])
+        starts = np.r_[0, ends[:-1]].astype(np.int64)
+        uses = list(zip(answers["lang"].to_pylist(), answers["context"].to_pylist()))
+        sums = []
+        for lang in languages:
+            tables = []
+            for context in (False, True):
+                rows = [i for i, use in enumerate(uses) if use == (lang, context)]
+                keys = np.concatenate([np.zeros(0, np.int64), *(answers["keys"][i].values.to_numpy() for i in rows)])
+                shares = np.concatenate([np.zeros(0), *(answers["values"][i].values.to_numpy() for i in rows)])
+                order = np.argsort(keys)
+                tables.append((keys[order], shares[order]))
+            sums.append(np.add.reduceat(nats_of(codes, *tables), starts) if own else np.zeros(0))
+        flat = np.stack(sums, 1).ravel()
+        offsets = pa.array(np.arange(0, len(flat) + 1, len(languages)), pa.int32())
+        nats = pa.ListArray.from_arrays(offsets, pa.array(flat))
+        named = pa.array([word_hash(w) for w in own], pa.int64())
+        return pa.Table.from_arrays([several["word"], named, several["n"], nats], ["word", "hash", "n", "nats"])
+
+    summed = (
+        blocks.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(add_up, "word string, hash long, n long, nats array<double>")
+    )
+    known = written(summed, "word_nats")
+    removed(blocks, asked, values, model, answers)
+    return known
 
 
 def frequent(known: DataFrame, most: int) -> DataFrame:
@@ -218,39 +313,45 @@ def frequent(known: DataFrame, most: int) -> DataFrame:
     return known.filter(F.col("step") >= least if least is not None else F.lit(False)).drop("step")
 
 
-def measured(docs: DataFrame, known: DataFrame, languages: list[str], most: int = REMEMBERED) -> DataFrame:
+def measured(docs: DataFrame, known: DataFrame | None, languages: list[str], most: int = REMEMBERED) -> DataFrame:
     """``docs`` without its text, with best (language or null), nats a character, score.
 
     The most frequent words' nats reach every task; the other words are joined.
     """
     others, of, kinds = [c for c in docs.columns if c != "text"], len(languages), dict(docs.dtypes)
-    columns = [f"e_{k}" for k in range(of)]
-    head = frequent(known, most // max(of, 1)).select("word", *columns).toArrow() if of else None
+    head = frequent(known, most // of).select("word", "nats").toArrow() if of else None
     names = head["word"].to_pylist() if of else []
-    values = np.stack([head[c].to_numpy() for c in columns], 1) if of else np.zeros((0, 0))
+    values = np.array(head["nats"].to_pylist(), np.float64).reshape(len(names), of) if of else np.zeros((0, 0))
     own = ", ".join(f"`{c}` {kinds[c]}" for c in others)
 
     def add_known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {w: i for i, w in enumerate(names)}
-        for batch in batches_of(batches):
-            sizes, sums, rest = [], [], []
+        for batch in sized_batches(batches, "text", BATCH_BYTES):
+            sizes, sums, rest, times = [], [], [], []
             for text in batch["text"].to_pylist():
-                found = words(text)
-                at = [places.get(w, -1) for w in found]
-                sizes.append(sum(map(len, found)) + len(found))
+                several = words(text)
+                at = [places.get(w, -1) for w in several]
+                sizes.append(sum(map(len, several)) + len(several))
                 sums.append(values[[i for i in at if i >= 0]].sum(axis=0).tolist())
-                rest.append([w for w, i in zip(found, at) if i < 0] if of else [])
-            added = [pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.float64())), pa.array(rest, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *added], [*others, "size", "sums", "rest"])
+                left = Counter(w for w, i in zip(several, at) if i < 0) if of else {}
+                rest.append([word_hash(w) for w in left]), times.append(list(left.values()))
+            added = [
+                pa.array(sizes, pa.int64()),
+                pa.array(sums, pa.list_(pa.float64())),
+                pa.array(rest, pa.list_(pa.int64())),
+                pa.array(times, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *added], [*others, "size", "sums", "rest", "times"])
 
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best, entropy, score = [], [], []
-            for size, sums in zip(batch["size"].to_pylist(), batch["sums"].to_pylist()):
+            columns = (batch[c].to_pylist() for c in ("size", "sums", "more"))
+            for size, sums, more in zip(*columns):
                 if not size or not of:
                     best.append(None), entropy.append(None), score.append(0.0)
                     continue
-                nats = np.array(sums)
+                nats = np.array(sums) + (np.array(more) if more else 0.0)
                 k = int(nats.argmin())
                 apart = (nats - nats[k]) / size / TEMPERATURE * math.log1p(size)
                 best.append(languages[k]), entropy.append(float(nats[k] / size))
@@ -258,17 +359,22 @@ def measured(docs: DataFrame, known: DataFrame, languages: list[str], most: int
             added = [pa.array(best, pa.string()), pa.array(entropy, pa.float64()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), *added], [*others, "best", "nats", "score"])
 
-    part = map_batches(docs, add_known, f"{own}, size long, sums array<double>, rest array<string>")
+    schema = f"{own}, size long, sums array<double>, rest array<long>, times array<long>"
+    part = map_batches(docs, add_known, schema)
+    rated = f"{own}, best string, nats double, score double"
     if not of:
-        return map_batches(part.drop("rest"), rate, f"{own}, best string, nats double, score double")
+        alone = part.drop("rest", "times").withColumn("more", F.lit(None).cast("array<double>"))
+        return written(map_batches(alone, rate, rated), "measured")
     part = written(part.withColumn("row", F.monotonically_increasing_id()), "known_words")
-    rest = part.filter("size(rest) > 0").select("row", F.explode("rest").alias("word"))
-    rest = written(rest.groupBy("row", "word").count(), "other_words")
-    sums = [F.sum(F.col(c) * F.col("count")).alias(c) for c in columns]
-    added = rest.join(known.select("word", *columns), "word").groupBy("row").agg(*sums, F.lit(1).alias("hit"))
-    both = [(F.get("sums", F.lit(k)) + F.coalesce(c, F.lit(0.0))) for k, c in enumerate(columns)]
-    joined = part.join(written(added, "other_nats"), "row", "left").select(*others, "size", F.array(*both).alias("sums"))
-    return map_batches(joined, rate, f"{own}, best string, nats double, score double")
+    rest = part.select("row", F.explode(F.arrays_zip("rest", "times")).alias("word"))
+    rest = rest.select("row", F.col("word.rest").alias("hash"), F.col("word.times").alias("times"))
+    met = rest.join(known.select("hash", "nats"), "hash")
+    sums = [F.sum(F.get("nats", F.lit(k)) * F.col("times")) for k in range(of)]
+    added = written(met.groupBy("row").agg(F.array(*sums).alias("more")), "other_nats")
+    joined = part.drop("rest", "times").join(added, "row", "left").drop("row")
+    out = written(map_batches(joined, rate, rated), "measured")
+    removed(part, added)
+    return out
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -279,18 +385,21 @@ def identify(docs: DataFrame) -> DataFrame:
     counted = written(count_words(docs.withColumn("lang", F.when(learns, F.col("lang")))), "words")
     train = counted.filter("lang is not null")
     languages = sorted(r["lang"] for r in train.select("lang").distinct().collect())  # one row a language
-    every = counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("no", F.monotonically_increasing_id())
-    known = written(every, "every_word")
+    known = None
     if languages:
-        known = word_nats(known, learn(train, languages), len(languages))
-    found = written(measured(docs.withColumn("held_out", held_out), known, languages), "measured")
-    own = found.filter("not held_out and lang = best")
+        every = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "every_word")
+        known = word_nats(every, train, languages)
+        removed(every)
+    removed(counted)
+    rated = measured(docs.withColumn("held_out", held_out), known, languages)
+    if known is not None:
+        removed(known)
+    own = rated.filter("not held_out and lang = best")
     limits = own.groupBy("best").agg(F.percentile_approx("nats", LIMIT_QUANTILE, 10_000).alias("limit")).collect()
-    limit = F.lit(None).cast("double")
-    for row in limits:
-        limit = F.when(F.col("best") == row["best"], row["limit"]).otherwise(limit)
+    pairs = [F.lit(x) for row in limits for x in row]  # one a language
+    limit = F.try_element_at(F.create_map(*pairs), F.col("best")) if pairs else F.lit(None).cast("double")
     accepted = F.coalesce(F.col("nats") <= limit, F.lit(False))
-    return found.select(
+    return rated.select(
         "doc_id",
         "held_out",
         F.coalesce("best", F.lit("und")).alias("lang_pred"),

@@ -360,32 +360,6 @@ def test_language_held_out_accuracy_and_rejection(spark):
     assert language.identify(docs.limit(0)).count() == 0
 
 
-def test_kneser_ney_probabilities_sum_to_one():
-    text = ["kato", "toka", "miru"]
-    grams = [language.START * 4 + w + language.END for w in text]
-    top = {}
-    for g in grams:
-        for i in range(len(g) - 4):
-            top[g[i : i + 5]] = top.get(g[i : i + 5], 0) + 1
-    tables, now = {}, top
-    for n in range(5, 0, -1):
-        if n < 5:
-            kinds = {}
-            for g in now:
-                kinds[g[1:]] = kinds.get(g[1:], 0) + 1
-            now = kinds
-        rows = {}
-        for g, count in now.items():
-            codes = np.array([[*map(ord, g)]])
-            rows[int(language.hashes(codes[:, :-1])[0]), int(language.hashes(codes)[0])] = count
-        tables[n] = rows
-    model = language.Model.of([tables[n] for n in range(1, 6)])
-    context = [ord(c) for c in language.START * 3 + "t"]
-    letters = sorted({ord(c) for g in grams for c in g} | set(range(0x4E00, 0x4E00 + language.SYMBOLS - 9)))
-    p = np.exp(-model.nats(np.array([[*context, c] for c in letters])))
-    assert 0.9 < p.sum() < 1.1
-
-
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(3)
     clean = [" ".join(rng.choices([f"w{i}" for i in range(400)], k=120)) for _ in range(60)]

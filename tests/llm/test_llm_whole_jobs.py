@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from siltbed.llm import language, packing, pii, repeats, shingles, simhash
+from siltbed.llm import packing, pii, repeats, shingles, simhash
 
 
 def words_of(text):
@@ -146,42 +146,6 @@ def test_shortcut_of_words_before_signs_equals_the_library():
         assert np.frombuffer(packing.Ids(packing.MODEL).of_text(text), "<u4").tolist() == ids, ascii(text)
 
 
-def test_language_models_keep_ngrams_apart():
-    rng = np.random.default_rng(7)
-    codes = np.unique(rng.integers(97, 1000, (200_000, 5)), axis=0)
-    assert len(np.unique(language.hashes(codes))) == len(codes)
-
-
-@pytest.mark.parametrize("most", [2, 800_000])
-def test_language_nats_equal_the_model_in_memory(spark, most):
-    rng = random.Random(3)
-    texts = [(lang, " ".join("".join(rng.choices(s, k=rng.randint(1, 6))) for _ in range(40))) for lang, s in [("a", "xyzé"), ("b", "xyvw")] * 5]
-    counted = language.count_words(spark.createDataFrame(texts, "lang string, text string")).cache()
-    every = counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("no", F.monotonically_increasing_id())
-    known = language.word_nats(every.cache(), language.learn(counted, ["a", "b"]), 2).collect()
-    for k, lang in enumerate("ab"):
-        top, tables = {}, [{} for _ in range(5)]
-        for _, text in [t for t in texts if t[0] == lang]:
-            for row in map(tuple, language.ngrams(text.split()).tolist()):
-                top[row] = top.get(row, 0) + 1
-        for n in range(5, 0, -1):
-            if n < 5:
-                above, top = top, {}
-                for g in above:
-                    top[g[1:]] = top.get(g[1:], 0) + 1
-            for g, c in top.items():
-                code = np.array([g])
-                tables[n - 1][int(language.hashes(code[:, :-1])[0]), int(language.hashes(code)[0])] = c
-        model = language.Model.of(tables)
-        for r in known:
-            assert np.isclose(r[f"e_{k}"], model.nats(language.ngrams([r["word"]])).sum())
-    docs = spark.createDataFrame([(1, texts[0][1])], "doc_id long, text string")
-    nats = {r["word"]: r["e_0"] for r in known}
-    found = language.measured(docs, spark.createDataFrame(known), ["a", "b"], most).first()
-    size = len(texts[0][1]) + 1
-    assert found["best"] == "a" and np.isclose(found["nats"], sum(nats[w] for w in texts[0][1].split()) / size)
-
-
 def test_large_groups_of_repeats_are_not_collected(spark, monkeypatch):
     rng = random.Random(11)
     noise = lambda n: "".join(rng.choices("abcdefg", k=n))
