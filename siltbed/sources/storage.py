@@ -43,6 +43,12 @@ def delete(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not delete {path}")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
 def delete_on_exit(spark: SparkSession, folder: str) -> None:
     """Create ``folder`` if need be, and have the JVM remove it when it ends."""
     fs, target = _path(spark, folder)
