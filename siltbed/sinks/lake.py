@@ -25,7 +25,7 @@ from siltbed.operators.partitions import (
 )
 from siltbed.sources import storage
 
-_FROM_DELTA = "__from_delta"
+FROM_DELTA = "__from_delta"
 
 
 def write_partitioned(
@@ -41,7 +41,7 @@ def write_partitioned(
     all rows over several tasks.
     """
     cols = list(partition_cols)
-    stored = _storable(df, cols).hint("rebalance", *[quoted(c) for c in cols])
+    stored = storable(df, cols).hint("rebalance", *[quoted(c) for c in cols])
     (
         stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -50,7 +50,7 @@ def write_partitioned(
     )
 
 
-def _storable(df: DataFrame, cols: list[str]) -> DataFrame:
+def storable(df: DataFrame, cols: list[str]) -> DataFrame:
     # Empty text is stored in the directory of nulls, so it must also match it.
     text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     blank = {c: F.when(quoted(c) != "", quoted(c)) for c in cols if c in text}
@@ -114,10 +114,10 @@ def overwrite_partitions(
     """Replace a partitioned table by the newest row of each key."""
     cols = list(partition_cols)
     newest = latest_rows(df, keys, extra_keys, order, tie_breakers)
-    _replace(format_metadata(_without_key(newest, cols)), path, cols)
+    _replace(format_metadata(without_key(newest, cols)), path, cols)
 
 
-def _without_key(df: DataFrame, partition_cols: list[str]) -> DataFrame:
+def without_key(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     return df.drop(*[c for c in (PARTITION_KEY, PARTITION_DATE) if c not in partition_cols])
 
 
@@ -135,7 +135,7 @@ def upsert_partitions(
     """
     spark, cols, order = delta.sparkSession, list(partition_cols), list(order)
     keys = [k for k in keys or () if k != PARTITION_KEY]
-    delta = _storable(format_metadata(_without_key(delta, cols)), cols)
+    delta = storable(format_metadata(without_key(delta, cols)), cols)
     if not storage.has_data(spark, path):
         write_partitioned(latest_rows(delta, keys, cols, order), path, cols)
         return
@@ -147,20 +147,20 @@ def upsert_partitions(
         found = delta_partitions(current, delta, cols).collect()
         if found:
             touched = touched_partitions(current, delta, cols, found)
-            newest = _merged(touched, delta, keys, cols, order)
+            newest = merged(touched, delta, keys, cols, order)
             write_partitioned(newest, path, cols, dynamic=True)
     finally:
         delta.unpersist()
 
 
-def _merged(
+def merged(
     current: DataFrame, delta: DataFrame, keys: list[str], extra_keys: list[str], order: list[str]
 ) -> DataFrame:
     both = union_delta(
-        current.withColumn(_FROM_DELTA, F.lit(0)), delta.withColumn(_FROM_DELTA, F.lit(1))
+        current.withColumn(FROM_DELTA, F.lit(0)), delta.withColumn(FROM_DELTA, F.lit(1))
     )
-    partition = key_columns(both, keys, extra_keys, skip=[_FROM_DELTA, *order])
-    return latest_rows(both, partition, order=[*order, _FROM_DELTA]).drop(_FROM_DELTA)
+    partition = key_columns(both, keys, extra_keys, skip=[FROM_DELTA, *order])
+    return latest_rows(both, partition, order=[*order, FROM_DELTA]).drop(FROM_DELTA)
 
 
 def merge_full(
@@ -184,7 +184,7 @@ def merge_full(
         if allow_missing:
             absent = [f for f in current.schema if f.name not in delta.columns]
             delta = delta.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-        newest = _merged(current, delta, keys, list(extra_keys), order)
+        newest = merged(current, delta, keys, list(extra_keys), order)
     else:
         newest = latest_rows(delta, keys, extra_keys, order)
     _replace(newest, path)

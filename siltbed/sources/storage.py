@@ -43,6 +43,51 @@ def delete(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not delete {path}")
 
 
+def decoded(spark: SparkSession, path: str) -> str:
+    """A path that Spark prints percent-encoded, as readers take it."""
+    jvm = spark._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)).toString()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, staged: str, text: str, path: str) -> None:
+    """Write ``text`` to ``staged`` and make it appear at ``path`` by a rename."""
+    fs, first = _path(spark, staged)
+    stream = fs.create(first, True)
+    try:
+        spark._jvm.org.apache.commons.io.IOUtils.write(text, stream, "UTF-8")
+    finally:
+        stream.close()
+    _rename(fs, first, _path(spark, path)[1])
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Files below ``path``, named from there."""
+    fs, target = _path(spark, path)
+    base = fs.makeQualified(target).toString().rstrip("/") + "/"
+    found, names = fs.listFiles(target, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString().removeprefix(base))
+    return sorted(names)
+
+
+def move_in(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, unless that was done before."""
+    fs, old = _path(spark, source)
+    _, new = _path(spark, target)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        _rename(fs, old, new)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it."""
     fs, target = _path(spark, path)
@@ -57,18 +102,19 @@ def delete_on_exit(spark: SparkSession, folder: str) -> None:
     fs.deleteOnExit(target)
 
 
-def _sibling(path: str, prefix: str) -> str:
+def beside(path: str, prefix: str) -> str:
+    """A path beside ``path``, hidden from table readers if the prefix starts with ``_``."""
     parent, _, name = path.rstrip("/").rpartition("/")
     return f"{parent}/{prefix}{name}" if parent else f"{prefix}{name}"
 
 
 def next_version(path: str) -> str:
     """Where the replacement of ``path`` is written; hidden from table readers."""
-    return _sibling(path, "_next_")
+    return beside(path, "_next_")
 
 
 def previous_version(path: str) -> str:
-    return _sibling(path, "_previous_")
+    return beside(path, "_previous_")
 
 
 def recover(spark: SparkSession, path: str) -> None:
