@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -17,6 +18,7 @@ from siltbed.fixed_values import EXPORT_DESTINATION, INGESTION_PATTERN, PATH, UP
 from siltbed.functions.paths import dates_from_path, ingestion_time, path_time
 from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
+from siltbed.operators.counts import RowCounts
 from siltbed.operators.latest import latest_rows, run_summary
 from siltbed.operators.partitions import coarsen_key
 from siltbed.plans.catalog import (
@@ -32,7 +34,7 @@ from siltbed.plans.catalog import (
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
 from siltbed.sinks.jdbc import copy_to_jdbc, write_jdbc
-from siltbed.sinks.lake import append_standardised, json_table_path, write_json_latest
+from siltbed.sinks.lake import Watch, append_standardised, json_table_path, unwatched, write_json_latest
 from siltbed.sinks.ledger import append_once
 from siltbed.sources.files import (
     file_inventory,
@@ -44,6 +46,7 @@ from siltbed.sources.files import (
     read_raw,
     this_instant,
 )
+from siltbed.sources.malformed import read_by_header, read_permissive, split_malformed
 
 log = logging.getLogger(__name__)
 
@@ -69,6 +72,10 @@ class LoadOptions:
     once: bool = True
     #: Bytes of raw files that one load persists at most (or one file); None: all of them.
     batch_bytes: int | None = None
+    #: Malformed CSV and JSON rows go to the quarantine zone instead of into columns or an error.
+    quarantine: bool = False
+    #: CSV files of one load may have headers of their own; columns are joined by name.
+    own_headers: bool = False
     #: Tables below the curated zone that are copied whole once the load is done, and their external names.
     copies: Mapping[str, str] = field(default_factory=dict)
 
@@ -118,6 +125,7 @@ def load_table(
     glob: str | None = None,
     timed: bool = False,
     inventory: DataFrame | None = None,
+    counts: RowCounts | None = None,
 ) -> str:
     """Load one table's new raw files; returns the path of its curated table.
 
@@ -127,7 +135,8 @@ def load_table(
     at ``before`` (an instant in UTC) or later are not listed, so the files of an inventory
     up to the same instant are loaded and no others, without a join. ``glob`` restricts
     file names. If ``inventory`` (``filePath``) has files that are not listed any more, as they
-    were written anew, just its files are read by name.
+    were written anew, just its files are read by name. ``counts`` are told how many rows are
+    read, appended and written to the curated table, and how many are malformed.
 
     Unless told otherwise, a ledger below the root keeps which files were appended to the
     standardised table: a load that is repeated, whole or after a failure, adds none
@@ -160,31 +169,48 @@ def load_table(
         log.info("%s has no new files", spec.name)
         return curated
     ledger = f"{root.rstrip('/')}/ledger"
+
+    def watched(step: str) -> Watch:
+        return (lambda df: counts.watch(df, spec.name, step)) if counts is not None else unwatched
+
+    def append(df: DataFrame, path: str, name: str, level: str | None, step: str) -> None:
+        if options.once:
+            append_once(df, path, ledger, name, level, files, watch=watched(step))
+        elif level is not None:
+            append_standardised(watched(step)(df), path, level)
+        else:
+            watched(step)(df).write.mode("append").parquet(path)
+
+    raw, kept = watched("read")(raw), None
+    if options.quarantine and spec.fmt != "parquet":
+        kept = raw.persist(options.storage or StorageLevel.DISK_ONLY)
+        raw, malformed = split_malformed(kept)
+        append(malformed, f"{root.rstrip('/')}/quarantine/{spec.name}", f"quarantine/{spec.name}", None, "malformed")
     if is_json:
-        once = partial(append_once, ledger=ledger, table=f"json/{spec.name}", level=None, files=files)
-        write_json_latest(raw, spec.name, **zones, append=once if options.once else None)
+        try:
+            once = partial(append, name=f"json/{spec.name}", level=None, step="appended")
+            write_json_latest(raw, spec.name, **zones, append=once, watch=watched("written"))
+        finally:
+            if kept is not None:
+                kept.unpersist()
         if exported:
             _export(spark.read.parquet(curated), spec, options)
         return curated
     table = shaped(raw, spec)
-    if options.storage is not None:
-        table = table.persist(options.storage)
+    if options.storage is not None and kept is None:
+        table = kept = table.persist(options.storage)
     try:
-        standardised = f"{zones['standardised']}/{spec.name}"
-        if options.once:
-            append_once(table, standardised, ledger, spec.name, options.level, files)
-        else:
-            append_standardised(table, standardised, options.level)
+        append(table, f"{zones['standardised']}/{spec.name}", spec.name, options.level, "appended")
         final = cleaned(table, spec)
-        write_curated(final, spec, curated)
+        write_curated(final, spec, curated, watched("written"))
         if exported and spec.scheme == "Latest":
             # The curated table holds just these rows, so no second window is needed.
             _export(spark.read.parquet(curated), spec, options)
         elif exported:
             _export(latest_rows(final, spec.keys), spec, options)
     finally:
-        if options.storage is not None:
-            table.unpersist()
+        if kept is not None:
+            kept.unpersist()
     return curated
 
 
@@ -201,8 +227,14 @@ def _listed(
     """A load's raw rows (None without a file) and the files that they are read from."""
     text = options.text(spec) if spec.fmt == "csv" else {}
     names = {"pathGlobFilter": glob} if glob else {}
+    given = {"options": names, "before": before, **text}
     try:
-        raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), options=names, before=before, **text)
+        if options.quarantine and spec.fmt != "parquet":
+            raw = read_permissive(spark, paths, spec.fmt, spec.raw_schema(), **given)
+        elif options.own_headers and spec.fmt == "csv":
+            raw = read_by_header(spark, paths, **given)
+        else:
+            raw = read_raw(spark, paths, spec.fmt, spec.raw_schema(), **given)
     except AnalysisException as error:
         # Without a file there is no header to take the columns from.
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
@@ -244,6 +276,7 @@ def load_dataset(
     parallel: int = 1,
     by_extension: bool = False,
     json_tables: DataFrame | None = None,
+    counted: bool = False,
 ) -> str:
     """Load every configured table of a dataset; returns the run summary as JSON.
 
@@ -253,6 +286,9 @@ def load_dataset(
     first: what the summary reports as the next mark is what was loaded. Raw files
     must not be changed while they are loaded.
 
+    ``counted`` adds ``tables`` to the summary: rows read, appended and written by table, which
+    are counted as they pass.
+
     With ``LoadOptions.batch_bytes`` an upsert loads its files in batches, oldest first, and
     other tables, which are replaced as a whole, read their raw files again instead of
     persisting more than that.
@@ -294,6 +330,8 @@ def load_dataset(
             if spec.name in fed:
                 ready.setdefault(spec.name, []).append(spec)
 
+        counts = RowCounts() if counted else None
+
         def run(loads: list[TableSpec]) -> None:
             for spec in loads:
                 own = files.filter(F.col("DataLakePathRaw").isin(list(spec.raw_paths)))
@@ -301,14 +339,14 @@ def load_dataset(
                 chosen, limit = options, options.batch_bytes
                 if limit is not None and _loads_in_batches(spec):
                     for paths in _batches(own, limit):
-                        load_table(spark, spec, root, paths, options=options, before=before, timed=True)
+                        load_table(spark, spec, root, paths, options=options, before=before, timed=True, counts=counts)
                     continue
                 if limit is not None and (own.agg(F.sum("fileSize")).first()[0] or 0) > limit:
                     chosen = replace(options, storage=None)
                 roots = raw_roots(spec, root)
                 paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
                 load_table(
-                    spark, spec, root, paths, options=chosen, before=before, glob=glob, timed=True, inventory=own
+                    spark, spec, root, paths, options=chosen, before=before, glob=glob, timed=True, inventory=own, counts=counts
                 )
 
         with ThreadPoolExecutor(max(1, parallel)) as pool:
@@ -321,7 +359,10 @@ def load_dataset(
                 external,
                 properties=options.export_properties,
             )
-        return run_summary(files, "ingestionDate", "extractDate").first()["summary"]
+        summary = run_summary(files, "ingestionDate", "extractDate").first()["summary"]
+        if counts is None:
+            return summary
+        return json.dumps({**json.loads(summary), "tables": counts.totals()})
     finally:
         files.unpersist()
 

@@ -43,6 +43,8 @@ class TableSpec:
     #: How this table's raw text is read, if not as the load's options say.
     sep: str | None = None
     encoding: str | None = None
+    #: Upserts rewrite the files that hold a key of the delta, not whole partitions.
+    by_file: bool = False
 
     def raw_schema(self) -> str | None:
         """Schema to read with, if known: configured JSON fields are read as text.

@@ -23,7 +23,7 @@ from siltbed.operators.columns import format_metadata, quoted
 from siltbed.operators.latest import key_columns, latest_rows
 from siltbed.operators.merge import delta_partitions, touched_partitions
 from siltbed.session import broadcast_if_small
-from siltbed.sinks.lake import FROM_DELTA, merged, read_table, storable, without_key, write_partitioned
+from siltbed.sinks.lake import FROM_DELTA, Watch, merged, read_table, storable, unwatched, without_key, write_partitioned
 from siltbed.sources import storage
 from siltbed.sources.files import literal_path
 
@@ -90,6 +90,7 @@ def upsert_files(
     keys: Iterable[str] | None,
     partition_cols: Iterable[str] = (),
     order: Iterable[str] = RECENCY,
+    watch: Watch = unwatched,
 ) -> None:
     """Merge ``delta`` and rewrite only files that hold one of its keys.
 
@@ -103,7 +104,7 @@ def upsert_files(
     delta = storable(format_metadata(without_key(delta, cols)), cols)
     if not storage.has_data(spark, path):
         newest = latest_rows(delta, keys, cols, order)
-        replace_files(spark, path, [], lambda staged: _write(newest, staged, cols))
+        replace_files(spark, path, [], lambda staged: _write(watch(newest), staged, cols))
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
@@ -121,7 +122,7 @@ def upsert_files(
         stored = read_files(spark, path, hit, current.schema) if hit else current.limit(0)
         newest = merged(stored, delta, keys, cols, order)
         if not delta.isEmpty():
-            replace_files(spark, path, hit, lambda staged: _write(newest, staged, cols))
+            replace_files(spark, path, hit, lambda staged: _write(watch(newest), staged, cols))
     finally:
         delta.unpersist()
 

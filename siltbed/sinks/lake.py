@@ -26,6 +26,11 @@ from siltbed.operators.partitions import (
 from siltbed.sources import storage
 
 FROM_DELTA = "__from_delta"
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def unwatched(df: DataFrame) -> DataFrame:
+    return df
 
 
 def write_partitioned(
@@ -82,14 +87,15 @@ def overwrite_snapshot(
     keys: Iterable[str] | None = None,
     order: Iterable[str] = RECENCY,
     tie_breakers: Iterable[str] | None = None,
+    watch: Watch = unwatched,
 ) -> None:
     """Replace the table at ``path`` by the newest row of each key.
 
-    As all replacements of a whole table, the result is written beside the old
+    ``watch`` sees the frame that is written, here and in the other sinks. As all replacements of a whole table, the result is written beside the old
     table and then swapped in, so a failure leaves the old table in place.
     """
     newest = latest_rows(df, keys, order=order, tie_breakers=tie_breakers)
-    _replace(format_metadata(newest), path)
+    _replace(watch(format_metadata(newest)), path)
 
 
 def _replace(df: DataFrame, path: str, partition_cols: Iterable[str] = ()) -> None:
@@ -110,11 +116,12 @@ def overwrite_partitions(
     order: Iterable[str] = RECENCY,
     tie_breakers: Iterable[str] | None = None,
     extra_keys: Iterable[str] = (),
+    watch: Watch = unwatched,
 ) -> None:
     """Replace a partitioned table by the newest row of each key."""
     cols = list(partition_cols)
     newest = latest_rows(df, keys, extra_keys, order, tie_breakers)
-    _replace(format_metadata(without_key(newest, cols)), path, cols)
+    _replace(watch(format_metadata(without_key(newest, cols))), path, cols)
 
 
 def without_key(df: DataFrame, partition_cols: list[str]) -> DataFrame:
@@ -127,6 +134,7 @@ def upsert_partitions(
     keys: Iterable[str] | None,
     partition_cols: Iterable[str],
     order: Iterable[str] = RECENCY,
+    watch: Watch = unwatched,
 ) -> None:
     """Merge ``delta`` into the partitions it touches and rewrite only those.
 
@@ -137,7 +145,7 @@ def upsert_partitions(
     keys = [k for k in keys or () if k != PARTITION_KEY]
     delta = storable(format_metadata(without_key(delta, cols)), cols)
     if not storage.has_data(spark, path):
-        write_partitioned(latest_rows(delta, keys, cols, order), path, cols)
+        write_partitioned(watch(latest_rows(delta, keys, cols, order)), path, cols)
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
@@ -148,7 +156,7 @@ def upsert_partitions(
         if found:
             touched = touched_partitions(current, delta, cols, found)
             newest = merged(touched, delta, keys, cols, order)
-            write_partitioned(newest, path, cols, dynamic=True)
+            write_partitioned(watch(newest), path, cols, dynamic=True)
     finally:
         delta.unpersist()
 
@@ -170,6 +178,7 @@ def merge_full(
     extra_keys: Iterable[str] = (),
     order: Iterable[str] = RECENCY,
     allow_missing: bool = False,
+    watch: Watch = unwatched,
 ) -> None:
     """Merge ``delta`` with the whole unpartitioned table at ``path``.
 
@@ -187,7 +196,7 @@ def merge_full(
         newest = merged(current, delta, keys, list(extra_keys), order)
     else:
         newest = latest_rows(delta, keys, extra_keys, order)
-    _replace(newest, path)
+    _replace(watch(newest), path)
 
 
 def json_table_path(zone: str, source: str) -> str:
@@ -200,6 +209,7 @@ def write_json_latest(
     curated: str,
     standardised: str,
     append: Callable[[DataFrame, str], None] | None = None,
+    watch: Watch = unwatched,
 ) -> None:
     """Append a JSON table to the standardised zone and replace its curated copy.
 
@@ -214,7 +224,7 @@ def write_json_latest(
             append(table, target)
         else:
             table.write.mode("append").parquet(target)
-        _replace(table, json_table_path(curated, source))
+        _replace(watch(table), json_table_path(curated, source))
     finally:
         table.unpersist()
 

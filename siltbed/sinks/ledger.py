@@ -23,7 +23,7 @@ from siltbed.operators.columns import quoted
 from siltbed.operators.merge import delta_partitions, touched_partitions
 from siltbed.operators.partitions import date_hierarchy, level_columns
 from siltbed.session import broadcast_if_small
-from siltbed.sinks.lake import append_standardised
+from siltbed.sinks.lake import Watch, append_standardised, unwatched
 from siltbed.sources import storage
 from siltbed.sources.files import listed_files
 
@@ -99,6 +99,7 @@ def append_once(
     level: str | None = "Month",
     files: Iterable[str] | None = None,
     append: Callable[[DataFrame, str], None] | None = None,
+    watch: Watch = unwatched,
 ) -> None:
     """Append the rows of ``df`` whose raw file (its ``path``) is not in the table yet.
 
@@ -121,7 +122,7 @@ def append_once(
     rows = not_loaded(df, spark, ledger, table) if known else df
     batch = uuid.uuid4().hex
     _write(spark, ledger, table, ((batch, f, BEGUN) for f in new))
-    rows = rows.select(*[quoted(c) for c in df.columns])
+    rows = watch(rows.select(*[quoted(c) for c in df.columns]))
     if append is not None:
         append(rows, path)
     elif level is not None:

@@ -49,6 +49,16 @@ def decoded(spark: SparkSession, path: str) -> str:
     return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)).toString()
 
 
+def first_bytes(spark: SparkSession, path: str, most: int) -> bytes:
+    """The start of a file given as Spark prints paths."""
+    fs, target = _path(spark, decoded(spark, path))
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readNBytes(most))
+    finally:
+        stream.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _path(spark, path)
     stream = fs.open(target)

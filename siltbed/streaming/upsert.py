@@ -7,12 +7,15 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siltbed.fixed_values import PATH, RECENCY
+from siltbed.fixed_values import EXTRACT, PATH, RECENCY
 from siltbed.functions.paths import dates_from_path
 from siltbed.sinks.lake import merge_full, upsert_partitions
 from siltbed.sources.files import raw_options
 
 
+_SEEN_AT = "__seen_at"
+
+
 def stream_upsert(
     spark: SparkSession,
     source: str,
@@ -26,6 +29,8 @@ def stream_upsert(
     options: Mapping[str, object] | None = None,
     max_files: int | None = None,
     order: Iterable[str] = RECENCY,
+    repeated_within: str | None = None,
+    append: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Process each file below ``source`` once, then stop; start again for new files.
 
@@ -33,6 +38,13 @@ def stream_upsert(
     failure merges to the same table, so files count exactly once. Without
     ``partition_cols`` every batch rewrites the whole target, which suits small
     tables only.
+
+    With ``repeated_within`` (an interval) a row that comes again under another file name,
+    with the same keys and extract time, is dropped before it is merged: Spark keeps the
+    keys that it saw for that long, by extract time, also from one start to the next, and
+    drops those that fall behind. A row that arrives later than that after newer ones is dropped
+    as late, so it should be longer than files can be delayed. ``append`` replaces the
+    merge; Spark gives it each batch and its number.
     """
     keys, cols, order = list(keys), list(partition_cols), list(order)
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", True)
@@ -43,6 +55,12 @@ def stream_upsert(
     if prepare is not None:
         rows = prepare(rows)
 
+    if repeated_within is not None:
+        # Spark's watermark needs a zoned time; null times would never leave the state.
+        rows = rows.filter(F.col(EXTRACT).isNotNull()).withColumn(_SEEN_AT, F.col(EXTRACT).cast("timestamp"))
+        rows = rows.withWatermark(_SEEN_AT, repeated_within).dropDuplicatesWithinWatermark([*keys, *cols, _SEEN_AT])
+        rows = rows.drop(_SEEN_AT)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -54,7 +72,7 @@ def stream_upsert(
             batch.unpersist()
 
     return (
-        rows.writeStream.foreachBatch(merge)
+        rows.writeStream.foreachBatch(append or merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
