@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,7 @@ from siltbed.operators import changes
 from siltbed.plans import catalog
 from siltbed.plans.load import load_dataset
 from siltbed.session import scratch_path
-from siltbed.sinks import files
+from siltbed.sinks import bucketed, files
 from siltbed.sinks.lake import write_partitioned
 from siltbed.sources import malformed
 from siltbed.streaming.upsert import stream_upsert
@@ -263,3 +264,35 @@ def stream_repeated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         query.awaitTermination()
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", INGESTION)
+
+
+@checked(
+    """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 5 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END AS ing, true AS unmoved
+FROM orders
+"""
+)
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges into a table that holds six sevenths of the orders; keys have nulls."""
+    name, keys = f"bucketed_{uuid.uuid4().hex}", ["o_orderkey", "o_custkey"]
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(key % 3 != 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice", F.lit(1).alias("ing")
+    )
+    bucketed.create_bucketed(orders.filter(key % 7 != 0), name, keys, 8, ["ing"])
+    newer = orders.filter(key % 5 == 0).withColumns({"o_totalprice": F.lit(0.0), "ing": F.lit(2)})
+    older = orders.withColumns({"o_totalprice": F.when(key % 7 == 0, F.col("o_totalprice")).otherwise(-1.0), "ing": F.when(key % 7 == 0, 1).otherwise(0)})
+    for delta in (older, newer):
+        moved = bucketed.merged_with_buckets(spark.table(name), delta, keys, ["ing"])
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        # The stored side is the first: its scan has nothing but sorts and projections above it.
+        unmoved = "Exchange" not in plan.split("FileScan", 1)[0]
+        bucketed.merge_bucketed(delta, name, keys, 8, ["ing"])
+    rows = bucketed.read_bucketed(spark, name).withColumn("unmoved", F.lit(unmoved))
+    path = scratch_path(spark, "bucketed")
+    rows.write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
