@@ -44,7 +44,8 @@ def test_near_stage_acts_at_similarity_from_0_8(spark, low, high, linked):
     assert sorted(r["doc_id"] for r in kept) == [i for i, _ in rows if not linked or i % 2 == 0]
 
 
-def test_similar_groups_equal_brute_force_in_small_chunks(spark):
+@pytest.mark.parametrize("limits", [(9, 1 << 20), (1024, 1000), (1024, 1 << 20)])
+def test_similar_groups_equal_brute_force_in_small_chunks(spark, limits):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(500)]
     base, texts = rng.choices(vocabulary, k=200), []
@@ -54,7 +55,7 @@ def test_similar_groups_equal_brute_force_in_small_chunks(spark):
             other[i] = rng.choice(vocabulary)
         texts.append(" ".join(other))
     rows = [(i, t, i) for i, t in enumerate(texts)]
-    found = shingles.similar_groups(spark.createDataFrame(rows, "doc_id long, text string, __hash long"), chunk=9, most=1)
+    found = shingles.similar_groups(spark.createDataFrame(rows, "doc_id long, text string, __hash long"), *limits)
     parent = list(range(len(texts)))
 
     def root(i):
@@ -90,6 +91,39 @@ def test_proposals_miss_no_pair_at_0_8():
         assert same.sum() >= shingles.LEAST_SAME
 
 
+def test_pairs_are_looked_at_under_one_key():
+    rng = random.Random(3)
+    keys = {k: [i for i in range(12) if rng.random() < 0.4] for k in range(-4, 30)}
+    own = [np.array([k for k in keys if i in keys[k]], np.int64) for i in range(12)]
+    seen = {}
+    for k, group in keys.items():
+        first = shingles.first_shared([own[i] for i in group], k) if group else []
+        for x, i in enumerate(group):
+            for y, j in enumerate(group):
+                if i < j and first[x, y]:
+                    seen.setdefault((i, j), []).append(k)
+    assert seen == {(i, j): [min(k)] for i in range(12) for j in range(i + 1, 12) if (k := set(own[i]) & set(own[j]))}
+
+
+def test_whole_sets_are_compared_exactly():
+    rng = np.random.default_rng(5)
+    base = np.arange(50)
+    sets = [np.unique(np.r_[rng.choice(base, 43, replace=False), rng.integers(50, 60, 3)]) for _ in range(40)]
+    part = np.arange(40) // 3
+    a, b = shingles.similar_pairs(sets, part)
+    linked = lambda i, j: 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+    assert all(linked(i, j) for i, j in zip(a, b)) and len(a) < 40
+
+    def components(pairs):
+        group = part.copy()
+        for i, j in pairs:
+            group[group == group[j]] = group[i]
+        return [sorted(np.flatnonzero(group == g).tolist()) for g in np.unique(group)]
+
+    every = [(i, j) for i in range(40) for j in range(i) if linked(i, j)]
+    assert sorted(components(zip(a, b))) == sorted(components(every)) and 1 < len(components(every)) < 14
+
+
 def test_small_sets_have_keys():
     for n in range(1, 12):
         own = np.arange(10, 10 + n).astype(np.uint64)
