@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
@@ -47,18 +47,20 @@ def _is_one_of(cols: list[str], types: dict[str, T.DataType], rows: list[Row]) -
     def typed(value: object, name: str) -> Column:
         return F.lit(value).cast(types[name]).alias(name)
 
-    full = [r for r in rows if all(r[c] is not None for c in cols)]
-    partial = [r for r in rows if any(r[c] is None for c in cols)]
-    condition = F.lit(False)
-    if full and len(cols) == 1:
-        condition = quoted(cols[0]).isin(*[typed(r[cols[0]], cols[0]) for r in full])
-    elif full:
-        condition = F.struct(*[quoted(c) for c in cols]).isin(
-            *[F.struct(*[typed(r[c], c) for c in cols]) for r in full]
-        )
-    for row in partial:
-        condition = condition | reduce(and_, [quoted(c).eqNullSafe(typed(row[c], c)) for c in cols])
-    return condition
+    # Rows with nulls in the same columns are one membership test, however many they are.
+    patterns: dict[tuple[str, ...], list[Row]] = {}
+    for row in rows:
+        patterns.setdefault(tuple(c for c in cols if row[c] is not None), []).append(row)
+    tests = []
+    for known, alike in patterns.items():
+        parts = [quoted(c).isNull() for c in cols if c not in known]
+        if len(known) == 1:
+            parts.append(quoted(known[0]).isin(*[typed(r[known[0]], known[0]) for r in alike]))
+        elif known:
+            values = [F.struct(*[typed(r[c], c) for c in known]) for r in alike]
+            parts.append(F.struct(*[quoted(c) for c in known]).isin(*values))
+        tests.append(reduce(and_, parts))
+    return reduce(or_, tests, F.lit(False))
 
 
 def union_delta(current: DataFrame, delta: DataFrame) -> DataFrame:
