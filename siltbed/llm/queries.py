@@ -59,7 +59,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).drop("kept")
+    return repeats.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), kept=False)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ chose it, about one for 43 bytes.
 4. Repeats are gathered by document and cut out of its bytes.
 
 Hashes only propose; runs are equal if 128 bits of two hashes agree, windows in step 3 by
-their bytes, in large groups by 128 bits. Documents are ordered by doc_id; documents that share an id by a hash of
+their bytes whatever the size of their group, in groups above ``MOST_ROWS`` by 128 bits. Documents are ordered by doc_id; documents that share an id by a hash of
 their text, and those without an id come last. Null text counts as empty; texts below
 100 bytes keep everything. An empty table gives an empty result.
 """
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,8 @@ SHALLOW = 32
 #: Windows looked at together in a long text; 21 bits of a key hold a place among them.
 CHUNK = 1 << 20
 PLACE = np.uint64((1 << 21) - 1)
-#: Up to so many strings of a group are compared two by two.
-FEW = 6
+#: Strings times distances that are classed at once.
+DISTANCES = 1 << 16
 #: Groups with more rows are not collected; Spark compares the hashes of their windows.
 MOST_ROWS = 4096
 
@@ -124,9 +125,9 @@ def find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not columns[0]:
             continue
         gram, own, doc, at = map(np.concatenate, columns)
-        order = np.lexsort((at, doc, own))
+        order = np.lexsort((at, doc, gram, own))
         later = np.zeros(len(own), bool)
-        later[order[1:]] = own[order[1:]] == own[order[:-1]]
+        later[order[1:]] = (own[order[1:]] == own[order[:-1]]) & (gram[order[1:]] == gram[order[:-1]])
         settled = np.flatnonzero(later)
         if len(settled):
             # Runs follow each other without gaps, so neighbours are one stretch of windows.
@@ -303,39 +304,36 @@ def repeats_of(group: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int,
     left = [b[:most][::-1] for *_, most, b in group]
     found: list[tuple[int, int, int]] = []
     n = len(group)
-    if n <= FEW:
-        for j in range(1, n):
-            hit = 0
-            for i in range(j):
-                low = max(group[i][2], group[j][2], WINDOW - common(right[i], right[j]))
-                high = min(group[i][3], group[j][3], common(left[i], left[j]))
-                if low <= high:
-                    hit |= (1 << high + 1) - (1 << low)
-            if hit:
-                found += _spans(group[j], [d for d in range(group[j][2], group[j][3] + 1) if hit >> d & 1])
-        return found
-    orders = [np.array(deep_shallow(s)) for s in (right, left)]
-    shared = [
-        np.array([0, *(common(s[a], s[b]) for a, b in zip(o.tolist()[:-1], o.tolist()[1:]))])
-        for s, o in zip((right, left), orders)
-    ]
     least, most = (np.array([g[k] for g in group]) for k in (2, 3))
-    hits: dict[int, list[int]] = {}
-    for d in range(least.min(), most.max() + 1):
-        here = (least <= d) & (d <= most)
-        classes = []
-        for order, lcp, need in zip(orders, shared, (WINDOW - d, d)):
-            number = np.empty(n, np.int64)
-            number[order] = np.cumsum(lcp < need)
-            classes.append(number)
-        rows = np.flatnonzero(here)
-        _, first = np.unique(classes[0][rows] * (n + 1) + classes[1][rows], return_index=True)
-        again = np.ones(len(rows), bool)
-        again[first] = False
-        for j in rows[again].tolist():
-            hits.setdefault(j, []).append(d)
-    for j, distances in hits.items():
-        found += _spans(group[j], distances)
+    sides = []
+    for strings in (right, left):
+        order = deep_shallow(strings)
+        shared = [0, *(common(strings[a], strings[b]) for a, b in zip(order, order[1:]))]
+        sides.append((np.array(order), np.array(shared)))
+    low, high = int(least.min()), int(most.max())
+    step = max(1, DISTANCES // n)
+    hits = []
+    for at in range(low, high + 1, step):
+        # A row of classes for each distance: equal windows have equal neighbours up to theirs.
+        d = np.arange(at, min(at + step, high + 1))[:, None]
+        classes = np.zeros((len(d), n), np.int64)
+        for (order, shared), need in zip(sides, (WINDOW - d, d)):
+            classes[:, order] = classes[:, order] * (n + 1) + np.cumsum(shared[None, :] < need, axis=1)
+        # Strings outside a distance are in no class of it.
+        outside = (d < least) | (d > most)
+        classes[outside] = -1
+        places = np.argsort(classes, axis=1, kind="stable")
+        sorted_ = np.take_along_axis(classes, places, 1)
+        again = np.zeros_like(outside)
+        again[:, 1:] = (sorted_[:, 1:] == sorted_[:, :-1]) & (sorted_[:, 1:] >= 0)
+        row, column = np.nonzero(again)
+        hits.append((places[row, column], row + at))
+    who, distance = (np.concatenate(x) for x in zip(*hits))
+    order = np.lexsort((distance, who))
+    who, distance = who[order], distance[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(who) != 0]).tolist() if len(who) else []
+    for a, b in zip(starts, [*starts[1:], len(who)]):
+        found += _spans(group[int(who[a])], distance[a:b].tolist())
     return found
 
 
@@ -391,7 +389,7 @@ def repeats_of_large(rows: DataFrame) -> DataFrame:
     return again.select("doc", F.shiftleft("first", COUNT_BITS).bitwiseOR(F.lit(1)).alias("at"))
 
 
-def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut_out(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches, 64):
         out: list[tuple] = []
         for text, wanted in zip(batch["text"].to_pylist(), batch["wanted"].to_pylist()):
@@ -408,13 +406,12 @@ def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed = int(gone.sum())
                 spans = int((np.diff(np.r_[False, gone].astype(np.int8)) == 1).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            out.append((len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+            row = (len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept)
+            out.append(row if whole else row[:-1])
         columns = list(zip(*out))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], *map(pa.array, columns, kinds)],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, columns, kinds)], names if whole else names[:-1])
 
 
 def ordered(docs: DataFrame) -> DataFrame:
@@ -451,11 +448,11 @@ def found_repeats(docs: DataFrame, most_rows: int | None = None) -> DataFrame:
     return met.filter("not open").select("doc", "at").unionByName(settled)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay)."""
+def remove_repeats(docs: DataFrame, kept: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept (the bytes that stay)."""
     docs = ordered(docs.select("doc_id", "text"))
     gone = found_repeats(docs).groupBy("doc").agg(F.collect_list("at").alias("wanted"))
     joined = docs.join(gone, "doc", "left").select("doc_id", "text", "wanted")
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return map_batches(joined, cut_out, schema)
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
+    return map_batches(joined, partial(cut_out, whole=kept), schema)
