@@ -6,7 +6,8 @@ zero-width characters removed, separators to one space. A term is the start of a
 in folded text, so all endings of a stem are found.
 
 Learning, from at most about ``TRAINING_ROWS`` labelled rows (a share of the ids by
-hash, of all if there are fewer; the only bound here): every word of their whole texts
+hash, of all if there are fewer; the only bound here, and so one on what comes to the
+driver: starts and phrases that pass a threshold of evidence in that sample): every word of their whole texts
 counts once a document and class, and every start of a word of 3 to 12 letters sums its
 words. A start becomes a term if its log-odds are at least ``MIN_LOG_ODDS`` and its
 G-squared is at least ``MIN_G2``, unless nearly all of its toxic words go on with one and
@@ -45,8 +46,6 @@ TRAINING_ROWS = 40_000
 SHORTEST, LONGEST = 3, 12
 MIN_RAW_ODDS, MIN_LOG_ODDS = 0.5, 2.5
 MIN_RAW_G2, MIN_G2 = 10.0, 30.0
-#: Most starts of words that come to the driver, those with the highest G-squared.
-MAX_STARTS = 20_000
 MIN_EXCEPTION, EXCEPTION_SHARE = 3, 0.05
 HELD_OUT_OF = 5
 
@@ -204,7 +203,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
         }
     )
     found = starts.filter((F.col("toxic") > 0) & (F.col("odds") >= MIN_RAW_ODDS) & (F.col("g2") >= MIN_RAW_G2))
-    found = found.orderBy(F.desc("g2"), "start").limit(MAX_STARTS).collect()
+    found = found.collect()
     counts = {r["start"]: (r["clean"], r["toxic"], r["odds"]) for r in found}
     tried = Lexicon(chosen(counts))
     exceptions = _exceptions(train, tried, {t: counts[t][0] for t in tried.weights})
@@ -253,8 +252,7 @@ def _count(train: DataFrame, lexicon: Lexicon, keys: Callable[[Lexicon, str], se
 
     counted = map_batches(train, count, "a string, b string, toxic int, n long")
     each = {name: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)) for k, name in enumerate(("n0", "n1"))}
-    counted = counted.groupBy("a", "b").agg(*[c.alias(n) for n, c in each.items()])
-    return counted.orderBy(F.desc("n0"), "a", "b").limit(10 * MAX_STARTS)
+    return counted.groupBy("a", "b").agg(*[c.alias(n) for n, c in each.items()])
 
 
 def _phrases_of(lexicon: Lexicon, text: str) -> set[tuple[str, str]]:
