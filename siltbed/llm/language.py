@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltbed.llm.common import batches_of, crc32_of_id, map_batches, removed, ship_package, sized_batches, written
+from siltbed.llm.common import batches_of, crc32_of_id, map_batches, removed, ship_package, sized_batches, sorted_groups, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -62,7 +62,7 @@ _WORDS = re.compile(r"[^\W\d_]+")
 def words(text: str | None) -> list[str]:
     """Runs of letters, in lower case."""
     found = _WORDS.findall(text.lower()) if text else []
-    if not text or text.isascii() or all(map(str.isalpha, found)):
+    if not found or text.isascii() or "".join(found).isalpha():
         return found
     # The pattern also takes numerals that are no decimal digits.
     return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
@@ -92,12 +92,25 @@ def ngrams(several: list[str]) -> np.ndarray:
     return windows[codes[ORDER - 1 :] != ord(START)]
 
 
-def nats_of(codes: np.ndarray, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def once(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and for each row which of them it is."""
+    _, first, which = np.unique(hashes(codes), return_index=True, return_inverse=True)
+    return codes[first], which
+
+
+def hashes_of_orders(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order the hashes of each row's context and n-gram."""
+    return [(hashes(codes[:, ORDER - n : ORDER - 1]), hashes(codes[:, ORDER - n :])) for n in range(1, ORDER + 1)]
+
+
+Sorted = tuple[np.ndarray, np.ndarray]
+
+
+def nats_of(keys: list[tuple[np.ndarray, np.ndarray]], grams: Sorted, contexts: Sorted) -> np.ndarray:
     """Minus log probability of the last character of each row, by sorted hashes with their values."""
-    p = np.full(len(codes), 1 / SYMBOLS)
-    for n in range(1, ORDER + 1):
-        back = found(contexts, hashes(codes[:, ORDER - n : ORDER - 1]), 1.0)
-        p = back * p + found(grams, hashes(codes[:, ORDER - n :]), 0.0)
+    p = np.full(len(keys[0][0]), 1 / SYMBOLS)
+    for context, gram in keys:
+        p = found(contexts, context, 1.0) * p + found(grams, gram, 0.0)
     return -np.log(np.clip(p, 1e-12, 1.0))
 
 
@@ -205,16 +218,11 @@ def asked_by_blocks(blocks: DataFrame) -> DataFrame:
     """block and key: the n-grams and contexts that each block's words (block, word) have."""
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(batches, BLOCK):
-            own = batch["block"].to_numpy()
-            several = np.array(batch["word"].to_pylist(), object)
-            for block in np.unique(own):
-                codes = ngrams(several[own == block].tolist())
-                # A context is the n-gram before, or only start marks.
-                keys = [hashes(codes[:, ORDER - n : ORDER - c]) for n in range(1, ORDER + 1) for c in (0, 1)]
-                distinct = np.unique(np.concatenate([np.unique(k) for k in keys]))
-                columns = [pa.array(np.full(len(distinct), block)), pa.array(distinct)]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "key"])
+        for group in sorted_groups(batches, ["block"]):
+            codes, _ = once(ngrams(group["word"].to_pylist()))
+            distinct = np.unique(np.concatenate([k for pair in hashes_of_orders(codes) for k in pair]))
+            columns = [pa.array(np.full(len(distinct), group["block"][0].as_py())), pa.array(distinct)]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "key"])
 
     return map_batches(blocks.select("block", "word"), ask, "block long, key long").distinct()
 
@@ -261,7 +269,7 @@ def word_nats(every: DataFrame, train: DataFrame, languages: list[str]) -> DataF
     ship_package(every.sparkSession)
     count = max(1, -(-every.count() // BLOCK))
     blocks = every.withColumn("block", F.pmod(F.xxhash64("word"), F.lit(count)))
-    blocks = written(blocks, "blocks")
+    blocks = written(blocks.repartition("block").sortWithinPartitions("block"), "blocks")
     asked = written(asked_by_blocks(blocks), "asked")
     values = learn(train)
     chunks = max(1, -(-values.count() // CHUNK), -(-asked.count() // ASKED))
@@ -270,7 +278,8 @@ def word_nats(every: DataFrame, train: DataFrame, languages: list[str]) -> DataF
 
     def add_up(several: pa.Table, answers: pa.Table) -> pa.Table:
         own = several["word"].to_pylist()
-        codes = ngrams(own)
+        codes, which = once(ngrams(own))
+        asked = hashes_of_orders(codes)
         ends = np.cumsum([len(w) + 1 for w in own])
         starts = np.r_[0, ends[:-1]].astype(np.int64)
         uses = list(zip(answers["lang"].to_pylist(), answers["context"].to_pylist()))
@@ -283,7 +292,7 @@ def word_nats(every: DataFrame, train: DataFrame, languages: list[str]) -> DataF
                 shares = np.concatenate([np.zeros(0), *(answers["values"][i].values.to_numpy() for i in rows)])
                 order = np.argsort(keys)
                 tables.append((keys[order], shares[order]))
-            sums.append(np.add.reduceat(nats_of(codes, *tables), starts) if own else np.zeros(0))
+            sums.append(np.add.reduceat(nats_of(asked, *tables)[which], starts) if own else np.zeros(0))
         flat = np.stack(sums, 1).ravel()
         offsets = pa.array(np.arange(0, len(flat) + 1, len(languages)), pa.int32())
         nats = pa.ListArray.from_arrays(offsets, pa.array(flat))
@@ -331,7 +340,7 @@ def measured(docs: DataFrame, known: DataFrame | None, languages: list[str], mos
             for text in batch["text"].to_pylist():
                 several = words(text)
                 at = [places.get(w, -1) for w in several]
-                sizes.append(sum(map(len, several)) + len(several))
+                sizes.append(len("".join(several)) + len(several))
                 sums.append(values[[i for i in at if i >= 0]].sum(axis=0).tolist())
                 left = Counter(w for w, i in zip(several, at) if i < 0) if of else {}
                 rest.append([word_hash(w) for w in left]), times.append(list(left.values()))
