@@ -27,8 +27,12 @@ def naive_time(time: dt.datetime | None) -> Column:
 
 
 def this_instant() -> dt.datetime:
-    """Now, as wall-clock time in UTC: the bound of an inventory and of the loads after it."""
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    """Now, as wall-clock time in UTC: the bound of an inventory and of the loads after it.
+
+    Whole milliseconds, as file times are, so that a file written from now on is never before it.
+    """
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return now.replace(microsecond=now.microsecond // 1000 * 1000)
 
 
 def _written_before(instant: dt.datetime | None) -> dict[str, str]:

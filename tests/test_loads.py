@@ -122,7 +122,7 @@ def test_a_load_joins_nothing_with_its_inventory(spark, tmp_path, monkeypatch):
     put(tmp_path / "raw/o1", at(2), "a.csv", "k,v,Partitionkey\n1,a,202401\n")
     plans = []
 
-    def keep(df, *args):
+    def keep(df, *args, **options):
         plans.append(df._jdf.queryExecution().analyzed().toString())
 
     monkeypatch.setattr(load, "append_once", keep)
