@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltbed.fixed_values import EXPORT_DESTINATION, INGESTION_PATTERN, PATH, UPSERT_ROLE
-from siltbed.functions.paths import dates_from_path, ingestion_time, path_time
+from siltbed.functions.paths import dates_from_path, ingestion_time, path_time, plain_path
 from siltbed.functions.text import form_answer_values, strip_html
 from siltbed.operators.columns import conform, rename_columns, sanitise_columns
 from siltbed.operators.counts import RowCounts
@@ -33,11 +33,13 @@ from siltbed.plans.catalog import (
 )
 from siltbed.plans.routing import write_curated
 from siltbed.plans.spec import TableSpec
+from siltbed.session import broadcast_if_small
 from siltbed.sinks.jdbc import copy_to_jdbc, write_jdbc
-from siltbed.sinks.lake import Watch, append_standardised, json_table_path, unwatched, write_json_latest
+from siltbed.sinks.lake import FROM_DELTA, Watch, append_standardised, json_table_path, unwatched, write_json_latest
 from siltbed.sinks.ledger import append_once
 from siltbed.sources.files import (
     file_inventory,
+    files_path,
     floor_time,
     listed_files,
     literal_path,
@@ -126,6 +128,7 @@ def load_table(
     timed: bool = False,
     inventory: DataFrame | None = None,
     counts: RowCounts | None = None,
+    batches: DataFrame | None = None,
 ) -> str:
     """Load one table's new raw files; returns the path of its curated table.
 
@@ -136,7 +139,8 @@ def load_table(
     up to the same instant are loaded and no others, without a join. ``glob`` restricts
     file names. If ``inventory`` (``filePath``) has files that are not listed any more, as they
     were written anew, just its files are read by name. ``counts`` are told how many rows are
-    read, appended and written to the curated table, and how many are malformed.
+    read, appended and written to the curated table, and how many are malformed. ``batches``
+    (``filePath``, ``batch``) tell which files come later: an upsert gives the rows of a merge of batch after batch.
 
     Unless told otherwise, a ledger below the root keeps which files were appended to the
     standardised table: a load that is repeated, whole or after a failure, adds none
@@ -202,6 +206,8 @@ def load_table(
     try:
         append(table, f"{zones['standardised']}/{spec.name}", spec.name, options.level, "appended")
         final = cleaned(table, spec)
+        if batches is not None:
+            final = numbered(final, batches)
         write_curated(final, spec, curated, watched("written"))
         if exported and spec.scheme == "Latest":
             # The curated table holds just these rows, so no second window is needed.
@@ -214,6 +220,13 @@ def load_table(
     return curated
 
 
+def numbered(rows: DataFrame, batches: DataFrame) -> DataFrame:
+    """``rows`` with the number of their file's batch, from 1, as an upsert takes it."""
+    last = batches.select(files_path(F.col("filePath")).alias("__file"), "batch").groupBy("__file").agg(F.max("batch").alias("__batch"))
+    rows = rows.join(broadcast_if_small(last), plain_path(F.col(PATH)) == F.col("__file"), "left")
+    return rows.withColumn(FROM_DELTA, F.coalesce(F.col("__batch") + 1, F.lit(1))).drop("__file", "__batch")
+
+
 def _listed(
     spark: SparkSession,
     spec: TableSpec,
@@ -289,9 +302,10 @@ def load_dataset(
     ``counted`` adds ``tables`` to the summary: rows read, appended and written by table, which
     are counted as they pass.
 
-    With ``LoadOptions.batch_bytes`` an upsert loads its files in batches, oldest first, and
-    other tables, which are replaced as a whole, read their raw files again instead of
-    persisting more than that.
+    With ``LoadOptions.batch_bytes`` an upsert loads its files in batches, oldest first: each file
+    has the number of its batch, and one merge over all of them keeps the rows that a merge after
+    each batch would. Batches with a quarantine or an export are loaded one by one. Nothing but such a
+    batch is persisted; tables, and those that are replaced as a whole, read their raw files again instead.
     """
     header = dataset_header(datasets, dataset).first()
     if header is None:
@@ -337,17 +351,24 @@ def load_dataset(
                 own = files.filter(F.col("DataLakePathRaw").isin(list(spec.raw_paths)))
                 glob = f"*.{extension}" if extension and spec.fmt != "json" else None
                 chosen, limit = options, options.batch_bytes
+                dealt = None
                 if limit is not None and _loads_in_batches(spec):
-                    for paths in _batches(own, limit):
+                    dealt = size_batches(own.select("filePath", "fileSize", "ingestionDate"), limit)
+                    # Nothing is persisted: raw text is read again for the append and for the merge.
+                    chosen = replace(options, storage=None)
+                if dealt is not None and (options.quarantine or spec.destination == EXPORT_DESTINATION):
+                    # Malformed rows are persisted and exports follow each other batch by batch.
+                    for paths in _batches(dealt):
                         load_table(spark, spec, root, paths, options=options, before=before, timed=True, counts=counts)
                     continue
-                if limit is not None and (own.agg(F.sum("fileSize")).first()[0] or 0) > limit:
+                if dealt is None and limit is not None and (own.agg(F.sum("fileSize")).first()[0] or 0) > limit:
                     chosen = replace(options, storage=None)
                 roots = raw_roots(spec, root)
                 paths = [p for r in roots for p in raw_subtrees(spark, r, after, until)]
                 load_table(
-                    spark, spec, root, paths, options=chosen, before=before, glob=glob, timed=True, inventory=own, counts=counts
-                )
+                    spark, spec, root, paths, options=chosen, before=before, glob=glob, timed=True, inventory=own, counts=counts,
+                    batches=dealt,
+                )
 
         with ThreadPoolExecutor(max(1, parallel)) as pool:
             list(pool.map(inheritable_thread_target(spark)(run), ready.values()))
@@ -372,9 +393,9 @@ def _loads_in_batches(spec: TableSpec) -> bool:
     return spec.fmt != "json" and spec.role == UPSERT_ROLE and spec.scheme not in ("Latest", "Legacy")
 
 
-def _batches(files: DataFrame, limit: int) -> Iterator[list[str]]:
+def _batches(dealt: DataFrame) -> Iterator[list[str]]:
     """The paths of each batch; the driver holds those of one batch at a time."""
-    dealt = size_batches(files.select("filePath", "fileSize", "ingestionDate"), limit).persist()
+    dealt = dealt.persist()
     try:
         last = dealt.agg(F.max("batch")).first()[0]
         for k in range(0 if last is None else last + 1):

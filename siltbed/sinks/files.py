@@ -16,14 +16,14 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from siltbed.fixed_values import PARTITION_KEY, RECENCY
 from siltbed.operators.columns import format_metadata, quoted
-from siltbed.operators.latest import key_columns, latest_rows
+from siltbed.operators.latest import key_columns
 from siltbed.operators.merge import delta_partitions, touched_partitions
 from siltbed.session import broadcast_if_small
-from siltbed.sinks.lake import FROM_DELTA, Watch, merged, read_table, storable, unwatched, without_key, write_partitioned
+from siltbed.sinks.lake import FROM_DELTA, Watch, merged, newest_of, read_table, storable, unwatched, without_key, write_partitioned
 from siltbed.sources import storage
 from siltbed.sources.files import literal_path
 
@@ -103,12 +103,12 @@ def upsert_files(
     keys = [k for k in keys or () if k != PARTITION_KEY]
     delta = storable(format_metadata(without_key(delta, cols)), cols)
     if not storage.has_data(spark, path):
-        newest = latest_rows(delta, keys, cols, order)
+        newest = newest_of(delta, keys, cols, order)
         replace_files(spark, path, [], lambda staged: _write(watch(newest), staged, cols))
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
-    delta = delta.persist()
+    delta = delta if FROM_DELTA in delta.columns else delta.persist()
     try:
         touched = current
         if cols:
@@ -182,12 +182,15 @@ def compact_small_files(
             return 0
         places = plan.select("place", "pieces").distinct()
         total = places.agg(F.sum("pieces")).first()[0]
+        before = Window.partitionBy(F.lit(0)).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        # One row a folder.
+        places = places.withColumn("__first", F.coalesce(F.sum("pieces").over(before), F.lit(0)))
         rows = read_files(spark, path, old, spark.read.parquet(path).schema)
         placed = rows.withColumn("__place", _folder(F.col("_metadata.file_path")))
         placed = placed.join(broadcast_if_small(places.withColumnRenamed("place", "__place")), "__place")
         # Rows of one folder are dealt over its pieces in turn, each of which one task writes.
         dealt = placed.withColumn("__piece", F.monotonically_increasing_id() % F.col("pieces"))
-        dealt = dealt.repartition(total, "__place", "__piece").select(*[quoted(c) for c in rows.columns])
+        dealt = dealt.repartitionById(total, (F.col("__first") + F.col("__piece")).cast("int")).select(*[quoted(c) for c in rows.columns])
         replace_files(
             spark, path, old, lambda staged: dealt.write.mode("overwrite").partitionBy(*cols).parquet(staged)
         )

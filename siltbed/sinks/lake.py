@@ -139,18 +139,20 @@ def upsert_partitions(
     """Merge ``delta`` into the partitions it touches and rewrite only those.
 
     The newest row wins per key and partition, the delta on a tie, so applying a
-    delta twice changes nothing. A table that does not exist yet is created.
+    delta twice changes nothing. A table that does not exist yet is created. A delta of
+    several batches has their numbers, from 1, in ``FROM_DELTA``: on a tie the later one wins, as if
+    they were merged one by one. Such a delta is read again rather than persisted.
     """
     spark, cols, order = delta.sparkSession, list(partition_cols), list(order)
     keys = [k for k in keys or () if k != PARTITION_KEY]
     delta = storable(format_metadata(without_key(delta, cols)), cols)
     if not storage.has_data(spark, path):
-        write_partitioned(watch(latest_rows(delta, keys, cols, order)), path, cols)
+        write_partitioned(watch(newest_of(delta, keys, cols, order)), path, cols)
         return
     types = {f.name: f.dataType for f in delta.schema if f.name in cols}
     current = read_table(spark, path, types)
     # Read for its partitions and again for the merge.
-    delta = delta.persist()
+    delta = delta if FROM_DELTA in delta.columns else delta.persist()
     try:
         found = delta_partitions(current, delta, cols).collect()
         if found:
@@ -161,12 +163,18 @@ def upsert_partitions(
         delta.unpersist()
 
 
+def newest_of(delta: DataFrame, keys: list[str], extra_keys: list[str], order: list[str]) -> DataFrame:
+    """The newest row of each key of a delta, of its last batch on a tie."""
+    last = [FROM_DELTA] if FROM_DELTA in delta.columns else []
+    return latest_rows(delta, keys, extra_keys, [*order, *last]).drop(*last)
+
+
 def merged(
     current: DataFrame, delta: DataFrame, keys: list[str], extra_keys: list[str], order: list[str]
 ) -> DataFrame:
-    both = union_delta(
-        current.withColumn(FROM_DELTA, F.lit(0)), delta.withColumn(FROM_DELTA, F.lit(1))
-    )
+    if FROM_DELTA not in delta.columns:
+        delta = delta.withColumn(FROM_DELTA, F.lit(1))
+    both = union_delta(current.withColumn(FROM_DELTA, F.lit(0)), delta)
     partition = key_columns(both, keys, extra_keys, skip=[FROM_DELTA, *order])
     return latest_rows(both, partition, order=[*order, FROM_DELTA]).drop(FROM_DELTA)
 

@@ -249,8 +249,13 @@ def literal_path(path: str) -> str:
     return re.sub(r"([*?{}\[\]\\])", r"\\\1", path)
 
 
+def files_path(path: Column) -> Column:
+    """An inventory's ``filePath`` as ``plain_path`` gives it for the rows of that file."""
+    return F.regexp_replace(path, r"^(\w+):///", "$1:/")
+
+
 def rows_of_files(df: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of ``df`` that come from a file in the inventory ``files``."""
     # Readers percent-encode paths, the inventory does not.
-    listed = files.select(F.regexp_replace("filePath", r"^(\w+):///", "$1:/").alias("__file"))
+    listed = files.select(files_path(F.col("filePath")).alias("__file"))
     return df.join(listed, plain_path(F.col(PATH)) == F.col("__file"), "left_semi")

@@ -217,3 +217,25 @@ def test_json_tables_load_by_configuration_alone(spark, tmp_path, monkeypatch):
     assert sent == [(f"{tmp_path}/curated/Organisation/Users", "jdbc:x", "[ext].[users]")]
     with pytest.raises(ValueError, match="export_url"):
         load_configured(spark, DatasetConfig(roots, datasets, tables, columns, extra), "shop", options=LoadOptions(copies={"a": "b"}))
+
+
+def test_batches_share_one_ledger_entry_and_one_merge(spark, tmp_path, monkeypatch):
+    # On a tie the later batch wins, though its value is the smaller one; "z" and "y" share a batch.
+    put(tmp_path / "raw/o1", at(2), "a.csv", "k,v,Partitionkey\n1,x,202401\n")
+    put(tmp_path / "raw/o1", at(2), "b.csv", "k,v,Partitionkey\n1,b,202401\n2,y,202401\n2,z,202401\n")
+    put(tmp_path / "raw/o1", at(1), "c %2B+é.csv", "k,v,Partitionkey\n3,c,202401\n")
+    files = file_inventory(spark, str(tmp_path / "raw/o1")).select("filePath", "fileSize", "ingestionDate")
+    order = {r["filePath"][-5:]: r["batch"] for r in size_batches(files, 1).collect()}
+    later = max("a.csv", "b.csv", key=order.get)
+    merges = []
+    write = load.write_curated
+    monkeypatch.setattr(load, "write_curated", lambda *a: (merges.append(a[2]), write(*a)))
+    datasets, tables, columns = dataset(spark)
+    tables = tables.withColumn("DataLakePathRaw", F.concat(F.lit(f"{tmp_path}/raw/"), "DataLakePathRaw"))
+    for _ in range(2):
+        load_dataset(spark, str(tmp_path), datasets, tables, columns, "shop", options=LoadOptions(batch_bytes=1))
+        rows = spark.read.parquet(f"{tmp_path}/curated/Orders").collect()
+        assert sorted((r["k"], r["v"]) for r in rows) == [("1", {"a.csv": "x", "b.csv": "b"}[later]), ("2", "z"), ("3", "c")]
+        assert "__from_delta" not in rows[0] and stored(spark, tmp_path, "orders") == ["1", "1", "2", "2", "3"]
+    states = [r["state"] for r in ledger.entries(spark, f"{tmp_path}/ledger", "orders").collect()]
+    assert len(merges) == 2 and states.count(ledger.BEGUN) == 3 and states.count(ledger.DONE) == 1
