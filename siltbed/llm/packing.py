@@ -36,7 +36,9 @@ CAPACITY = 2048
 END = 0
 BUCKET_PIECES = 65_536
 #: Parts of texts whose ids a Python worker remembers, and their most characters.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 250_000, 64
+#: Words that the library gets at once, and the last letter of those.
+TOGETHER, LAST_LATIN = 64, "\u024f"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -55,12 +57,15 @@ class Ids(dict):
     """The library's ids of a text between spaces, as little-endian bytes.
 
     Pre-tokens of this tokenizer hold no white space, and normalising changes nothing
-    across a space, so a text's ids are its parts' ids in order.
+    across a space, so a text's ids are its parts' ids in order. A word of letters is one
+    pre-token, whose last id alone ends a word, so new words are encoded many at a time.
     """
 
     def __init__(self, model: str):
         super().__init__()
         self.library = library(model)
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self[""] = b""
 
     def __missing__(self, part: str) -> bytes:
@@ -81,9 +86,37 @@ class Ids(dict):
     def of_library(self, part: str) -> bytes:
         return np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def learn(self, parts: list[str]) -> list[str]:
+        """Add the words of letters among ``parts`` and before a sign; returns them."""
+        words = set()
+        for part in parts:
+            word = part.lower() if part.isascii() else part
+            word = word[:-1] if word[-1] in ".,;:!?" else word
+            if word.isalpha() and len(word) <= LONGEST and word not in self:
+                # Beyond Latin letters the library may class characters otherwise than Python.
+                if word.isascii() or max(word) <= LAST_LATIN and normalized(word).isalpha():
+                    words.add(word)
+        words = list(words)
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                whole, places = ids.tobytes(), (4 * ends).tolist()
+                self.update(zip(some, (whole[a:b] for a, b in zip([0, *places], places))))
+            else:
+                self.update((word, self.of_library(word)) for word in some)
+        return words
+
     def of_text(self, text: str | None) -> bytes:
         parts = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, parts))
+        full = len(self) >= REMEMBERED
+        learnt = self.learn([p for p in set(parts) if p not in self])
+        ids = b"".join(map(self.__getitem__, parts))
+        if full:
+            for word in learnt:
+                del self[word]
+        return ids
 
 
 @functools.cache
