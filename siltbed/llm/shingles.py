@@ -28,7 +28,7 @@ five words have one shingle; null and empty texts and white space have the same
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -326,9 +326,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def shared_keys(own: DataFrame) -> DataFrame:
     """key and node, for keys that several sets have; of keys with the same sets only one."""
-    each = own.select(F.explode("keys").alias("key"), "node")
-    within = Window.partitionBy("key")
-    met = each.withColumn("n", F.count(F.lit(1)).over(within)).filter("n > 1").select("key", "node").distinct()
+    each = own.select(F.explode("keys").alias("key"), "node", "size")
+    # Sets are only similar if their sizes are, so one without a neighbour in size under its key is not kept.
+    within = Window.partitionBy("key").orderBy("size")
+    near = (WHOLE * F.lag("size").over(within) >= PART * F.col("size")) | (WHOLE * F.col("size") >= PART * F.lead("size").over(within))
+    met = each.withColumn("near", F.coalesce(near, F.lit(False))).filter("near").select("key", "node").distinct()
     met = written(met, "met")
     # Sums of two 31-bit hashes and the number of sets tell sets of sets apart.
     alike = [F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit((1 << 31) - 1))).alias(f"sum_{i}") for i in (0, 1)]
@@ -337,10 +339,14 @@ def shared_keys(own: DataFrame) -> DataFrame:
     return met.join(kept, "key")
 
 
-def similar_groups(docs: DataFrame, chunk: int = CHUNK, total: int = CHUNK_SIZE) -> DataFrame:
+def similar_groups(
+    docs: DataFrame, chunk: int = CHUNK, total: int = CHUNK_SIZE, propose: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """``docs`` (doc_id, text, __hash) without text, with ``part``, a long for each group.
 
-    Rows alike in doc_id and __hash have the same text.
+    Rows alike in doc_id and __hash have the same text. ``propose`` gives the first pairs ``a``, ``b`` of
+    rows' structs of doc_id and __hash (``k_id``, ``k_hash``); those whose whole sets are similar join them,
+    and the keys are looked at for the rest.
     """
     own = written(sketched(docs, *common_shingles(docs)), "sketches")
     members = written(shared_keys(own), "members")
@@ -350,27 +356,43 @@ def similar_groups(docs: DataFrame, chunk: int = CHUNK, total: int = CHUNK_SIZE)
     known = known.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shared")], F.min("row").alias("row"))
     known = written(known.withColumnRenamed("shared", "keys"), "known")
 
-    def by_key(placed: DataFrame) -> DataFrame:
+    def by_key(parts: DataFrame | None) -> DataFrame:
         """Members of keys with several components, with all that is needed to compare them."""
-        sized = placed.join(known.select("node", "size"), "node")
-        open_ = sized.groupBy("key").agg(
+        # Joined set by set, before a row is made for each key.
+        each = known.select("node", "size", "keys")
+        each = each.withColumn("of", F.lit(None).cast("long")) if parts is None else each.join(parts, "node", "left")
+        placed = each.select(F.explode("keys").alias("key"), "node", "size", F.coalesce("of", "node").alias("part"))
+        placed = written(placed, "placed")
+        open_ = placed.groupBy("key").agg(
             F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")
         )
         open_ = written(open_.filter("low < high").select("key", "n", "total"), "open")
-        return placed.join(open_, "key").join(known.drop("row"), "node")
+        return placed.drop("size").join(open_, "key").join(known.drop("row"), "node")
 
     def in_components(edges: DataFrame) -> DataFrame:
         parts = connected_components(edges)
         return written(parts.withColumnRenamed("component", "of"), "parts")
 
-    pairs = written(proposed(by_key(members.withColumn("part", F.col("node"))), chunk, total), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    edges = written(verified(pairs, written(sets_of_nodes(docs, known, nodes), "sets")), "similar")
+    def similar_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return written(verified(pairs, written(sets_of_nodes(docs, known_rows, nodes), "sets")), "similar")
+
+    every = own.select("node", row.alias("row"))
+    known_rows = written(every.groupBy("node").agg(F.min("row").alias("row")), "rows")
+    edges, parts = None, None
+    if propose is not None:
+        first = propose(docs)
+        one, two = (every.select(F.col("row").alias(x), F.col("node").alias(f"node_{x}")) for x in "ab")
+        first = first.join(one.distinct(), "a").join(two.distinct(), "b")
+        first = first.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).filter("a != b").distinct()
+        edges = similar_of(written(first, "pairs"))
+        parts = in_components(edges)
+    more = similar_of(written(proposed(by_key(parts), chunk, total), "pairs"))
+    edges = more if edges is None else edges.unionByName(more)
     parts = in_components(edges)
 
-    placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("of", "node")).drop("of")
-    rest = written(left_over(by_key(written(placed, "placed")), chunk, total), "left_over")
-    sets = written(sets_of_nodes(docs, known, rest.select("node").distinct()), "sets")
+    rest = written(left_over(by_key(parts), chunk, total), "left_over")
+    sets = written(sets_of_nodes(docs, known_rows, rest.select("node").distinct()), "sets")
     more = written(compared(rest.join(sets, "node")), "similar")
     if more.limit(1).count():
         parts = in_components(edges.unionByName(more))

@@ -16,8 +16,9 @@ chunks by hash and every two chunks are compared in a task of their own. A task
 a spanning forest of its links (at most one edge for each of its fingerprints), never
 all pairs of a group; connected components join the forests.
 
-``drop_near_duplicates``, the stage, goes by the similarity of whole shingle sets instead; see
-``shingles``.
+``drop_near_duplicates``, the stage, proposes by the same fingerprints, anchors and forests, and verifies each
+link by the whole shingle sets (a similarity of 0.8). So few bits don't show all similar texts, and an exact
+way finds the rest; see ``shingles``.
 
 Null and empty texts, and texts of white space, have fingerprint zero and link like any
 others. Rows without an id don't name a component, but do link. Repeated rows get the
@@ -221,6 +222,23 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def anchored_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of rows (structs of doc_id and __hash) to verify, from doc_id, text and __hash.
+
+    The links between fingerprints, each shown by the least row that has it, and that row with each other one.
+    """
+    own = fingerprints(docs).withColumn("row", F.struct(F.col("doc_id").alias("k_id"), F.col("__hash").alias("k_hash")))
+    own = written(own.select("row", "node", "fingerprint", "second"), "fingerprints")
+    prints = own.groupBy("node", "fingerprint", "second").agg(F.min("row").alias("least"), F.max("row").alias("last"))
+    prints = written(prints, "distinct")
+    one, two = (prints.select(F.col("node").alias(f"node_{x}"), F.col("least").alias(x)) for x in "ab")
+    edges = links(prints.select("fingerprint", "second"))
+    linked = edges.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(one, "node_a").join(two, "node_b")
+    several = prints.filter("least != last").select("node", F.col("least").alias("a"))
+    alike = own.select("node", F.col("row").alias("b")).join(several, "node").filter("a != b")
+    return linked.select("a", "b").unionByName(alike.select("a", "b"))
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component of similar texts stays, the one with the smallest id, with all columns.
 
@@ -232,7 +250,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     rows = rows.withColumn("__hash", F.xxhash64(*names.values()))
     narrow = rows.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), "__hash")
-    found = similar_groups(narrow)
+    found = similar_groups(narrow, propose=anchored_pairs)
     # The smallest id names the component; without any id the hash of all columns does.
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
     found = found.withColumn("key", key).select("part", "key")
