@@ -230,20 +230,17 @@ def test_new_words_reach_the_tokenizer_together():
 
 
 def test_near_stage_proposes_by_fingerprint_anchors(spark, monkeypatch):
-    pairs = pairs_from(11, 0.95, 1, 20)
-    rows = [(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)] + [(90, None), (91, " "), (None, "")]
+    pairs = pairs_from(11, 0.97, 1, 20)
+    rows = [(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)] + [(90, None), (91, " ")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    proposed = []
-
-    def seen(narrow):
-        found = simhash.links(simhash.fingerprints(narrow).select("fingerprint", "second").distinct())
-        proposed.append(found.count())
-        return anchored(narrow)
-
-    anchored = simhash.anchored_pairs
-    monkeypatch.setattr(simhash, "anchored_pairs", seen)
-    kept = simhash.drop_near_duplicates(docs).collect()
-    assert sorted(r["doc_id"] for r in kept) == [*range(0, 40, 2), 90] and proposed[0] >= 10
-    narrow = docs.withColumn("__hash", docs["doc_id"])
-    told = {(r["a"]["k_id"], r["b"]["k_id"]) for r in anchored(narrow).collect()}
-    assert len(told) == proposed[0] + 2 and all(a is None or a // 2 == b // 2 or a >= 90 for a, b in told)
+    seen = []
+
+    def groups(narrow, propose):
+        seen.extend((r["a"]["k_id"], r["b"]["k_id"]) for r in propose(narrow).collect())
+        return narrow.select("doc_id", "__hash", narrow["doc_id"].alias("part"))
+
+    monkeypatch.setattr(simhash, "similar_groups", groups)
+    assert simhash.drop_near_duplicates(docs).count() == 42
+    prints = {i: simhash.fingerprint(t) for i, t in rows}
+    near = {(i, i + 1) for i in range(0, 40, 2) if (prints[i] ^ prints[i + 1]).bit_count() <= simhash.MAX_BITS}
+    assert len(near) >= 10 and {tuple(sorted(p)) for p in seen} == near | {(90, 91)}
