@@ -26,10 +26,11 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from siltbed.llm.common import batches_of, map_batches, ship_package, written
+from siltbed.llm.common import map_batches, ship_package, sized_batches, written
 
 MODEL = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -37,6 +38,8 @@ END = 0
 BUCKET_PIECES = 65_536
 #: Parts of texts whose ids a Python worker remembers, and their most characters.
 REMEMBERED, LONGEST = 500_000, 64
+#: Bytes of texts whose parts are looked up together.
+BATCH_BYTES = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -82,8 +85,23 @@ class Ids(dict):
         return np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def of_text(self, text: str | None) -> bytes:
-        parts = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, parts))
+        return self.of_texts(pa.array([text], pa.string()))[0]
+
+    def of_texts(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids; a part that comes several times among the texts is looked up once."""
+        texts = pa.compute.replace_substring(pa.compute.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        parts = pa.compute.split_pattern(texts, " ")
+        coded = parts.flatten().dictionary_encode()
+        distinct = list(map(self.__getitem__, coded.dictionary.to_pylist()))
+        lengths = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+        pool, starts = np.frombuffer(b"".join(distinct), "<u4"), np.cumsum(lengths) - lengths
+        which = coded.indices.to_numpy()
+        own = lengths[which]
+        ends = np.cumsum(own)
+        ids = pool[np.repeat(starts[which] - (ends - own), own) + np.arange(own.sum())]
+        # Each text has one part at least.
+        ends = ends[np.cumsum(parts.value_lengths().to_numpy()) - 1].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
 
 
 @functools.cache
@@ -97,10 +115,10 @@ def pieces(docs: DataFrame, model: str = MODEL, capacity: int = CAPACITY, ids: b
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = remembered(model), np.array([END], "<u4").tobytes()
-        for batch in batches_of(batches, 256):
+        for batch in sized_batches(batches, "text", BATCH_BYTES):
             out: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                whole = known.of_text(text) + end
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), known.of_texts(batch["text"])):
+                whole = own + end
                 for n, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     row = (doc_id, n, at // 4, len(part) // 4, zlib.crc32(part))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -226,3 +227,22 @@ def test_near_stage_proposes_by_fingerprint_anchors(spark, monkeypatch):
     prints = {i: simhash.fingerprint(t) for i, t in rows}
     near = {(i, i + 1) for i in range(0, 40, 2) if (prints[i] ^ prints[i + 1]).bit_count() <= simhash.MAX_BITS}
     assert len(near) >= 10 and {tuple(sorted(p)) for p in seen} == near | {(90, 91)}
+
+
+def test_texts_tokenised_together_have_the_librarys_ids():
+    looked_up = []
+
+    class Counted(packing.Ids):
+        def __getitem__(self, part):
+            looked_up.append(part)
+            return super().__getitem__(part)
+
+    texts = ["the cat, the cat\nthe  CAT!!", None, "", " ", "naïve cat the é", "the<|endoftext|> 12 the"] * 3
+    library = packing.library(packing.MODEL)
+    known = Counted(packing.MODEL)
+    looked_up.clear()
+    found = known.of_texts(pa.array(texts, pa.string()))
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(own, "<u4").tolist() for own in found] == expected
+    assert looked_up.count("the") == 1
+    assert known.of_texts(pa.array([], pa.string())) == []
