@@ -17,6 +17,9 @@ from siltbed.sources import storage
 
 _SHIPPED: set[str] = set()
 
+#: Narrow rows (a few numbers) that one task writes.
+ROWS_A_FILE = 1 << 17
+
 #: Characters of ``[\x20\x09-\x0D]``.
 WHITE_SPACE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
@@ -30,9 +33,15 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*columns)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives executors."""
+def written(df: DataFrame, name: str, most: int | None = None, each: int = ROWS_A_FILE) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives executors.
+
+    If it has ``most`` rows at most, it gets a file for every ``each`` of these: however many partitions
+    the session shuffles to, few rows don't become many files, each made by a task of its own.
+    """
     path = scratch_path(df.sparkSession, name)
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // each)))
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_path = path

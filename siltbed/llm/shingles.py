@@ -49,6 +49,8 @@ CHUNK, CHUNK_SIZE = 1024, 1 << 20
 #: Rows of documents are picked by this many hashes first, so that few texts are shuffled.
 PICKED = 1 << 20
 BATCH_BYTES = 4 << 20
+#: Whole sets that one task writes.
+SETS_A_FILE = 1 << 13
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -308,7 +310,7 @@ def compared(rows: DataFrame) -> DataFrame:
 
 def sets_of_nodes(docs: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and set of some nodes. Texts that can't be one of theirs are left out before any shuffle."""
-    wanted = written(known.join(nodes, "node").select("node", "row.k_id", "row.k_hash"), "wanted")
+    wanted = written(known.join(nodes, "node").select("node", "row.k_id", "row.k_hash"), "wanted", known.count())
     pick = F.pmod(F.xxhash64("k_hash"), F.lit(PICKED)).alias("pick")
     picks = F.broadcast(wanted.select(pick).distinct())  # PICKED rows at most
     some = docs.withColumn("pick", F.pmod(F.xxhash64("__hash"), F.lit(PICKED))).join(picks, "pick", "left_semi")
@@ -335,7 +337,8 @@ def shared_keys(own: DataFrame) -> DataFrame:
     # Sums of two 31-bit hashes and the number of sets tell sets of sets apart.
     alike = [F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit((1 << 31) - 1))).alias(f"sum_{i}") for i in (0, 1)]
     groups = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *alike).filter("n > 1")
-    kept = written(groups.groupBy("n", "sum_0", "sum_1").agg(F.min("key").alias("key")).select("key"), "kept_keys")
+    groups = groups.groupBy("n", "sum_0", "sum_1").agg(F.min("key").alias("key"))
+    kept = written(groups.select("key"), "kept_keys", met.count())
     return met.join(kept, "key")
 
 
@@ -350,6 +353,7 @@ def similar_groups(
     """
     own = written(sketched(docs, *common_shingles(docs)), "sketches")
     members = written(shared_keys(own), "members")
+    most = members.count()  # a row for each key of a set
     row = F.struct(F.col("doc_id").alias("k_id"), F.col("__hash").alias("k_hash"))
     keys = members.groupBy("node").agg(F.collect_list("key").alias("shared"))
     known = own.select("node", "size", "sketch", row.alias("row")).join(keys, "node")
@@ -362,23 +366,24 @@ def similar_groups(
         each = known.select("node", "size", "keys")
         each = each.withColumn("of", F.lit(None).cast("long")) if parts is None else each.join(parts, "node", "left")
         placed = each.select(F.explode("keys").alias("key"), "node", "size", F.coalesce("of", "node").alias("part"))
-        placed = written(placed, "placed")
+        placed = written(placed, "placed", most)
         open_ = placed.groupBy("key").agg(
             F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")
         )
-        open_ = written(open_.filter("low < high").select("key", "n", "total"), "open")
+        open_ = written(open_.filter("low < high").select("key", "n", "total"), "open", most)
         return placed.drop("size").join(open_, "key").join(known.drop("row"), "node")
 
     def in_components(edges: DataFrame) -> DataFrame:
         parts = connected_components(edges)
-        return written(parts.withColumnRenamed("component", "of"), "parts")
+        return written(parts.withColumnRenamed("component", "of"), "parts", texts)
 
     def similar_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return written(verified(pairs, written(sets_of_nodes(docs, known_rows, nodes), "sets")), "similar")
+        sets = written(sets_of_nodes(docs, known_rows, nodes), "sets", min(texts, 2 * pairs.count()), SETS_A_FILE)
+        return written(verified(pairs, sets), "similar", pairs.count(), SETS_A_FILE)
 
-    every = own.select("node", row.alias("row"))
-    known_rows = written(every.groupBy("node").agg(F.min("row").alias("row")), "rows")
+    every, texts = own.select("node", row.alias("row")), own.count()
+    known_rows = written(every.groupBy("node").agg(F.min("row").alias("row")), "rows", texts)
     edges, parts = None, None
     if propose is not None:
         first = propose(docs)
@@ -392,7 +397,7 @@ def similar_groups(
     parts = in_components(edges)
 
     rest = written(left_over(by_key(parts), chunk, total), "left_over")
-    sets = written(sets_of_nodes(docs, known_rows, rest.select("node").distinct()), "sets")
+    sets = written(sets_of_nodes(docs, known_rows, rest.select("node").distinct()), "sets", min(texts, rest.count()), SETS_A_FILE)
     more = written(compared(rest.join(sets, "node")), "similar")
     if more.limit(1).count():
         parts = in_components(edges.unionByName(more))

@@ -202,17 +202,17 @@ def links(prints: DataFrame, bits: int = MAX_BITS, both: int = 2 * 64, chunk: in
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """Each document's columns but ``text``, fingerprint (long), part (a long), component_id."""
     own = written(fingerprints(docs), "fingerprints")
-    prints = own.groupBy("node", "fingerprint", "second").agg(F.min("doc_id").alias("first_id"))
-    prints = written(prints, "distinct")
+    prints, most = own.groupBy("node", "fingerprint", "second").agg(F.min("doc_id").alias("first_id")), own.count()
+    prints = written(prints, "distinct", most)
     edges = links(prints.select("fingerprint", "second"), bits)
     parts = connected_components(edges).withColumnRenamed("node", "of")
     # Nodes without links are components of their own.
     linked = prints.join(parts, prints["node"] == parts["of"], "left")
-    linked = written(linked.select("node", "first_id", F.coalesce("component", "node").alias("part")), "parts")
+    linked = written(linked.select("node", "first_id", F.coalesce("component", "node").alias("part")), "parts", most)
     # Both sides of these joins are written, so that a component with very many fingerprints,
     # or a fingerprint with very many documents, is a hot key Spark splits.
-    least = written(linked.groupBy("part").agg(F.min("first_id").alias("component_id")), "least")
-    first = written(linked.join(least, "part").select("node", "part", "component_id"), "components")
+    least = written(linked.groupBy("part").agg(F.min("first_id").alias("component_id")), "least", most)
+    first = written(linked.join(least, "part").select("node", "part", "component_id"), "components", most)
     return own.join(first, "node").drop("node", "second")
 
 
@@ -230,7 +230,7 @@ def anchored_pairs(docs: DataFrame) -> DataFrame:
     own = fingerprints(docs).withColumn("row", F.struct(F.col("doc_id").alias("k_id"), F.col("__hash").alias("k_hash")))
     own = written(own.select("row", "node", "fingerprint", "second"), "fingerprints")
     prints = own.groupBy("node", "fingerprint", "second").agg(F.min("row").alias("least"), F.max("row").alias("last"))
-    prints = written(prints, "distinct")
+    prints = written(prints, "distinct", own.count())
     one, two = (prints.select(F.col("node").alias(f"node_{x}"), F.col("least").alias(x)) for x in "ab")
     edges = links(prints.select("fingerprint", "second"))
     linked = edges.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(one, "node_a").join(two, "node_b")
@@ -253,19 +253,20 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     found = similar_groups(narrow, propose=anchored_pairs)
     # The smallest id names the component; without any id the hash of all columns does.
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash")
-    found = found.withColumn("key", key).select("part", "key")
-    first = written(found.groupBy("part").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "first")
-    grouped = written(found.join(first, "part").withColumn("same", F.col("key") == F.col("first")), "grouped")
+    found, most = found.withColumn("key", key).select("part", "key"), docs.count()
+    first = found.groupBy("part").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = written(first, "first", most)
+    grouped = written(found.join(first, "part").withColumn("same", F.col("key") == F.col("first")), "grouped", most)
 
     def matched(keys: DataFrame, how: str, of: DataFrame) -> DataFrame:
         keys = keys.select(F.col("key.doc_id").alias("k_id"), F.col("key.__hash").alias("k_hash")).distinct()
         on = F.col(names["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("__hash") == F.col("k_hash"))
-        return of.join(written(keys, "keys"), on, how)
+        return of.join(written(keys, "keys", most), on, how)
 
     kept = matched(grouped.filter("not same"), "left_anti", rows)
     alike = grouped.filter("same").groupBy("part", "key").count().filter("count > 1")
     if alike.limit(1).count():
-        alike = written(alike, "alike")
+        alike = written(alike, "alike", most)
         once = matched(alike, "left_semi", kept).dropDuplicates(["__hash", names["doc_id"]])
         kept = matched(alike, "left_anti", kept).unionByName(once)
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -8,7 +8,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from siltbed.llm import packing, pii, repeats, shingles, simhash
+from siltbed.llm import components, packing, pii, repeats, shingles, simhash
+from siltbed.llm.common import written
 
 
 def words_of(text):
@@ -246,3 +247,32 @@ def test_texts_tokenised_together_have_the_librarys_ids():
     assert [np.frombuffer(own, "<u4").tolist() for own in found] == expected
     assert looked_up.count("the") == 1
     assert known.of_texts(pa.array([], pa.string())) == []
+
+
+def test_few_edges_get_few_files(spark, monkeypatch):
+    files = []
+
+    def noted(df, name, *args):
+        out = written(df, name, *args)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "written", noted)
+    names = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, value in names.items():
+            spark.conf.set(n, value)
+        edges = spark.range(500).selectExpr("id a", "id + 1 + int(id % 100 = 99) * 1000 b")
+        found = components.connected_components(edges).groupBy("component").count().collect()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert sorted(r["component"] for r in found) == [0, 100, 200, 300, 400]
+    assert len(files) > 4 and set(files[1:]) == {1}
+
+
+def test_written_tables_grow_with_their_rows(spark):
+    df = spark.range(1000).repartition(8)
+    assert len(written(df, "grown", 1000, 300).inputFiles()) == 4
+    assert len(written(df, "grown", 10**9).inputFiles()) == 8 and written(df, "grown", 0).count() == 1000
