@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
@@ -16,6 +17,7 @@ from siltbed.session import scratch_path
 from siltbed.sources import storage
 
 _SHIPPED: set[str] = set()
+_LARGE: list = []
 
 #: Narrow rows (a few numbers) that one task writes.
 ROWS_A_FILE = 1 << 17
@@ -64,10 +66,40 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+def large_cache(function: Callable) -> Callable:
+    """``functools.cache`` for what a Python worker keeps between tasks of one module only."""
+    cached = functools.cache(function)
+    _LARGE.append(cached)
+    return cached
+
+
+def clear_caches(module: str) -> None:
+    """Forget the large caches of all modules but this one."""
+    for cached in _LARGE:
+        if cached.__module__ != module and cached.cache_info().currsize:
+            cached.cache_clear()
+
+
+def release_memory() -> None:
+    """Give memory that Arrow holds for later use back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand."""
+    """``mapInArrow`` with this package at hand.
+
+    Spark goes on with a task's Python worker in later stages and jobs, so a task first drops the large
+    caches of other modules, and at its end gives back what Arrow no longer uses.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    module = function.__module__
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_caches(module)
+        yield from function(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def crc32_of_id(column: str = "doc_id") -> Column:

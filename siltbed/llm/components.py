@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from siltbed.llm.common import written
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for edges of two longs ``a``, ``b``.
 
     Large stars link a node's larger neighbours to its smallest one, small stars the
     smaller ones; what is left are stars around the smallest nodes. Each round is
     written, so a lost executor costs one round; its edges are counted, so that a few
-    get few files. Minima are combined before they
+    get few files, the first ones too if ``most``, a bound on the edges, is known. Minima are combined before they
     shuffle, and a hub's edges are joined to its minimum by a join that Spark can split.
     Loops and repeated edges do no harm; nodes without edges don't appear.
     """
-    now, mark = written(_oriented(edges), "edges"), None
+    now, mark = written(_oriented(edges), "edges", most), None
     while True:
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:

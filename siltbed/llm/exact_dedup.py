@@ -81,8 +81,9 @@ def mark_repeats(rows: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     ``rows`` is read three times; write it first if that is dear.
     """
-    words = filter_words(rows.count())
-    repeats = written(repeat_filter(rows, words), "repeats")
+    most = rows.count()
+    words = filter_words(most)
+    repeats = written(repeat_filter(rows, words), "repeats", min(most, words))
     tested = _with_code(rows, words).join(F.broadcast(repeats), WORD, "left")
     hit = F.coalesce(F.col(BITS), F.lit(0)).bitwiseAND(F.col(MASK)) == F.col(MASK)
     tested = tested.withColumn("__hit", hit).drop(WORD, MASK, BITS)
@@ -106,7 +107,7 @@ def mark_repeats(rows: DataFrame, id_column: str = "doc_id") -> DataFrame:
         "group_size",
     )
     # Written, so that both sides of the join are plain shuffles whose hot keys Spark splits.
-    compared = maybe.join(written(best, "groups"), DIGEST)
+    compared = maybe.join(written(best, "groups", maybe.count()), DIGEST)
     compared = compared.withColumn("kept", F.col(ROW) == F.col("__best_row")).drop(ROW, "__best_row")
     return unique.unionByName(compared)
 

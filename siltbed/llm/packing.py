@@ -17,7 +17,6 @@ packed each. An empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
-import functools
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -30,7 +29,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 import tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from siltbed.llm.common import map_batches, ship_package, sized_batches, written
+from siltbed.llm.common import large_cache, map_batches, ship_package, sized_batches, written
 
 MODEL = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -44,7 +43,7 @@ BATCH_BYTES = 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-@functools.cache
+@large_cache
 def library(model: str) -> tokenizers.Tokenizer:
     return tokenizers.Tokenizer.from_file(public_tokenizers.path(model))
 
@@ -104,9 +103,9 @@ class Ids(dict):
         return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
 
 
-@functools.cache
+@large_cache
 def remembered(model: str) -> Ids:
-    """What this Python worker knows; later tasks in the same worker go on with it."""
+    """What this Python worker knows; later tasks of this module in the same worker go on with it."""
     return Ids(model)
 
 

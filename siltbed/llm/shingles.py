@@ -333,7 +333,7 @@ def shared_keys(own: DataFrame) -> DataFrame:
     within = Window.partitionBy("key").orderBy("size")
     near = (WHOLE * F.lag("size").over(within) >= PART * F.col("size")) | (WHOLE * F.col("size") >= PART * F.lead("size").over(within))
     met = each.withColumn("near", F.coalesce(near, F.lit(False))).filter("near").select("key", "node").distinct()
-    met = written(met, "met")
+    met = written(met, "met", own.agg(F.sum(F.size("keys"))).first()[0] or 0)
     # Sums of two 31-bit hashes and the number of sets tell sets of sets apart.
     alike = [F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit((1 << 31) - 1))).alias(f"sum_{i}") for i in (0, 1)]
     groups = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *alike).filter("n > 1")
@@ -358,7 +358,7 @@ def similar_groups(
     keys = members.groupBy("node").agg(F.collect_list("key").alias("shared"))
     known = own.select("node", "size", "sketch", row.alias("row")).join(keys, "node")
     known = known.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shared")], F.min("row").alias("row"))
-    known = written(known.withColumnRenamed("shared", "keys"), "known")
+    known = written(known.withColumnRenamed("shared", "keys"), "known", own.count(), SETS_A_FILE)
 
     def by_key(parts: DataFrame | None) -> DataFrame:
         """Members of keys with several components, with all that is needed to compare them."""
@@ -374,7 +374,8 @@ def similar_groups(
         return placed.drop("size").join(open_, "key").join(known.drop("row"), "node")
 
     def in_components(edges: DataFrame) -> DataFrame:
-        parts = connected_components(edges)
+        # Edges are read from tables written before, so that counting them costs little.
+        parts = connected_components(edges, edges.count())
         return written(parts.withColumnRenamed("component", "of"), "parts", texts)
 
     def similar_of(pairs: DataFrame) -> DataFrame:

@@ -157,7 +157,8 @@ def training_labels(labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """doc_id and toxic of a share of the labelled ids, about ``rows`` at most."""
     known = labels.filter("toxic is not null and doc_id is not null")
     known = known.filter(crc32_of_id() % HELD_OUT_OF != 0)
-    known = written(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
+    most = known.count()
+    known = written(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels", most)
     share = int(min(1.0, rows / max(1, known.count())) * (1 << 30))
     return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
 

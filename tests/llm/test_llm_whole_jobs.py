@@ -8,8 +8,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from siltbed.llm import components, packing, pii, repeats, shingles, simhash
-from siltbed.llm.common import written
+from siltbed.llm import components, exact_dedup, packing, pii, repeats, shingles, simhash, toxicity
+from siltbed.llm.common import map_batches, written
 
 
 def words_of(text):
@@ -276,3 +276,46 @@ def test_written_tables_grow_with_their_rows(spark):
     df = spark.range(1000).repartition(8)
     assert len(written(df, "grown", 1000, 300).inputFiles()) == 4
     assert len(written(df, "grown", 10**9).inputFiles()) == 8 and written(df, "grown", 0).count() == 1000
+
+
+def test_python_workers_keep_large_caches_for_one_module_only(spark):
+    docs = spark.range(400).selectExpr("id doc_id", "'some words ' || id text").repartition(8)
+    assert packing.pieces(docs).count() == 400
+
+    def look(batches):
+        for batch in batches:
+            held = [packing.remembered.cache_info().currsize, packing.library.cache_info().currsize]
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in held], ["texts", "libraries"])
+
+    found = map_batches(docs, look, "texts long, libraries long").collect()
+    assert len(found) >= 8 and {tuple(r) for r in found} == {(0, 0)}
+    look.__module__ = packing.__name__
+    assert packing.pieces(docs).count() == 400
+    assert {tuple(r) for r in map_batches(docs, look, "texts long, libraries long").collect()} == {(1, 1)}
+
+
+def test_small_tables_of_the_first_stages_get_few_files(spark, monkeypatch):
+    files = {}
+
+    def noted(df, name, *args):
+        out = written(df, name, *args)
+        files.setdefault(name, len(out.inputFiles()))
+        return out
+
+    for module in (components, exact_dedup, shingles, toxicity):
+        monkeypatch.setattr(module, "written", noted)
+    names = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, value in names.items():
+            spark.conf.set(n, value)
+        docs = spark.range(60).selectExpr("id doc_id", "array_join(sequence(id % 20, 30 + id % 20), ' ') text")
+        labels = docs.selectExpr("doc_id", "int(doc_id % 2) toxic")
+        assert toxicity.training_labels(labels).count() > 0
+        assert exact_dedup.drop_repeats(docs).count() == 20
+        rows = docs.withColumn("__hash", F.xxhash64("doc_id", "text"))
+        assert shingles.similar_groups(rows).count() == 60
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert {files[n] for n in ("labels", "repeats", "groups", "met", "known", "edges")} == {1}
