@@ -8,7 +8,9 @@ meet. How often shingles occur is counted in all documents, but a task
 only tells those that ``OFTEN`` of its ``COUNTED`` shingles repeat, and the ``COMMON`` most frequent come last:
 the counts decide how much is compared, never what is found.
 
-Keys with the same sets are one key. Two sets are looked at under the least of the keys that they share, and only
+Keys with the same sets are one key, and so are keys with the same least set if the sets of all of them make no more
+pairs than the keys did one by one: a crowd of long texts shares hundreds of keys, with other sets each. Two
+sets are looked at under the least of the keys that they share, and only
 there. They are compared by a byte of each of ``HASHES`` minimum hashes, and are likely if
 they agree in ``LEAST_SAME`` of them or more. A pair at exactly 0.8 agrees in less with a
 probability of about 1 in 5 million, pairs above it still less often.
@@ -35,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siltbed.llm.common import map_batches, sized_batches, sorted_groups, written
+from siltbed.llm.common import map_batches, removed, sized_batches, sorted_groups, written
 from siltbed.llm.components import connected_components
 
 WORDS, SEED = 5, 43
@@ -326,8 +328,23 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").filter(similar(F.col("one"), F.col("two"))).select("a", "b")
 
 
+def joined_keys(members: DataFrame) -> DataFrame:
+    """key and node, with keys of the same least node as one, from key, node, n (nodes of the key) and least.
+
+    The nodes of two sets with a common key still have one. Keys are joined where that makes no more pairs of nodes
+    than they have one by one, so a node whose keys have little else in common joins nothing.
+    """
+    nodes = members.select("least", "node").distinct().groupBy("least").agg(F.count(F.lit(1)).alias("nodes"))
+    keys = members.select("key", "n", "least").distinct().groupBy("least")
+    # As doubles: squares of counts don't overflow.
+    keys = keys.agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.min("key").alias("joined"))
+    fewer = nodes.join(keys, "least").filter(F.col("nodes").cast("double") * F.col("nodes") <= F.col("pairs"))
+    fewer = written(fewer.select("least", "joined"), "joined_keys", members.count())
+    return members.join(fewer, "least", "left").select(F.coalesce("joined", "key").alias("key"), "node").distinct()
+
+
 def shared_keys(own: DataFrame) -> DataFrame:
-    """key and node, for keys that several sets have; of keys with the same sets only one."""
+    """key and node, for keys that several sets have; of keys with the same sets, and of many with alike ones, only one."""
     each = own.select(F.explode("keys").alias("key"), "node", "size")
     # Sets are only similar if their sizes are, so one without a neighbour in size under its key is not kept.
     within = Window.partitionBy("key").orderBy("size")
@@ -336,10 +353,14 @@ def shared_keys(own: DataFrame) -> DataFrame:
     met = written(met, "met", own.agg(F.sum(F.size("keys"))).first()[0] or 0)
     # Sums of two 31-bit hashes and the number of sets tell sets of sets apart.
     alike = [F.sum(F.pmod(F.xxhash64("node", F.lit(i)), F.lit((1 << 31) - 1))).alias(f"sum_{i}") for i in (0, 1)]
-    groups = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *alike).filter("n > 1")
-    groups = groups.groupBy("n", "sum_0", "sum_1").agg(F.min("key").alias("key"))
-    kept = written(groups.select("key"), "kept_keys", met.count())
-    return met.join(kept, "key")
+    groups = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"), *alike).filter("n > 1")
+    groups = groups.groupBy("n", "sum_0", "sum_1").agg(F.min("key").alias("key"), F.min("least").alias("least"))
+    most = met.count()
+    kept = written(groups.select("key", "n", "least"), "kept_keys", most)
+    several = written(met.join(kept, "key"), "several", most)
+    out = written(joined_keys(several), "members", several.count())
+    removed(met, kept, several)
+    return out
 
 
 def similar_groups(
@@ -351,14 +372,18 @@ def similar_groups(
     rows' structs of doc_id and __hash (``k_id``, ``k_hash``); those whose whole sets are similar join them,
     and the keys are looked at for the rest.
     """
-    own = written(sketched(docs, *common_shingles(docs)), "sketches")
-    members = written(shared_keys(own), "members")
+    wide = written(sketched(docs, *common_shingles(docs)), "sketches")
+    texts = wide.count()
+    members = shared_keys(wide)
     most = members.count()  # a row for each key of a set
     row = F.struct(F.col("doc_id").alias("k_id"), F.col("__hash").alias("k_hash"))
     keys = members.groupBy("node").agg(F.collect_list("key").alias("shared"))
-    known = own.select("node", "size", "sketch", row.alias("row")).join(keys, "node")
+    known = wide.select("node", "size", "sketch", row.alias("row")).join(keys, "node")
     known = known.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shared")], F.min("row").alias("row"))
-    known = written(known.withColumnRenamed("shared", "keys"), "known", own.count(), SETS_A_FILE)
+    known = written(known.withColumnRenamed("shared", "keys"), "known", texts, SETS_A_FILE)
+    # Keys and sketches of all texts are the largest table here; from now on those in ``known`` will do.
+    own = written(wide.drop("size", "keys", "sketch"), "nodes", texts)
+    removed(wide, members)
 
     def by_key(parts: DataFrame | None) -> DataFrame:
         """Members of keys with several components, with all that is needed to compare them."""
@@ -381,9 +406,11 @@ def similar_groups(
     def similar_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = written(sets_of_nodes(docs, known_rows, nodes), "sets", min(texts, 2 * pairs.count()), SETS_A_FILE)
-        return written(verified(pairs, sets), "similar", pairs.count(), SETS_A_FILE)
+        out = written(verified(pairs, sets), "similar", pairs.count(), SETS_A_FILE)
+        removed(sets)
+        return out
 
-    every, texts = own.select("node", row.alias("row")), own.count()
+    every = own.select("node", row.alias("row"))
     known_rows = written(every.groupBy("node").agg(F.min("row").alias("row")), "rows", texts)
     edges, parts = None, None
     if propose is not None:
@@ -400,6 +427,7 @@ def similar_groups(
     rest = written(left_over(by_key(parts), chunk, total), "left_over")
     sets = written(sets_of_nodes(docs, known_rows, rest.select("node").distinct()), "sets", min(texts, rest.count()), SETS_A_FILE)
     more = written(compared(rest.join(sets, "node")), "similar")
+    removed(sets)
     if more.limit(1).count():
         parts = in_components(edges.unionByName(more))
-    return own.drop("size", "keys", "sketch").join(parts, "node", "left").withColumn("part", F.coalesce("of", "node")).drop("of", "node")
+    return own.join(parts, "node", "left").withColumn("part", F.coalesce("of", "node")).drop("of", "node")

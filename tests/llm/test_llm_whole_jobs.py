@@ -1,5 +1,6 @@
 """Whole jobs: what shortcuts of these operators once left out."""
 
+import os
 import random
 
 import numpy as np
@@ -79,6 +80,56 @@ def test_similar_groups_equal_brute_force_in_small_chunks(spark, limits):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_crowds_have_few_rows_of_keys_and_lose_no_pair(spark):
+    rng = random.Random(6)
+    base, texts = [f"w{i}" for i in range(400)], []
+    for _ in range(40):  # long texts that share most of their keys, each key by other texts
+        other = list(base)
+        for i in rng.sample(range(400), 12):
+            other[i] = f"x{rng.random()}"
+        texts.append(" ".join(other))
+    # One text with many keys, each of which it shares with another text only.
+    parts = [" ".join(f"p{k}_{i}" for i in range(40)) for k in range(12)]
+    texts += [" ".join(parts)] + [f"{part} {' '.join(f'q{k}_{i}' for i in range(400))}" for k, part in enumerate(parts)]
+    rows = [(i, t, i) for i, t in enumerate(texts)]
+    none = np.array([], np.uint64), np.array([], np.int64)
+    own = written(shingles.sketched(spark.createDataFrame(rows, "doc_id long, text string, __hash long"), *none), "own")
+    keys = {r["node"]: (r["size"], set(r["keys"])) for r in own.collect()}
+    found, groups = shingles.shared_keys(own).collect(), {}
+    for r in found:
+        groups.setdefault(r["key"], set()).add(r["node"])
+    assert len(found) == len({tuple(r) for r in found})
+    for a, (size, one) in keys.items():
+        for b, (other, two) in keys.items():
+            if a != b and one & two and 4 * max(size, other) <= 5 * min(size, other):
+                assert any({a, b} <= nodes for nodes in groups.values())
+    # No more pairs than key by key, and rows by the text, not by its keys (85 or so for each).
+    each = {}
+    for node, (_, own_keys) in keys.items():
+        for key in own_keys:
+            each.setdefault(key, set()).add(node)
+    alone = {frozenset(nodes) for nodes in each.values() if len(nodes) > 1}
+    assert sum(len(n) ** 2 for n in groups.values()) <= sum(len(n) ** 2 for n in alone)
+    assert len(found) <= sum(map(len, alone)) / 4
+
+
+def test_stage_drops_its_largest_tables(spark, monkeypatch):
+    made, write = {}, shingles.written
+
+    def noted(df, name, *rest):
+        out = write(df, name, *rest)
+        made.setdefault(name, []).append(out.written_path)
+        return out
+
+    monkeypatch.setattr(shingles, "written", noted)
+    pairs = pairs_from(8, 0.8, 0.9, 5)
+    rows = [(i, t, i) for i, t in enumerate(t for pair in pairs for t in pair)]
+    found = shingles.similar_groups(spark.createDataFrame(rows, "doc_id long, text string, __hash long"))
+    for name in ("sketches", "met", "several", "members", "sets"):
+        assert made[name] and not any(os.path.exists(path.removeprefix("file:")) for path in made[name])
+    assert found.select("part").distinct().count() == 5
+
+
 def test_proposals_miss_no_pair_at_0_8():
     pairs = [[shingles.shingle_set(t) for t in pair] for pair in pairs_from(5, 0.8, 0.82, 200)]
     every = np.unique(np.concatenate([s for pair in pairs for s in pair]))
